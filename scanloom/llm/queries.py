@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanloom.llm import mixing, packing, token_store
+from scanloom.llm import jpeg, mixing, packing, pii, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -29,11 +33,17 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored_tokens(table(spark, sf_dir, "documents"))
 
 
+def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.media(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_pii": op4_pii,
         "op5_pack": op5_pack,
         "op6_mixing": op6_mixing,
         "op8_token_store": op8_token_store,
+        "op10_jpeg": op10_jpeg,
     }
 
 
