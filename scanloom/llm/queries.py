@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanloom.llm import jpeg, mixing, packing, pii, token_store
+from scanloom.llm import embedding_search, jpeg, mixing, packing, pii, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored_tokens(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": op4_pii,
         "op5_pack": op5_pack,
         "op6_mixing": op6_mixing,
+        "op7_search": op7_search,
         "op8_token_store": op8_token_store,
         "op10_jpeg": op10_jpeg,
     }
