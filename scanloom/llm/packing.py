@@ -32,7 +32,7 @@ from scanloom.llm.tokens import END_ID, default_tokenizer, encoded
 BINS = 512
 
 #: Bytes of text that are encoded at once.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def pieces_of(docs: DataFrame, window: int, tokenizer: str) -> DataFrame:

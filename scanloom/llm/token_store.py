@@ -35,8 +35,9 @@ from scanloom.llm.tokens import END_ID, default_tokenizer, encoded
 BLOCK = 1 << 16
 CHUNK = 1 << 18
 
-#: Bytes of text in a shard, which one task writes in order.
+#: Bytes of text in a shard, which one task writes in order, and of those encoded at once.
 SHARD_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 SCHEMA = (
     "shard int, chunk int, n_ids long, shard_start long, doc_ids array<bigint>, lengths array<bigint>, "
@@ -75,7 +76,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, chunk, before = TaskContext.get().partitionId(), 0, 0
-        for batch in slices(batches, "text", SHARD_BYTES):
+        for batch in slices(batches, "text", BATCH_BYTES):
             offsets, ids = encoded(batch.column("text"), tokenizer, end_id)
             keys = batch.column("doc_id").to_pylist()
             group = (offsets[1:] - 1) // CHUNK  # documents by where they end

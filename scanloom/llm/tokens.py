@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from scanloom.llm.common import coded, gathered, words_of
 
 #: Pieces whose ids a worker remembers; beyond that they are encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 #: Marks that may close a word; the pre-tokenizer cuts between a letter or digit and a run of them.
 CLOSING = ",.!?%&$*#|:;"
