@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanloom.llm import embedding_search, jpeg, main_text, mixing, packing, pii, token_store, toxicity
+from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Similarity(n=3, num=90, den=100))
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_main_text": op2_main_text,
         "op3_toxicity": op3_toxicity,
         "op4_pii": op4_pii,
