@@ -92,9 +92,9 @@ def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0, seed: int = 7, weight: Column | None = None) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row of (doc_id, text, source).
+    """(doc_id, source, size, source_size, target, taken, copies, tie) of every row of (doc_id, text, source).
 
-    ``taken`` is a multiple of ``size``, ``cap`` times it at most.
+    ``taken`` is ``copies`` times ``size``, ``copies`` at most ``cap``; ``tie`` is the text's hash.
     """
     rows = settled(docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
@@ -122,4 +122,5 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
         left = rows.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * (F.col("whole") + F.col("drawn").cast("long")))).alias("lack"))
         rows = _beside(rows.drop("lack"), left)
     copies = F.col("whole") + F.col("drawn").cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(int(cap)))).cast("long").alias("taken"))
+    copies = F.least(copies, F.lit(int(cap))).cast("long")
+    return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "tie")

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, token_store, toxicity
+import corpus_pipeline
+from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, substring_dedup, token_store, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source", "tie")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media(table(spark, sf_dir, "documents"))
 
@@ -64,7 +69,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op7_search": op7_search,
         "op8_token_store": op8_token_store,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_jpeg": op10_jpeg,
+        "pipeline": corpus_pipeline.run,
     }
 
 
