@@ -48,6 +48,22 @@ def drop_finished_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Hash values that ``likely`` tells apart, and so the most rows that it broadcasts.
+LIKELY = 1 << 20
+
+
+def likely(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` may be among ``ids``: all that are, and few others.
+
+    A join of wide rows with few ids need not shuffle them all: what is broadcast
+    is the set of the ids' hash values below ``LIKELY``, which has that many rows
+    at most, however many ids there are. An exact join follows.
+    """
+    value = F.pmod(F.xxhash64(column), F.lit(LIKELY))
+    values = ids.select(value.alias("_hash")).distinct()
+    return rows.withColumn("_hash", value).join(F.broadcast(values), "_hash", "left_semi").drop("_hash")
+
+
 def parts_for(df: DataFrame, column: str, bytes_each: int) -> int:
     """A number of partitions that follows the bytes of a text column."""
     total = df.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import coded, gathered, mix, settled, slices, word_hashes, words_of
+from scanloom.llm.common import coded, gathered, likely, mix, settled, slices, word_hashes, words_of
 from scanloom.llm.components import components
 
 BATCH_BYTES = 4 << 20
@@ -168,8 +168,8 @@ def verified(pairs: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
                 ok.append(like.den * same >= like.num * (len(both) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = settled(docs.select("doc_id", "text").join(ids, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(sets_of, "id long, s binary"), "sets")
+    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    own = settled(likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(sets_of, "id long, s binary"), "sets")
     joined = pairs.join(own.select(F.col("id").alias("a"), "s"), "a").join(own.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
     return settled(joined.select("a", "b", "s", "t").mapInArrow(check, "a long, b long"), "links-found")
 
