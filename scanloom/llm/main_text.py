@@ -217,30 +217,34 @@ def branches_of(html: str | None) -> tuple[list[dict], list[dict]]:
 
 
 def extract(pages: DataFrame, least: float = LEAST, shared: int = SHARED) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row of (page_id, url, html)."""
+    """(page_id, url, text, n_chars) of every row of (page_id, url, html).
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Pages are parsed twice, once for the tree and once for their text, so that no
+    copy of the parsed text is kept between.
+    """
+
+    def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "html", BATCH_BYTES):
+            found = [branches_of(html)[1] for html in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array([digest(repr(b)) for b in found], pa.int64()), pa.array(found, BRANCHES)], names=["host", "page", "branches"])
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html", BATCH_BYTES):
-            found = [branches_of(html) for html in batch.column("html").to_pylist()]
-            page = [digest(repr(b)) for _, b in found]
-            columns = (pa.array(c, k) for c, k in zip((page, [k for k, _ in found], [b for _, b in found]), ARROW))
-            names = ["page_id", "url", "host"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *columns], names=[*names, "page", "blocks", "branches"])
+            text = []
+            for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist()):
+                gone = set(low or ())
+                text.append("\n\n".join(b["text"] for b in branches_of(html)[0] if b["node"] not in gone))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"]
+            )
 
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
-    schema = "page_id long, url string, host string, page long, blocks array<struct<node: string, text: string>>, branches array<struct<node: string, content: long, size: int>>"
-    parsed = settled(rows.mapInArrow(parse, schema), "pages")
-    low = importance(parsed).filter((F.col("pages") >= shared) & (F.col("value") < least))
-    low = low.groupBy("host").agg(F.collect_set("node").alias("low"))  # as long as the site's template, not as its pages
-    out = parsed.select("page_id", "url", "host", "blocks").join(low, "host", "left")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains("low", b["node"]), F.lit(False)))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
-
-
-#: The kinds of page, blocks and branches as Arrow has them.
-ARROW = (
-    pa.int64(),
-    pa.list_(pa.struct([("node", pa.string()), ("text", pa.string())])),
-    pa.list_(pa.struct([("node", pa.string()), ("content", pa.int64()), ("size", pa.int32())])),
-)
+    seen = rows.select("host", "html").mapInArrow(tree, "host string, page long, branches array<struct<node: string, content: long, size: int>>")
+    low = importance(settled(seen, "branches")).filter((F.col("pages") >= shared) & (F.col("value") < least))
+    low = settled(low.groupBy("host").agg(F.collect_set("node").alias("low")), "low")  # as long as a site's template, not as its pages
+    out = rows.join(low, "host", "left").select("page_id", "url", "html", "low")
+    return out.mapInArrow(kept, "page_id long, url string, text string, n_chars long")
+
+
+#: The kind of a page's branches as Arrow has it.
+BRANCHES = pa.list_(pa.struct([("node", pa.string()), ("content", pa.int64()), ("size", pa.int32())]))
