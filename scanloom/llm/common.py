@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +123,59 @@ def word_hashes(distinct: pa.Array) -> np.ndarray:
     return np.fromiter((h(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
 
 
+#: What bytes count for in hashes of words, plain and with ASCII letters lowered.
+_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64)
+_LOWERED = _BYTES[np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])]
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+_BASE = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2 ** 64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
+
+
+@dataclass
+class Words:
+    """The words of some texts: ``offsets`` by text, each word's hash, and where its bytes are."""
+
+    offsets: np.ndarray
+    hashes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    data: np.ndarray
+
+
+def hashed_words(texts: pa.Array, lower: bool = False) -> Words:
+    """Words of each text by their bytes, with 64-bit hashes alike on every machine; null has none.
+
+    A word's hash is a polynomial in its bytes, read off running sums.
+    """
+    texts = pc.fill_null(texts, "")
+    _, ends, data = texts.buffers()
+    rows = np.frombuffer(ends, np.int32 if pa.types.is_string(texts.type) else np.int64)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[rows[0] : rows[-1]]
+    rows = rows - rows[0]
+    inside = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[rows] = True
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:-1]
+    last[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    power, inverse = _powers(1 << max(22, (len(data) + 1).bit_length()))
+    run = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_LOWERED if lower else _BYTES)[data] * power[: len(data)], out=run[1:])
+    h = (run[ends] - run[starts]) * inverse[starts]
+    return Words(np.searchsorted(starts, rows), mix(h), starts, ends, data)
+
+
 def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of each run, run after run."""
     ends = np.cumsum(lengths)

@@ -34,11 +34,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import coded, gathered, likely, mix, settled, slices, word_hashes, words_of
+from scanloom.llm.common import gathered, hashed_words, likely, mix, settled, slices
 from scanloom.llm.components import components
 
 BATCH_BYTES = 4 << 20
@@ -75,9 +74,8 @@ class Similarity:
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Offsets by text and, text by text, its distinct shingles as ascending 64-bit hashes."""
-    offsets, words = words_of(pc.ascii_lower(texts))
-    code, distinct = coded(words)
-    word = word_hashes(distinct)[code]
+    words = hashed_words(texts, lower=True)
+    offsets, word = words.offsets, words.hashes
     size = np.diff(offsets)
     count = np.where(size == 0, 0, np.maximum(size - n + 1, 1))
     at = gathered(offsets[:-1], count)

@@ -7,7 +7,7 @@ there is a shift below the period that takes both into the cover. So two equal
 windows share an anchor at the same place inside both, with ``window - period + 1``
 words; a window none of whose anchors occurs elsewhere repeats nowhere.
 
-Anchors that occur in one document alone are dropped; the others extend to the
+Anchors that occur once are dropped; the others extend to the
 windows that hold them, and those windows' hashes and the least id that has each
 tell which repeat. Hashes are 64 bits of whole words' hashes.
 
@@ -29,11 +29,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import coded, mix, settled, slices, word_hashes, words_of
+from scanloom.llm.common import gathered, hashed_words, mix, settled, slices
 
 #: Base of the windows' polynomial hashes, modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
@@ -57,7 +56,7 @@ def best_period(window: int) -> int:
 
 
 def window_hashes(word: np.ndarray, width: int) -> np.ndarray:
-    """Hash of the ``width`` words from each position on, by joining halves; the last ones wrap and don't count."""
+    """Hash (not yet mixed) of the ``width`` words from each position on, by joining halves; the last ones wrap and don't count."""
 
     def joined(n: int) -> np.ndarray:
         if n == 1:
@@ -67,13 +66,7 @@ def window_hashes(word: np.ndarray, width: int) -> np.ndarray:
         right = left if right is None else right
         return left * np.uint64(pow(BASE, n - half, 1 << 64)) + np.roll(right, -half)
 
-    return mix(joined(width))
-
-
-def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    offsets, words = words_of(texts)
-    code, distinct = coded(words)
-    return offsets, words, word_hashes(distinct)[code]
+    return joined(width)
 
 
 def _starts(offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,16 +115,18 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            offsets, _, word = _words(batch.column("text"))
+            words = hashed_words(batch.column("text"))
+            offsets, word = words.offsets, words.hashes
             data = memoryview(word.tobytes())
             d = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n": np.diff(offsets), "digest": pa.array(d, pa.binary())})
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            offsets, _, word = _words(batch.column("text"))
+            words = hashed_words(batch.column("text"))
+            offsets, word = words.offsets, words.hashes
             at, doc = _anchor_places(offsets)
-            yield _rows(batch.column("doc_id"), *_distinct(doc, window_hashes(word, width)[at]))
+            yield _rows(batch.column("doc_id"), doc, mix(window_hashes(word, width)[at]))
 
     def _anchor_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, doc = _starts(offsets, width)
@@ -141,9 +136,10 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            offsets, _, word = _words(batch.column("text"))
+            words = hashed_words(batch.column("text"))
+            offsets, word = words.offsets, words.hashes
             at, doc = _anchor_places(offsets)
-            hit = at[_marked(offsets, at, doc, window_hashes(word, width)[at], _lists(batch.column("hits")))]
+            hit = at[_marked(offsets, at, doc, mix(window_hashes(word, width)[at]), _lists(batch.column("hits")))]
             # Extend each anchor to the windows that hold it.
             near = np.zeros(len(word) + 1, np.int64)
             np.add.at(near, np.maximum(hit - period + 1, 0), 1)
@@ -151,28 +147,34 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             near = np.cumsum(near)[:-1] > 0
             start, doc = _starts(offsets, window)
             ok = near[start]
-            yield _rows(batch.column("doc_id"), *_distinct(doc[ok], window_hashes(word, window)[start[ok]]))
+            yield _rows(batch.column("doc_id"), *_distinct(doc[ok], mix(window_hashes(word, window)[start[ok]])))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
-            offsets, words, word = _words(batch.column("text"))
+            words = hashed_words(batch.column("text"))
+            offsets, word = words.offsets, words.hashes
+            n = np.diff(offsets)
+            repeats = _lists(batch.column("repeats"))
             start, doc = _starts(offsets, window)
-            hit = start[_marked(offsets, start, doc, window_hashes(word, window)[start], _lists(batch.column("repeats")))]
+            ok = np.array([r is not None for r in repeats], bool)[doc]
+            start, doc = start[ok], doc[ok]
+            hit = start[_marked(offsets, start, doc, mix(window_hashes(word, window)[start]), repeats)]
             gone = np.zeros(len(word) + 1, np.int64)
             np.add.at(gone, hit, 1)
             np.add.at(gone, hit + window, -1)
             gone = np.cumsum(gone)[:-1] > 0
-            n = np.diff(offsets)
             copy = batch.column("copy").to_numpy(zero_copy_only=False).astype(bool) & (n >= window)
             gone |= np.repeat(copy, n)
             ends = np.concatenate(([0], np.cumsum(~gone)))[offsets]
-            left = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words.filter(pa.array(~gone)))
-            text = pc.binary_join(left, " ")
-            out = {
-                "doc_id": batch.column("doc_id"), "n_words": n, "n_removed": n - np.diff(ends),
-                "kept_sha256": [hashlib.sha256(x).hexdigest() for x in text.cast(pa.binary()).to_pylist()],
-            }
-            yield pa.RecordBatch.from_pydict(out | ({"text": text} if keep_text else {}))
+            # Each kept word's bytes and a space; a text leaves out its last space.
+            a, size = words.starts[~gone], (words.ends - words.starts)[~gone]
+            flat = np.full(int(size.sum()) + len(size), 32, np.uint8)
+            flat[gathered(np.cumsum(size + 1) - size - 1, size)] = words.data[gathered(a, size)]
+            edges = np.concatenate(([0], np.cumsum(size + 1)))[ends]
+            data = memoryview(flat.tobytes())
+            texts = [data[x : max(x, y - 1)] for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())]
+            out = {"doc_id": batch.column("doc_id"), "n_words": n, "n_removed": n - np.diff(ends), "kept_sha256": [hashlib.sha256(t).hexdigest() for t in texts]}
+            yield pa.RecordBatch.from_pydict(out | ({"text": [str(t, "utf-8") for t in texts]} if keep_text else {}))
 
     # Which rows copy a document of smaller id, word for word.
     known = settled(named.mapInArrow(digests, "doc_id long, n long, digest binary"), "digests")
