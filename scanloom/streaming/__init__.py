@@ -1 +1 @@
-"""See the modules of this package."""
+"""Extension: recordings that are still being written, as a stream."""
