@@ -37,7 +37,7 @@ from scanloom.llm.common import gathered, hashed_words, mix, settled, slices
 #: Base of the windows' polynomial hashes, modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def difference_cover(period: int) -> tuple[int, ...]:
