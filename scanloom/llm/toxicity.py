@@ -141,12 +141,14 @@ def token_marginals(chain: Chain, emission: np.ndarray, offsets: np.ndarray) ->
 
 
 def document_features(chain: Chain, offsets: np.ndarray, where: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Rows of (1, log1p(expected toxic tokens), highest marginal, share of toxic tokens)."""
+    """Rows of (1, log1p(expected toxic tokens), highest marginal, share of toxic tokens).
+
+    Expected tokens are those beyond rest, so that length alone is no evidence.
+    """
     rest = chain.resting()[2]
     n = np.diff(offsets)
     doc = np.searchsorted(offsets, where, side="right") - 1
-    near = np.bincount(doc, minlength=len(n))
-    total = np.bincount(doc, weights=p, minlength=len(n)) + (n - near) * rest
+    total = np.bincount(doc, weights=np.maximum(p - rest, 0.0), minlength=len(n))
     highest = np.where(n > 0, rest, 0.0)
     np.maximum.at(highest, doc, p)
     return np.stack((np.ones(len(n)), np.log1p(total), highest, total / np.maximum(n, 1)), axis=1)
