@@ -66,6 +66,25 @@ def likely(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return rows.withColumn("_hash", value).join(F.broadcast(values), "_hash", "left_semi").drop("_hash")
 
 
+#: Bits of ``bitmap``, and so the most that it sends: 16 MB.
+BITMAP = 1 << 27
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int = BITMAP) -> np.ndarray:
+    """Which of the last bits of hash values occur, as bytes of ``bits`` bits; built where the rows are."""
+    value = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1  # Spark's bitmap functions count from 1
+    rows = hashes.groupBy(F.bitmap_bucket_number(value).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("b"))
+    out = np.zeros(bits // 8, np.uint8)
+    for k, b in rows.toLocalIterator():  # rows of 4 KB, ``bits`` / 32768 of them at most
+        out[(k - 1) * len(b) : k * len(b)] = np.frombuffer(bytes(b), np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    v = values.view(np.uint64) & np.uint64(len(bits) * 8 - 1)
+    return (bits[v >> np.uint64(3)] >> (v & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 def parts_for(df: DataFrame, column: str, bytes_each: int) -> int:
     """A number of partitions that follows the bytes of a text column."""
     total = df.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
@@ -169,7 +188,7 @@ def hashed_words(texts: pa.Array, lower: bool = False) -> Words:
     first[1:] &= ~inside[:-1] | edge[1:-1]
     last[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(1 << max(22, (len(data) + 1).bit_length()))
+    power, inverse = _powers(1 << max(20, (len(data) + 1).bit_length()))
     run = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWERED if lower else _BYTES)[data] * power[: len(data)], out=run[1:])
     h = (run[ends] - run[starts]) * inverse[starts]

@@ -10,7 +10,7 @@ a point can't be cut into few cells in all coordinates at once, for at these
 thresholds all points of a slab lie in each other's boxes; but with more than D
 blocks, two points within D agree in some block, so a document is filed under the
 exact counts of its blocks. Of blocks it takes the fullest ones that are enough:
-with D + 1 of them filed, and ties, two linked documents share one.
+with D + 1 of them filed two linked documents share one.
 
 Points of a cell are bounded by their summed coordinate minima over all groups,
 an upper bound of the overlap, and pairs that survive are verified on the sets.
@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import gathered, hashed_words, likely, mix, settled, slices
+from scanloom.llm.common import bitmap, gathered, hashed_words, in_bitmap, likely, mix, settled, slices
 from scanloom.llm.components import components
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 #: Ratio of a band's ends, coordinates of a block, blocks for each one needed, coordinates of the bound.
 BAND, COORDINATES, SPARE, GROUPS = 1.5, 32, 1.3, 64
@@ -93,10 +93,18 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.ndarray, band: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (document, cell key) of ``docs``, each in the slab ``band``."""
-    need = like.most(2 * (ends[band + 1] - 1)) + 1
-    blocks = np.ceil(need * SPARE).astype(np.int64) + 1
+    """Rows (document, cell key) of ``docs``, each in the slab ``band``.
+
+    Two documents of a slab that link differ in at most ``most`` blocks of the
+    first or of the second one's bound. Blocks are ordered by fullness, then by
+    their key, which is alike in both where they agree; each document files its
+    first ``bound + 1`` ones. The one whose last block is ordered higher files a
+    block that agrees, and the other files it as well.
+    """
+    top = ends[band + 1] - 1
+    blocks = np.ceil((like.most(2 * top) + 1) * SPARE).astype(np.int64) + 1
     size = np.diff(offsets)[docs]
+    need = like.most(size + np.minimum(size * like.den // like.num, top)) + 1
     h = sets[gathered(offsets[docs], size)]
     row = np.repeat(np.arange(len(docs)), size)
     first = np.cumsum(blocks) - blocks
@@ -109,11 +117,11 @@ def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.nda
     np.add.at(vector, place, coordinate)
     owner = np.repeat(np.arange(len(docs)), blocks)
     number = np.arange(total) - first[owner]
-    # The fullest blocks: as many as needed, and ties.
-    order = np.lexsort((-counts, owner))
-    least = counts[order[first + need - 1]]
-    kept = counts >= least[owner]
     key = mix(vector + mix(np.uint64(1 << 50) * band.astype(np.uint64)[owner] + number.astype(np.uint64)) + counts.astype(np.uint64))
+    # Counts in the upper bits, keys below: one number to order by, within each document.
+    fullness = (np.minimum(counts, (1 << 16) - 1).astype(np.uint64) << np.uint64(47)) | (key >> np.uint64(17))
+    order = np.lexsort((~fullness, owner))
+    kept = order[gathered(first, need)]
     return docs[owner[kept]], key[kept].view(np.int64)
 
 
@@ -122,6 +130,7 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
     ends = like.bands()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple[int, int]] = set()  # sets that this task has filed already
         for batch in slices(batches, "text", BATCH_BYTES):
             offsets, sets = shingle_sets(batch.column("text"), like.n)
             n, rows = np.diff(offsets), batch.num_rows
@@ -131,9 +140,14 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
                 np.add.at(d, doc, mix(sets + np.uint64(0xD1B54A32D192ED03 + k)))
                 d += n.astype(np.uint64)
             band = np.searchsorted(ends, n, side="right") - 1
-            own = np.flatnonzero(band >= 0)
+            new = np.zeros(rows, bool)
+            for k, name in enumerate(zip(digest[0].tolist(), digest[1].tolist())):
+                if name not in met:
+                    met.add(name)
+                    new[k] = True
+            own = np.flatnonzero(new & (band >= 0))
             # Near its upper end a document lies in the next slab too, and just below the first slab in the first.
-            up = np.flatnonzero(n * like.den >= ends[band + 1] * like.num)
+            up = np.flatnonzero(new & (n * like.den >= ends[band + 1] * like.num))
             where, key = (np.concatenate(x) for x in zip(_cells(like, offsets, sets, own, band[own], ends), _cells(like, offsets, sets, up, band[up] + 1, ends)))
             order = np.argsort(where, kind="stable")
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(where, minlength=rows)))).astype(np.int32)), pa.array(key[order]))
@@ -207,9 +221,31 @@ def _across(members: DataFrame, like: Similarity) -> DataFrame:
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def links(reps: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
-    """(node, component) of all documents of (rep, n, keys, groups) that link to another."""
-    filed = reps.select(F.explode("keys").alias("key"), "rep")
+def _filed(every: DataFrame) -> DataFrame:
+    """(key, doc_id) of the cells that more than one row lies in.
+
+    Cells are counted first. Which have a second row goes to the tasks as a map
+    of bits of bounded size; what passes it is a little more than that, and the
+    exact count comes after.
+    """
+    counted = every.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    shared = every.sparkSession.sparkContext.broadcast(bitmap(counted, "key"))
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys")
+            flat, ends = keys.values.to_numpy(), keys.offsets.to_numpy()
+            at = np.arange(ends[0], ends[-1])
+            at = at[in_bitmap(shared.value, flat[at])]
+            row = np.searchsorted(ends, at, side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), batch.column("doc_id").take(pa.array(row))], names=["key", "doc_id"])
+
+    return every.filter(F.size("keys") > 0).select("doc_id", "keys").mapInArrow(passing, "key long, doc_id long")
+
+
+def links(filed: DataFrame, point: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
+    """(node, component) of all documents that link to another, from cells (key, rep) and points (rep, n, groups)."""
+    filed = settled(filed, "filed")
     shared = filed.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     members = settled(filed.join(shared, "key"), "cells")
     # In each cell the member that shares most cells with most others is paired with the rest.
@@ -217,7 +253,6 @@ def links(reps: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
     best = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("best"))
     star = members.join(best.select("key", (-F.col("best.minus")).alias("hub")), "key").filter(F.col("rep") != F.col("hub"))
     tried = star.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    point = reps.select("rep", "n", "groups")
     tried = settled(_bounded(tried, point, like), "pairs")
     found = verified(tried, docs, like)
     parts = components(found)
@@ -252,8 +287,12 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     # Equal sets are a class, and rows of one id one document: both by the least id.
     classes = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     of = settled(known.select("doc_id", "d1", "d2").distinct().join(classes, ["d1", "d2"]).select("doc_id", "rep", "d1", "d2"), "classes")
-    reps = settled(known.join(of.filter(F.col("doc_id") == F.col("rep")).drop("rep"), ["doc_id", "d1", "d2"]).dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("rep"), "n", "keys", "groups"), "reps")
-    found = links(reps, docs, like)
+    own = of.select("doc_id", "d1", "d2", "rep").distinct()
+    point = known.select("doc_id", "d1", "d2", "n", "groups").join(own.filter(F.col("doc_id") == F.col("rep")), ["doc_id", "d1", "d2"])
+    point = settled(point.dropDuplicates(["rep"]).select("rep", "n", "groups"), "reps")
+    # A class is filed under the row of it that a task met first; the cell counts it once, by its least id.
+    filed = _filed(known).join(own.select("doc_id", "rep").distinct(), "doc_id").select("key", "rep").distinct()
+    found = links(filed, point, docs, like)
     same = of.filter(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     ids = of.groupBy("doc_id").agg(F.count("*").alias("texts"))
     # Where an id has several texts, its classes may hang together through it alone.
