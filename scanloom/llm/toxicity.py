@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from scanloom.llm.common import WORD, coded, mix, slices, word_hashes, words_of
 
 #: Bounds of the sample that the model is fitted to.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 3_000, 4_000, 50_000
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 2_000, 3_000, 50_000
 
 #: A feature needs this many toxic training texts, and this ratio of document rates.
 SUPPORT, RATIO = 5, 8.0
@@ -171,7 +171,7 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Chain:
         return chain
     offsets, words = words_of(pa.array([t for t, _ in once], pa.string()))
     code, distinct = coded(words)
-    of_word = [features(w) for w in distinct.to_pylist()]
+    pieces = distinct.to_pylist()
     doc = np.repeat(np.arange(len(y)), np.diff(offsets))
     # Near copies share a label and all their words: of those with an equal least
     # hash over long words, by either of two hashes, one is counted.
@@ -179,23 +179,34 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Chain:
     rank[pc.less(pc.utf8_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False)] = np.iinfo(np.uint64).max
     least = [np.minimum.reduceat(np.append(h[code], np.iinfo(np.uint64).max), offsets[:-1]) for h in (rank, np.where(rank == np.iinfo(np.uint64).max, rank, mix(rank)))]
     met: set = set()
-    seen = (Counter(), Counter())
     counted = np.zeros(len(y), bool)
     for d in range(len(y)):
         keys = {(k, bool(y[d]), int(h[d])) for k, h in enumerate(least) if h[d] != np.iinfo(np.uint64).max}
-        if offsets[d + 1] == offsets[d] or keys & met:
-            continue
-        met |= keys
-        counted[d] = True
-        seen[int(y[d])].update({f for w in np.unique(code[offsets[d] : offsets[d + 1]]).tolist() for f in of_word[w]})
+        if offsets[d + 1] > offsets[d] and not keys & met:
+            met |= keys
+            counted[d] = True
+
+    def held(kind: np.ndarray, among=None) -> Counter:
+        """In how many texts each feature is; only features ``among`` some, if given."""
+        out: Counter = Counter()
+        for d in np.flatnonzero(counted & kind):
+            found = {f for w in np.unique(code[offsets[d] : offsets[d + 1]]).tolist() for f in features(pieces[w])}
+            out.update(found if among is None else found & among)
+        return out
+
     clean, bad = (counted & ~y).sum(), (counted & y).sum()
-    # Among so many features some differ by chance; the likelihood ratio must beat what N of them reach.
-    tested = sum(n >= 2 for n in seen[1].values()) + len(seen[0])
-    marks = {f: k for k, f in enumerate(f for f, n in seen[1].items() if n >= SUPPORT and n / bad >= RATIO * (seen[0][f] + 0.5) / clean and _ratio(n, seen[0][f], bad, clean) >= 2 * np.log(tested))}
+    in_bad = held(y)
+    tested = len(in_bad)
+    often = {f: n for f, n in in_bad.items() if n >= SUPPORT}
+    del in_bad
+    in_clean = held(~y, often.keys())
+    # Among so many features some differ by chance; the likelihood ratio must beat what ``tested`` of them reach.
+    chosen = (f for f, n in often.items() if n / bad >= RATIO * (in_clean[f] + 0.5) / clean and _ratio(n, in_clean[f], bad, clean) >= 2 * np.log(tested))
+    marks = {f: k for k, f in enumerate(chosen)}
     if not marks:
         return chain
     # Labelled tokens, in stretches around each candidate; stretches of clean texts teach the other side.
-    own = [[marks[f] for f in fs if f in marks] for fs in of_word]
+    own = [[marks[f] for f in features(w) if f in marks] for w in pieces]
     has = np.array([bool(x) for x in own], bool)
     hot = np.flatnonzero(has[code])
     starts, lengths = _stretches(hot, offsets, 4)
