@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -64,3 +66,25 @@ def residual(current: Column, previous: Column, low: float, high: float) -> Colu
         return F.when(ok, F.abs(c - p) / F.when(c == 0, F.lit(1e-8)).otherwise(c)).otherwise(F.lit(0.0))
 
     return F.when(previous.isNull(), F.transform(current, lambda c: F.lit(0.0))).otherwise(F.zip_with(current, previous, one))
+
+
+def shuffled(rows: DataFrame, seed: int, *keys: str) -> DataFrame:
+    """Rows in an order that hangs on the seed and their keys alone."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
+
+
+def resized(images: DataFrame, height: str, width: str) -> DataFrame:
+    """Images (h, w, px array) at the sizes in the columns named, by bilinear interpolation between pixel centres."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, w, px, m, n in zip(*(batch.column(c).to_pylist() for c in ("h", "w", "px", height, width))):
+                a = np.array(px, float).reshape(h, w)
+                y, x = (np.clip((np.arange(k) + 0.5) * size / k - 0.5, 0, size - 1) for k, size in ((m, h), (n, w)))
+                i, j = np.minimum(y.astype(int), max(h - 2, 0)), np.minimum(x.astype(int), max(w - 2, 0))
+                u, v = (y - i)[:, None], (x - j)[None, :]
+                k, l = np.minimum(i + 1, h - 1), np.minimum(j + 1, w - 1)
+                out.append(((a[i][:, j] * (1 - v) + a[i][:, l] * v) * (1 - u) + (a[k][:, j] * (1 - v) + a[k][:, l] * v) * u).ravel().tolist())
+            yield batch.set_column(batch.schema.get_field_index("px"), "px", pa.array(out, pa.list_(pa.float64())))
+
+    return images.mapInArrow(each, images.schema)
