@@ -54,16 +54,17 @@ def drop_finished_shuffles(spark: SparkSession) -> None:
 LIKELY = 1 << 20
 
 
-def likely(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+def likely(rows: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
     """The rows whose ``column`` may be among ``ids``: all that are, and few others.
 
     A join of wide rows with few ids need not shuffle them all: what is broadcast
     is the set of the ids' hash values below ``LIKELY``, which has that many rows
-    at most, however many ids there are. An exact join follows.
+    at most, however many ids there are. An exact join follows. With ``left_anti``
+    it is the other rows, which are surely not among them.
     """
     value = F.pmod(F.xxhash64(column), F.lit(LIKELY))
     values = ids.select(value.alias("_hash")).distinct()
-    return rows.withColumn("_hash", value).join(F.broadcast(values), "_hash", "left_semi").drop("_hash")
+    return rows.withColumn("_hash", value).join(F.broadcast(values), "_hash", how).drop("_hash")
 
 
 #: Bits of ``bitmap``, and so the most that it sends: 16 MB.
@@ -71,9 +72,13 @@ BITMAP = 1 << 27
 
 
 def bitmap(hashes: DataFrame, column: str, bits: int = BITMAP) -> np.ndarray:
-    """Which of the last bits of hash values occur, as bytes of ``bits`` bits; built where the rows are."""
-    value = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1  # Spark's bitmap functions count from 1
-    rows = hashes.groupBy(F.bitmap_bucket_number(value).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("b"))
+    """A filter of hash values that passes all of them and few others, as bytes of ``bits`` bits; built where the rows are.
+
+    Each value sets the bits that its lower and its upper half name.
+    """
+    halves = F.explode(F.array(F.col(column), F.shiftrightunsigned(F.col(column), 32)))
+    value = F.col("v").bitwiseAND(F.lit(bits - 1)) + 1  # Spark's bitmap functions count from 1
+    rows = hashes.select(halves.alias("v")).groupBy(F.bitmap_bucket_number(value).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("b"))
     out = np.zeros(bits // 8, np.uint8)
     for k, b in rows.toLocalIterator():  # rows of 4 KB, ``bits`` / 32768 of them at most
         out[(k - 1) * len(b) : k * len(b)] = np.frombuffer(bytes(b), np.uint8)
@@ -81,8 +86,11 @@ def bitmap(hashes: DataFrame, column: str, bits: int = BITMAP) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    v = values.view(np.uint64) & np.uint64(len(bits) * 8 - 1)
-    return (bits[v >> np.uint64(3)] >> (v & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    last, values = np.uint64(len(bits) * 8 - 1), values.view(np.uint64)
+    out = np.ones(len(values), bool)
+    for v in (values & last, values >> np.uint64(32) & last):
+        out &= (bits[v >> np.uint64(3)] >> (v & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return out
 
 
 def parts_for(df: DataFrame, column: str, bytes_each: int) -> int:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import gathered, hashed_words, mix, settled, slices
+from scanloom.llm.common import bitmap, drop_finished_shuffles, gathered, hashed_words, in_bitmap, likely, mix, settled, slices
 
 #: Base of the windows' polynomial hashes, modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
@@ -139,7 +139,7 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             words = hashed_words(batch.column("text"))
             offsets, word = words.offsets, words.hashes
             at, doc = _anchor_places(offsets)
-            hit = at[_marked(offsets, at, doc, mix(window_hashes(word, width)[at]), _lists(batch.column("hits")))]
+            hit = at[in_bitmap(shared.value, mix(window_hashes(word, width)[at]))]
             # Extend each anchor to the windows that hold it.
             near = np.zeros(len(word) + 1, np.int64)
             np.add.at(near, np.maximum(hit - period + 1, 0), 1)
@@ -181,14 +181,19 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
     first = known.groupBy("digest").agg(F.min("doc_id").alias("first"))
     known = settled(known.filter(F.col("n") >= window).join(first, "digest").select("doc_id", "digest", (F.col("doc_id") > F.col("first")).alias("copy")), "copies")
     # An id whose rows are all copies is done.
-    done = known.groupBy("doc_id").agg(F.min("copy").alias("copy"), F.count_distinct("digest").alias("texts"))
-
-    pieces = named.mapInArrow(anchors, "h long, doc_id long")
-    shared = settled(pieces.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("h"), "anchors")
-    hits = pieces.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("hits"))
-    hits = settled(hits.join(done.filter(~F.col("copy")).select("doc_id"), "doc_id", "left_semi"), "hits")
-
-    found = settled(named.join(hits, "doc_id").mapInArrow(windows, "h long, doc_id long"), "windows")
+    done = settled(known.groupBy("doc_id").agg(F.min("copy").alias("copy")), "done")
+
+    # Which anchors occur again goes to the tasks as bits of bounded size; the few others
+    # that pass only make windows that turn out to have no second document.
+    pieces = named.mapInArrow(anchors, "h long, doc_id long").select("h")
+    twice = pieces.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(twice, "h"))
+    drop_finished_shuffles(docs.sparkSession)
+    # Copies need no windows. Rows that may be copies, by hashes, are looked up.
+    copied = done.filter("copy").select("doc_id")
+    rest = likely(named, copied, "doc_id").join(copied, "doc_id", "left_anti")
+    sources = likely(named, copied, "doc_id", "left_anti").unionByName(rest)
+    found = settled(sources.select("doc_id", "text").mapInArrow(windows, "h long, doc_id long"), "windows")
     owner = found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter(F.col("owner") < F.col("last")).select("h", "owner")
     repeats = found.join(owner, "h").filter(F.col("doc_id") > F.col("owner")).groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
     repeats = settled(repeats, "repeats")
