@@ -42,8 +42,11 @@ from scanloom.llm.components import components
 
 BATCH_BYTES = 1 << 20
 
-#: Ratio of a band's ends, coordinates of a block, blocks for each one needed, coordinates of the bound.
-BAND, COORDINATES, SPARE, GROUPS = 1.5, 32, 1.3, 64
+#: Ratio of a band's ends, coordinates of a block, blocks for each one needed.
+BAND, COORDINATES, SPARE = 1.5, 1 << 16, 1.3
+
+#: Shingles in a group of the bound, at most on average; there are a power of two of groups, and 64 at least.
+EACH = 4
 
 #: Members of a cell that one task compares with as many others.
 CHUNK = 512
@@ -125,6 +128,11 @@ def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.nda
     return docs[owner[kept]], key[kept].view(np.int64)
 
 
+def folded(counts: bytes, size: int) -> np.ndarray:
+    """Counts of ``size`` groups from those of a multiple: groups are hashes modulo a power of two."""
+    return np.frombuffer(counts, "<u2").reshape(-1, size).sum(axis=0, dtype=np.int32)
+
+
 def points(docs: DataFrame, like: Similarity) -> DataFrame:
     """(doc_id, n, d1, d2, keys, groups): set size, digest of the set, cells, and counts for the bound."""
     ends = like.bands()
@@ -151,11 +159,14 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
             where, key = (np.concatenate(x) for x in zip(_cells(like, offsets, sets, own, band[own], ends), _cells(like, offsets, sets, up, band[up] + 1, ends)))
             order = np.argsort(where, kind="stable")
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(where, minlength=rows)))).astype(np.int32)), pa.array(key[order]))
-            groups = np.bincount(doc * GROUPS + (mix(sets ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(GROUPS)).astype(np.int64), minlength=rows * GROUPS)
-            data = groups.astype("<u4").reshape(rows, GROUPS)
+            size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1) / EACH)).astype(np.int64).clip(0))
+            first = np.cumsum(size) - size
+            group = first[doc] + (mix(sets ^ np.uint64(0x2545F4914F6CDD1D)) & (size[doc] - 1).astype(np.uint64)).astype(np.int64)
+            data = np.minimum(np.bincount(group, minlength=int(size.sum())), (1 << 16) - 1).astype("<u2")
+            groups = [data[k : k + m].tobytes() for k, m in zip(first.tolist(), size.tolist())]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": n, "d1": digest[0].view(np.int64), "d2": digest[1].view(np.int64),
-                "keys": keys, "groups": pa.array([x.tobytes() for x in data], pa.binary()),
+                "keys": keys, "groups": pa.array(groups, pa.binary()),
             })
 
     return docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n long, d1 long, d2 long, keys array<bigint>, groups binary")
@@ -199,13 +210,15 @@ def _across(members: DataFrame, like: Similarity) -> DataFrame:
     def compare(t: pa.Table) -> pa.Table:
         rep, n, comp, chunk = (t.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        g = np.frombuffer(b"".join(t.column("groups").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
+        counts = t.column("groups").to_pylist()
+        size = min(map(len, counts)) // 2
+        g = np.stack([folded(c, size) for c in counts])
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         out = ([], [])
         for at in range(0, len(left), 64):
             x = left[at : at + 64]
             bound = np.zeros((len(x), len(right)), np.int32)
-            for k in range(GROUPS):
+            for k in range(size):
                 bound += np.minimum(g[x, k][:, None], g[right, k][None, :])
             both = n[x][:, None] + n[right][None, :]
             # |A & B| is at most the summed minima, and |A | B| the rest of both.
@@ -270,8 +283,10 @@ def _bounded(pairs: DataFrame, point: DataFrame, like: Similarity) -> DataFrame:
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g, h = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("g", "h"))
-            bound = np.minimum(g, h).sum(axis=1, dtype=np.int64)
+            bound = np.zeros(batch.num_rows, np.int64)
+            for k, (g, h) in enumerate(zip(batch.column("g").to_pylist(), batch.column("h").to_pylist())):
+                size = min(len(g), len(h)) // 2
+                bound[k] = np.minimum(folded(g, size), folded(h, size)).sum()
             both = batch.column("m").to_numpy() + batch.column("n").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(like.den * bound >= like.num * (both - bound)))
 
