@@ -13,7 +13,7 @@ Those are scored exactly from their whole vectors.
 Defined cases. A vector that is null, or has a null or non-finite component,
 takes no part. Shorter vectors count as filled up with zeros. Ties go to the
 smaller id. A repeated id is a row of its own, but no row is a candidate for a
-query of its own id. Scores beyond a long stop at its ends. An empty table gives
+query of its own id. Scores beyond a long stop at its ends, and tie there. An empty table gives
 no rows. Extra columns are not read.
 """
 
@@ -105,8 +105,9 @@ def _plain_search(ids: np.ndarray, vectors: np.ndarray, own: np.ndarray, queries
     rows = [[int(x) for x in v] for v in vectors]
     for q in range(len(queries)):
         query = [int(x) for x in queries[q]]
-        scores = sorted((-sum(a * b for a, b in zip(query, v)), int(i)) for i, v in zip(ids, rows) if i != own[q])[:k]
-        yield q, [i for _, i in scores], [min(max(-s, -(1 << 63)), (1 << 63) - 1) for s, _ in scores]
+        stopped = ((min(max(sum(a * b for a, b in zip(query, v)), -(1 << 63)), (1 << 63) - 1), int(i)) for i, v in zip(ids, rows) if i != own[q])
+        scores = sorted(stopped, key=lambda s: (-s[0], s[1]))[:k]
+        yield q, [i for _, i in scores], [s for s, _ in scores]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:

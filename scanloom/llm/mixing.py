@@ -100,9 +100,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
         (F.lit(1.0) if weight is None else weight.cast("double")).alias("share"),
     ), "mix-sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), (F.sum(F.col("size") * F.col("share")) / F.sum("size")).alias("mean"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("share")), F.sum("size")), F.lit(1.0)).alias("mean"))
     rows = _beside(_beside(rows, targets(sizes.drop("mean"), weights, cap)), sizes.select("source", "mean"))
-    due = F.when(F.col("source_size") > 0, F.least(F.lit(cap), F.col("target") / F.col("source_size") * F.col("share") / F.col("mean"))).otherwise(0.0)
+    due = F.when(F.col("source_size") > 0, F.least(F.lit(cap), F.try_divide(F.col("target") / F.col("source_size") * F.col("share"), F.col("mean")))).otherwise(0.0)
     rows = rows.withColumn("due", due).withColumn("whole", F.floor(F.col("due") + 1e-12)).withColumn("f", F.greatest(F.col("due") - F.col("whole"), F.lit(0.0)))
     u = uniform(F.col("doc_id"), seed)
     odds = (u / (1 - u)) / (F.col("f") / (1 - F.col("f")))
