@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanloom.llm import mixing, ngram_join, packing, pii, toxicity
-from scanloom.llm.common import settled
+from scanloom.llm.common import settled, small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger scores below 0.5, whatever their labels say."""
+    small_batches(spark)
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs.select(*COLUMNS), chain, keep=True).filter(F.col("predicted") == 0).select(*COLUMNS)
 
@@ -28,6 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without an id stay; of rows of one id one stays.
     """
+    small_batches(spark)
     found = ngram_join.near_duplicates(docs, ngram_join.Similarity(n=5, num=80, den=100))
     kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
     out = docs.select(*COLUMNS).join(kept, "doc_id")
@@ -38,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every identifier, plain or disguised, replaced by its kind."""
+    small_batches(spark)
     out = pii.mask(docs.select(*COLUMNS))
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
@@ -58,6 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens with their places in sequences."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

@@ -271,7 +271,10 @@ def links(filed: DataFrame, point: DataFrame, docs: DataFrame, like: Similarity)
     parts = components(found)
     # What is left: cells whose members are still apart.
     apart = members.filter(F.col("size") > 2).join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(F.col("low") < F.col("high")).select("key")
+    # Near copies share many cells with the same members; one of those cells is enough.
+    same = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"s{k}") for k in range(2)]
+    mixed = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c"), *same)
+    mixed = mixed.filter(F.col("low") < F.col("high")).groupBy("c", "s0", "s1").agg(F.min("key").alias("key")).select("key")
     apart = apart.join(mixed, "key").select("key", "rep", "component").join(point, "rep")
     more = settled(_across(apart, like).join(tried, ["a", "b"], "left_anti"), "pairs")
     again = verified(more, docs, like)

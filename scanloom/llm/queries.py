@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, sql, substring_dedup, token_store, toxicity
+from scanloom.llm.common import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
