@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from scanloom.llm.common import WORD, coded, mix, slices, word_hashes, words_of
 
 #: Bounds of the sample that the model is fitted to.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 2_000, 3_000, 50_000
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_200, 1_800, 50_000
 
 #: A feature needs this many toxic training texts, and this ratio of document rates.
 SUPPORT, RATIO = 5, 8.0
