@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -141,25 +143,27 @@ def norm(*parts: Column) -> Column:
     return F.sqrt(sum((p * p for p in parts[1:]), parts[0] * parts[0]))
 
 
-def baseline(cameras: DataFrame, default: float = 0.06) -> DataFrame:
-    """Median distance of cameras next to each other in name order, ``default`` for fewer than two.
+def baseline(cameras: DataFrame, default: float = 0.06, by: Sequence[str] = ()) -> DataFrame:
+    """Median distance of cameras next to each other in name order, ``default`` for fewer than two; one row a rig.
 
-    ``cameras`` has (sensor_id, t array of 3) and as many rows as a rig has cameras.
+    ``cameras`` has (sensor_id, t array of 3) and the columns ``by`` that name
+    its rig; without them all rows are one rig, which one task orders.
     """
-    before = F.lag("t").over(Window.orderBy("sensor_id"))
-    step = cameras.withColumn("_p", before).filter("_p is not null").select(norm(*(F.col("t")[k] - F.col("_p")[k] for k in range(3))).alias("d"))
-    return step.agg(F.coalesce(F.median("d"), F.lit(default)).alias("baseline"))
+    before = F.lag("t").over(Window.partitionBy(*by).orderBy("sensor_id"))
+    step = cameras.withColumn("_p", before).select(*by, norm(*(F.col("t")[k] - F.col("_p")[k] for k in range(3))).alias("_d"))
+    return step.groupBy(*by).agg(F.coalesce(F.median("_d"), F.lit(default)).alias("baseline"))
 
 
-def cylindrical(cameras: DataFrame, height: int = 480, width: int = 3760) -> DataFrame:
-    """f, y0 and size of the stitched view from (fy, cy) of all cameras."""
-    return cameras.agg(F.median("fy").alias("f"), (F.median("cy") / 480 * height).alias("y0")).select("f", "y0", F.lit(width).alias("width"), F.lit(height).alias("height"))
+def cylindrical(cameras: DataFrame, height: int = 480, width: int = 3760, by: Sequence[str] = ()) -> DataFrame:
+    """f, y0 and size of the stitched view from (fy, cy) of all cameras of a rig."""
+    out = cameras.groupBy(*by).agg(F.median("fy").alias("f"), (F.median("cy") / 480 * height).alias("y0"))
+    return out.select(*by, "f", "y0", F.lit(width).alias("width"), F.lit(height).alias("height"))
 
 
-def reference_camera(cameras: DataFrame, preferred: str = "sensor_0") -> DataFrame:
-    """The preferred camera, else the first by position."""
+def reference_camera(cameras: DataFrame, preferred: str = "sensor_0", by: Sequence[str] = ()) -> DataFrame:
+    """The preferred camera of each rig, else its first by position."""
     order = F.struct((F.col("sensor_id") != preferred).alias("other"), "position")
-    return cameras.agg(F.min_by(F.struct(*cameras.columns), order).alias("c")).select("c.*")
+    return cameras.groupBy(*by).agg(F.min_by(F.struct(*cameras.columns), order).alias("c")).select("c.*")
 
 
 def calibration_rows(k: Column, r: Column, t: Column, base: Column | float) -> dict[str, Column]:

@@ -379,6 +379,15 @@ def frame_times(spark, d):
     return names.frame_times(c.select("conv_id", "turn"), "conv_id", "turn").withColumn("time", F.round("time", 6))
 
 
+@query(
+    """WITH g AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn)-1 AS k, min(turn) OVER w AS lo, count(turn) OVER w=count(DISTINCT turn) OVER w AS once
+ FROM conversations WINDOW w AS (PARTITION BY conv_id)) SELECT conv_id, turn, round(CASE WHEN lo=0 AND once THEN k ELSE turn-lo END*(1.0/15)::double,6) AS time FROM g"""
+)
+def turn_times(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn")
+    return names.frame_times(c, "conv_id", "turn").withColumn("time", F.round("time", 6))
+
+
 @query(
     """WITH s AS (SELECT event_type, epoch_us(ts) AS t, epoch_us(ts)-lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY event_id) AS d FROM events)
  SELECT event_type, count(*) AS n, coalesce(bool_and(d>=0),true) AS monotone, min(t) AS first, max(t) AS last, round(avg(d),3) AS mean_interval,
@@ -430,6 +439,47 @@ def reference_camera(spark, d):
     return geometry.reference_camera(_rig(spark, d), "7").select("sensor_id")
 
 
+#: All vectors, ten to a rig.
+RIGS = (
+    "c AS (SELECT vec_id//10 AS rig, (vec_id%10)::varchar AS sensor_id, embedding[1]::double AS a, embedding[2]::double AS b, "
+    "embedding[3]::double AS e, embedding[4]::double AS f FROM embeddings)"
+)
+
+
+def _rigs(spark, d):
+    """Every vector as a camera, ten to a rig."""
+    v = F.col("embedding")
+    return table(spark, d, "embeddings").select(
+        F.expr("vec_id div 10").alias("rig"), (F.col("vec_id") % 10).cast("string").alias("sensor_id"), F.col("vec_id").alias("position"),
+        F.array(*(v[k].cast("double") for k in range(3))).alias("t"),
+        v[0].cast("double").alias("fy"), v[1].cast("double").alias("cy"), v[2].cast("double").alias("fx"), v[3].cast("double").alias("cx"),
+    )
+
+
+@query(
+    f"WITH {RIGS}, s AS (SELECT rig, a-lag(a) OVER w AS x, b-lag(b) OVER w AS y, e-lag(e) OVER w AS z FROM c WINDOW w AS (PARTITION BY rig ORDER BY sensor_id)) "
+    "SELECT rig, round(coalesce(median(sqrt(x*x+y*y+z*z)),0.06),9) AS baseline FROM s GROUP BY 1"
+)
+def rig_baselines(spark, d):
+    return geometry.baseline(_rigs(spark, d), by=["rig"]).select("rig", F.round("baseline", 9).alias("baseline"))
+
+
+@query(f"WITH {RIGS} SELECT rig, count(*) AS points, " + ", ".join(f"round({f}({v}),9) AS {f}_{c}" for v, c in (("e", "fx"), ("a", "fy"), ("f", "cx"), ("b", "cy")) for f in ("min", "max")) + " FROM c GROUP BY 1")
+def rig_ranges(spark, d):
+    out = quality.cloud_stats(_rigs(spark, d), by=["rig"], axes=("fx", "fy", "cx", "cy"))
+    return out.select("rig", "points", *(F.round(c, 9).alias(c) for c in out.columns if c not in ("rig", "points")))
+
+
+@query(f"WITH {RIGS} SELECT rig, round(median(a),9) AS f, round(median(b)/480*480,9) AS y0, 3760 AS width, 480 AS height FROM c GROUP BY 1")
+def rig_cylinders(spark, d):
+    return geometry.cylindrical(_rigs(spark, d), by=["rig"]).withColumns({"f": F.round("f", 9), "y0": F.round("y0", 9)})
+
+
+@query(f"WITH {RIGS} SELECT rig, CASE WHEN bool_or(sensor_id='7') THEN '7' ELSE min(sensor_id) END AS sensor_id FROM c GROUP BY 1")
+def rig_references(spark, d):
+    return geometry.reference_camera(_rigs(spark, d), "7", by=["rig"]).select("rig", "sensor_id")
+
+
 @query(
     "SELECT vec_id, round(500*e1+320*e3-500*0.06::double,6)+0.0 AS p03, round(500*e2+240*e3,6)+0.0 AS p13, round(e3,6)+0.0 AS p23 FROM "
     "(SELECT vec_id, embedding[1]::double AS e1, embedding[2]::double AS e2, embedding[3]::double AS e3 FROM embeddings)"
