@@ -149,8 +149,10 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
                 d += n.astype(np.uint64)
             band = np.searchsorted(ends, n, side="right") - 1
             new = np.zeros(rows, bool)
+            known = batch.column("doc_id").is_valid().to_pylist()
             for k, name in enumerate(zip(digest[0].tolist(), digest[1].tolist())):
-                if name not in met:
+                # Rows without an id stand for no set: they are dropped later, and their cells with them.
+                if known[k] and name not in met:
                     met.add(name)
                     new[k] = True
             own = np.flatnonzero(new & (band >= 0))

@@ -122,6 +122,19 @@ def test_ngram_join_odd(odd, none):
     assert ngram_join.near_duplicates(none, like).count() == 0
 
 
+def test_ngram_join_ids_come_later(spark):
+    """Rows without an id, first in the task, file nothing for those with one."""
+    like, rng = ngram_join.Similarity(), random.Random(4)
+    rows, near = [], []
+    for k in range(12):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        rows += [(None, " ".join(w)), (2 * k, " ".join(w))]
+        near.append((2 * k + 1, " ".join(w[:-1] + ["other"])))
+    df = spark.createDataFrame([r for r in rows if r[0] is None] + [r for r in rows if r[0] is not None] + near, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, like).collect()}
+    assert got == {i: i - i % 2 for i in range(24)} | {None: None}
+
+
 def test_bound_and_cells():
     """Two sets that link share a cell, whatever their sizes."""
     like, rng = ngram_join.Similarity(3, 90, 100), np.random.default_rng(1)
