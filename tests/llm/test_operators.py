@@ -583,3 +583,23 @@ def test_media(odd, none):
         assert hashlib.sha256(bytes(r.media)).hexdigest() == r.media_sha256 and r.media_bytes == len(r.media)
         assert back[: r.n_bytes].decode() in {t or "" for _, t, _ in ODD}
     assert len({r.feature for r in got if r.doc_id == 4}) == 1 and jpeg.media(none).count() == 0
+
+
+def test_layout():
+    """Sides stay within the format's sixteen bits, and the image within a row of the blocks."""
+    for blocks in (0, 1, 6, 7, 193, 6 * 32 * 4095, 6 * 32 * 4095 + 1, 6 * 33 * 4095 + 1, 1 << 25):
+        wide, high = jpeg.layout(blocks)
+        assert max(wide, high) * 16 < 1 << 16 and 6 * wide * (high - 1) < max(1, blocks) <= 6 * wide * high
+    assert jpeg.layout(6 * 32 * 4095) == (32, 4095) and jpeg.layout(6 * 32 * 4095 + 1)[0] == 33
+    with pytest.raises(ValueError):
+        jpeg.layout(6 * 4095 * 4095 + 1)
+
+
+def test_media_files(spark, odd):
+    """What media() describes lies in the shared folder."""
+    top = common.shared_dir(spark).removeprefix("file://")
+    before = {d for d in os.listdir(top) if d.startswith("media-")} if os.path.isdir(top) else set()
+    got = jpeg.media(odd).collect()
+    (new,) = {d for d in os.listdir(top) if d.startswith("media-")} - before
+    files = [bytes(r.media) for r in spark.read.parquet(f"{top}/{new}").collect()]
+    assert sorted(hashlib.sha256(f).hexdigest() for f in files) == sorted(r.media_sha256 for r in got)
