@@ -15,7 +15,7 @@ from scanloom.llm.common import settled
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node with a link in (a, b) to another; the component is its least node."""
+    """(node, component) of every node with a link in (a, b) to another but the least one of each component, which names it."""
     now = links.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = settled(now, "links")
     before = None

@@ -3,28 +3,35 @@
 A document is the set of its distinct shingles. Two sets of sizes p and q link at
 Jaccard similarity t if they differ in at most ``(p + q) * (1 - t) / (1 + t)``
 shingles. Shingles are hashed into groups, and a document is the point of its
-group counts. The index is a tree of such points in three levels: slabs by the
-sum of the coordinates (bands of set sizes, a document near a slab's end lies in
-both), cells by blocks of coordinates, and points. A query box at radius D around
-a point can't be cut into few cells in all coordinates at once, for at these
-thresholds all points of a slab lie in each other's boxes; but with more than D
-blocks, two points within D agree in some block, so a document is filed under the
-exact counts of its blocks. Of blocks it takes the fullest ones that are enough:
-with D + 1 of them filed two linked documents share one.
-
-Points of a cell are bounded by their summed coordinate minima over all groups,
-an upper bound of the overlap, and pairs that survive are verified on the sets.
-
-Equal sets are one class from the start. In each cell the members are first
-paired with one of them, the one that shares most; what this joins is not paired
-again, and only members of different components are compared further, in blocks,
-so that groups of near copies don't make all their pairs. No link between
-different components is skipped.
+group counts. The index is a tree of such points: slabs by the sum of the
+coordinates (bands of set sizes, a document near a slab's end lies in both), cells
+by blocks of coordinates, and in a cell boxes of points.
+
+A query box at radius D around a point can't be cut into few cells in all
+coordinates at once, for at these thresholds all points of a slab lie in each
+other's boxes; but with more than D blocks, two points within D agree in some
+block, so a document is filed under the exact counts of its blocks. Blocks are put
+in one order, the rarest first, by a sketch of how often each occurs; of two
+documents that link both have the first block on which they agree among their
+first D + 1, so only these are filed, and none that occurs once.
+
+In each cell the members are first paired with one of them, the one that shares
+most. Those that stay apart from their cell's largest component are compared with
+it, and then with each other, in tasks of bounded chunks: a tree of a chunk's
+points halves the coordinate of greatest spread, with the greatest counts of each
+branch as the corner of its box; summed coordinate minima with a corner bound the
+overlap with all points below, those with a point that with it alone, and pairs
+that survive are verified on the sets there. Only links that join two components
+leave a task, so that groups of near copies don't make all their pairs; no link
+between different components is skipped.
+
+Sets are told apart by 64-bit digests of 64-bit shingle hashes.
 
 Defined cases. A null or empty text is an empty set without links. With fewer
 words than ``n`` the sequence is one shingle. Rows without an id have no links
-and no component. Rows of one id are one document to links. Repeated rows give
-repeated results. Extra columns are not read.
+and no component. Rows of one id are one document: what any of its texts links to
+is linked through it. A row without words is linked with nothing, whatever its id.
+Repeated rows give repeated results. Extra columns are not read. Results don't hang on the order of rows.
 """
 
 from __future__ import annotations
@@ -46,10 +53,13 @@ BATCH_BYTES = 1 << 20
 BAND, COORDINATES, SPARE = 1.5, 1 << 16, 1.3
 
 #: Shingles in a group of the bound, at most on average; there are a power of two of groups, and 64 at least.
-EACH = 4
+EACH = 2
 
-#: Members of a cell that one task compares with as many others.
-CHUNK = 512
+#: Levels of a block's frequency: occurrences from which on, bits of the sketch, weight.
+LEVELS = ((2, 1 << 27, 1), (8, 1 << 25, 8), (64, 1 << 23, 64))
+
+#: Members of a cell that one task compares with as many others, and those of a leaf.
+CHUNK, LEAF = 512, 16
 
 
 @dataclass(frozen=True)
@@ -95,19 +105,20 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(size))))), h[new]
 
 
-def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.ndarray, band: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (document, cell key) of ``docs``, each in the slab ``band``.
+def _blocks(like: Similarity, top: np.ndarray) -> np.ndarray:
+    """Blocks in the slab that ends at size ``top``."""
+    return np.ceil((like.most(2 * top) + 1) * SPARE).astype(np.int64) + 1
 
-    Two documents of a slab that link differ in at most ``most`` blocks of the
-    first or of the second one's bound. Blocks are ordered by fullness, then by
-    their key, which is alike in both where they agree; each document files its
-    first ``bound + 1`` ones. The one whose last block is ordered higher files a
-    block that agrees, and the other files it as well.
-    """
-    top = ends[band + 1] - 1
-    blocks = np.ceil((like.most(2 * top) + 1) * SPARE).astype(np.int64) + 1
+
+def _needed(like: Similarity, size: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """How many blocks a set of ``size`` files in that slab: one more than it may differ in."""
+    return like.most(size + np.minimum(size * like.den // like.num, top)) + 1
+
+
+def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.ndarray, band: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many blocks each of ``docs`` has in the slab ``band``, and the cell key of every block."""
+    blocks = _blocks(like, ends[band + 1] - 1)
     size = np.diff(offsets)[docs]
-    need = like.most(size + np.minimum(size * like.den // like.num, top)) + 1
     h = sets[gathered(offsets[docs], size)]
     row = np.repeat(np.arange(len(docs)), size)
     first = np.cumsum(blocks) - blocks
@@ -121,204 +132,274 @@ def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.nda
     owner = np.repeat(np.arange(len(docs)), blocks)
     number = np.arange(total) - first[owner]
     key = mix(vector + mix(np.uint64(1 << 50) * band.astype(np.uint64)[owner] + number.astype(np.uint64)) + counts.astype(np.uint64))
-    # Counts in the upper bits, keys below: one number to order by, within each document.
-    fullness = (np.minimum(counts, (1 << 16) - 1).astype(np.uint64) << np.uint64(47)) | (key >> np.uint64(17))
-    order = np.lexsort((~fullness, owner))
-    kept = order[gathered(first, need)]
-    return docs[owner[kept]], key[kept].view(np.int64)
+    return blocks, key.view(np.int64)
 
 
-def folded(counts: bytes, size: int) -> np.ndarray:
-    """Counts of ``size`` groups from those of a multiple: groups are hashes modulo a power of two."""
-    return np.frombuffer(counts, "<u2").reshape(-1, size).sum(axis=0, dtype=np.int32)
+def digests(offsets: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of each set: the sum of its shingles' second hashes."""
+    n = np.diff(offsets)
+    d = np.zeros(len(n), np.uint64)
+    np.add.at(d, np.repeat(np.arange(len(n)), n), mix(sets + np.uint64(0xD1B54A32D192ED03)))
+    return mix(d + n.astype(np.uint64)).view(np.int64)
 
 
 def points(docs: DataFrame, like: Similarity) -> DataFrame:
-    """(doc_id, n, d1, d2, keys, groups): set size, digest of the set, cells, and counts for the bound."""
+    """(doc_id, n, node, own, up): set size, digest of the set, and cells of all blocks in its slab and in the next."""
     ends = like.bands()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[tuple[int, int]] = set()  # sets that this task has filed already
+        met: set[int] = set()  # sets whose cells this task has given already
         for batch in slices(batches, "text", BATCH_BYTES):
             offsets, sets = shingle_sets(batch.column("text"), like.n)
             n, rows = np.diff(offsets), batch.num_rows
-            doc = np.repeat(np.arange(rows), n)
-            digest = [np.zeros(rows, np.uint64) for _ in range(2)]
-            for k, d in enumerate(digest):
-                np.add.at(d, doc, mix(sets + np.uint64(0xD1B54A32D192ED03 + k)))
-                d += n.astype(np.uint64)
+            node = digests(offsets, sets)
             band = np.searchsorted(ends, n, side="right") - 1
             new = np.zeros(rows, bool)
-            known = batch.column("doc_id").is_valid().to_pylist()
-            for k, name in enumerate(zip(digest[0].tolist(), digest[1].tolist())):
-                # Rows without an id stand for no set: they are dropped later, and their cells with them.
-                if known[k] and name not in met:
-                    met.add(name)
+            # Rows without an id stand for no set.
+            for k in np.flatnonzero(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False) & (n > 0)).tolist():
+                if int(node[k]) not in met:
+                    met.add(int(node[k]))
                     new[k] = True
-            own = np.flatnonzero(new & (band >= 0))
+            lists = []
             # Near its upper end a document lies in the next slab too, and just below the first slab in the first.
-            up = np.flatnonzero(new & (n * like.den >= ends[band + 1] * like.num))
-            where, key = (np.concatenate(x) for x in zip(_cells(like, offsets, sets, own, band[own], ends), _cells(like, offsets, sets, up, band[up] + 1, ends)))
-            order = np.argsort(where, kind="stable")
-            keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(where, minlength=rows)))).astype(np.int32)), pa.array(key[order]))
-            size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1) / EACH)).astype(np.int64).clip(0))
-            first = np.cumsum(size) - size
-            group = first[doc] + (mix(sets ^ np.uint64(0x2545F4914F6CDD1D)) & (size[doc] - 1).astype(np.uint64)).astype(np.int64)
-            data = np.minimum(np.bincount(group, minlength=int(size.sum())), (1 << 16) - 1).astype("<u2")
-            groups = [data[k : k + m].tobytes() for k, m in zip(first.tolist(), size.tolist())]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": n, "d1": digest[0].view(np.int64), "d2": digest[1].view(np.int64),
-                "keys": keys, "groups": pa.array(groups, pa.binary()),
-            })
+            for which, up in ((new & (band >= 0), 0), (new & (n * like.den >= ends[band + 1] * like.num), 1)):
+                own = np.flatnonzero(which)
+                blocks, key = _cells(like, offsets, sets, own, band[own] + up, ends)
+                size = np.zeros(rows + 1, np.int32)
+                size[own + 1] = blocks
+                lists.append(pa.ListArray.from_arrays(pa.array(np.cumsum(size, dtype=np.int32)), pa.array(key)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(node), *lists], names=["doc_id", "n", "node", "own", "up"])
 
-    return docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n long, d1 long, d2 long, keys array<bigint>, groups binary")
+    return docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n long, node long, own array<bigint>, up array<bigint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (a, b) whose sets link. Texts are read again for those documents alone."""
+def filed(every: DataFrame, like: Similarity) -> DataFrame:
+    """(key, node, weight) of the blocks that each set files: of its rarest ones those that occur again.
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", BATCH_BYTES):
-            offsets, sets = shingle_sets(batch.column("text"), like.n)
-            yield pa.RecordBatch.from_pydict({"id": batch.column("doc_id"), "s": pa.array([sets[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())})
+    How often blocks occur goes to the tasks as maps of bits of bounded size, one
+    for each level. Where they fill up, blocks only pass as more frequent ones;
+    any order that is alike for all documents finds every link.
+    """
+    ends = like.bands()
+    known = every.filter((F.size("own") > 0) | (F.size("up") > 0))
+    counted = known.select(F.explode(F.concat("own", "up")).alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
+    counted = settled(counted, "frequencies")
+    sketch = every.sparkSession.sparkContext.broadcast([bitmap(counted.filter(F.col("c") >= least), "key", bits) for least, bits, _ in LEVELS])
+    weights = np.cumsum([0, *(w for _, _, w in LEVELS)])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate((p, q))
-                both.sort(kind="stable")
-                same = int(np.count_nonzero(both[1:] == both[:-1]))
-                ok.append(like.den * same >= like.num * (len(both) - same))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    own = settled(likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(sets_of, "id long, s binary"), "sets")
-    joined = pairs.join(own.select(F.col("id").alias("a"), "s"), "a").join(own.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
-    return settled(joined.select("a", "b", "s", "t").mapInArrow(check, "a long, b long"), "links-found")
+            size, node = (batch.column(c).to_numpy() for c in ("n", "node"))
+            band = np.searchsorted(ends, size, side="right") - 1
+            weight, parts = np.zeros(len(size), np.int64), []
+            for name, up in (("own", 0), ("up", 1)):
+                lists = batch.column(name)
+                edges = lists.offsets.to_numpy()
+                key, row = lists.values.to_numpy()[edges[0] : edges[-1]], np.repeat(np.arange(len(size)), np.diff(edges))
+                left = _needed(like, size, ends[band + 1 + up] - 1)
+                again = np.flatnonzero(in_bitmap(sketch.value[0], key))
+                # Blocks that occur once come first in the order, and nobody else files them.
+                left -= np.diff(edges) - np.bincount(row[again], minlength=len(size))
+                key, row = key[again], row[again]
+                level = np.ones(len(key), np.int64)
+                for k, bits in enumerate(sketch.value[1:], 2):
+                    some = np.flatnonzero(level == k - 1)
+                    level[some[in_bitmap(bits, key[some])]] = k
+                np.add.at(weight, row, weights[level])
+                some = np.flatnonzero(left[row] > 0)
+                key, row, level = key[some], row[some], level[some]
+                order = np.lexsort((key, level, row))
+                key, row = key[order], row[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < left[row]
+                parts.append((key[kept], row[kept]))
+            key, row = (np.concatenate(x) for x in zip(*parts))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), pa.array(weight[row])], names=["key", "node", "weight"])
+
+    return known.select("n", "node", "own", "up").mapInArrow(passing, "key long, node long, weight long").distinct()
+
+
+def sets_of(docs: DataFrame, every: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
+    """(node, groups, s) of the sets ``nodes``: counts for the bound and ascending shingles. Their texts alone are read again."""
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            offsets, sets = shingle_sets(batch.column("text"), like.n)
+            n = np.diff(offsets)
+            size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1) / EACH)).astype(np.int64).clip(0))
+            first, row = np.cumsum(size) - size, np.repeat(np.arange(len(n)), n)
+            group = first[row] + (mix(sets ^ np.uint64(0x2545F4914F6CDD1D)) & (size[row] - 1).astype(np.uint64)).astype(np.int64)
+            data = np.bincount(group, minlength=int(size.sum())).astype("<u2")
+            yield pa.RecordBatch.from_pydict({
+                "node": digests(offsets, sets), "groups": pa.array([data[a : a + m].tobytes() for a, m in zip(first.tolist(), size.tolist())], pa.binary()),
+                "s": pa.array([sets[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary()),
+            })
 
-def _across(members: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs of a cell's members (key, rep, n, groups, component) of different components within the bound.
+    ids = every.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    ids = settled(ids, "ids")
+    texts = likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id", "left_semi")
+    # An id may have several texts, and other rows the same set.
+    return texts.mapInArrow(found, "node long, groups binary, s binary").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("groups").alias("groups"), F.first("s").alias("s"))
 
-    Members of a cell are dealt into chunks; each pair of chunks is one group.
-    """
-    size = members.groupBy("key").agg(F.count("*").alias("size"))
-    dealt = members.join(size, "key").withColumn("chunks", F.ceil(F.col("size") / CHUNK)).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
-    other = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: F.struct(F.least(k, "chunk").alias("i"), F.greatest(k, "chunk").alias("j"))))
-    dealt = dealt.select("key", "rep", "n", "groups", "component", "chunk", other.alias("cell")).select("*", "cell.i", "cell.j")
 
-    def compare(t: pa.Table) -> pa.Table:
-        rep, n, comp, chunk = (t.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        counts = t.column("groups").to_pylist()
-        size = min(map(len, counts)) // 2
-        g = np.stack([folded(c, size) for c in counts])
-        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        out = ([], [])
-        for at in range(0, len(left), 64):
-            x = left[at : at + 64]
-            bound = np.zeros((len(x), len(right)), np.int32)
-            for k in range(size):
-                bound += np.minimum(g[x, k][:, None], g[right, k][None, :])
-            both = n[x][:, None] + n[right][None, :]
-            # |A & B| is at most the summed minima, and |A | B| the rest of both.
-            ok = (like.den * bound >= like.num * (both - bound)) & (comp[x][:, None] != comp[right][None, :])
-            if i == j:
-                ok &= rep[x][:, None] < rep[right][None, :]
-            p, q = np.nonzero(ok)
-            out[0].append(rep[x[p]])
-            out[1].append(rep[right[q]])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in out)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def folded(counts: bytes, size: int) -> np.ndarray:
+    """Counts of ``size`` groups from those of a multiple: groups are hashes modulo a power of two."""
+    return np.frombuffer(counts, "<u2").reshape(-1, size).sum(axis=0, dtype=np.int32)
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
+def linked(x: bytes, y: bytes, like: Similarity) -> bool:
+    """Whether two sets link, by their ascending shingles."""
+    both = np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
+    both.sort(kind="stable")
+    same = int(np.count_nonzero(both[1:] == both[:-1]))
+    return like.den * same >= like.num * (len(both) - same)
 
-def _filed(every: DataFrame) -> DataFrame:
-    """(key, doc_id) of the cells that more than one row lies in.
 
-    Cells are counted first. Which have a second row goes to the tasks as a map
-    of bits of bounded size; what passes it is a little more than that, and the
-    exact count comes after.
-    """
-    counted = every.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    shared = every.sparkSession.sparkContext.broadcast(bitmap(counted, "key"))
+def starred(members: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """Links (a, b) of each cell's members to the one of most weight."""
+    best = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best")).select("key", F.col("best.node").alias("hub"))
+    pairs = members.join(best, "key").filter(F.col("node") != F.col("hub")).select("hub", "node").distinct()
 
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("keys")
-            flat, ends = keys.values.to_numpy(), keys.offsets.to_numpy()
-            at = np.arange(ends[0], ends[-1])
-            at = at[in_bitmap(shared.value, flat[at])]
-            row = np.searchsorted(ends, at, side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), batch.column("doc_id").take(pa.array(row))], names=["key", "doc_id"])
-
-    return every.filter(F.size("keys") > 0).select("doc_id", "keys").mapInArrow(passing, "key long, doc_id long")
-
-
-def links(filed: DataFrame, point: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
-    """(node, component) of all documents that link to another, from cells (key, rep) and points (rep, n, groups)."""
-    filed = settled(filed, "filed")
-    shared = filed.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
-    members = settled(filed.join(shared, "key"), "cells")
-    # In each cell the member that shares most cells with most others is paired with the rest.
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    best = members.join(weight, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("best"))
-    star = members.join(best.select("key", (-F.col("best.minus")).alias("hub")), "key").filter(F.col("rep") != F.col("hub"))
-    tried = star.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    tried = settled(_bounded(tried, point, like), "pairs")
-    found = verified(tried, docs, like)
-    parts = components(found)
-    # What is left: cells whose members are still apart.
-    apart = members.filter(F.col("size") > 2).join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # Near copies share many cells with the same members; one of those cells is enough.
-    same = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"s{k}") for k in range(2)]
-    mixed = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c"), *same)
-    mixed = mixed.filter(F.col("low") < F.col("high")).groupBy("c", "s0", "s1").agg(F.min("key").alias("key")).select("key")
-    apart = apart.join(mixed, "key").select("key", "rep", "component").join(point, "rep")
-    more = settled(_across(apart, like).join(tried, ["a", "b"], "left_anti"), "pairs")
-    again = verified(more, docs, like)
-    return components(found.unionByName(again))
-
-
-def _bounded(pairs: DataFrame, point: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs whose summed coordinate minima allow a link."""
+            ok = []
+            for g, x, h, y in zip(*(batch.column(c).to_pylist() for c in ("groups", "s", "h", "t"))):
+                size, both = min(len(g), len(h)) // 2, (len(x) + len(y)) // 8
+                bound = int(np.minimum(folded(g, size), folded(h, size)).sum())
+                ok.append(like.den * bound >= like.num * (both - bound) and linked(x, y, like))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bound = np.zeros(batch.num_rows, np.int64)
-            for k, (g, h) in enumerate(zip(batch.column("g").to_pylist(), batch.column("h").to_pylist())):
-                size = min(len(g), len(h)) // 2
-                bound[k] = np.minimum(folded(g, size), folded(h, size)).sum()
-            both = batch.column("m").to_numpy() + batch.column("n").to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(like.den * bound >= like.num * (both - bound)))
+    of_hub = sets.select(F.col("node").alias("hub"), F.col("groups").alias("h"), F.col("s").alias("t"))
+    rows = pairs.join(of_hub, "hub").join(sets, "node").select(F.col("node").alias("a"), F.col("hub").alias("b"), "groups", "s", "h", "t")
+    return rows.mapInArrow(check, "a long, b long")
+
+
+class Boxes:
+    """A tree over points of group counts: branches halve the coordinate of greatest spread."""
+
+    def __init__(self, counts: np.ndarray, size: np.ndarray):
+        self.counts, self.size = counts, size
+        self.corner: list[np.ndarray] = []
+        self.least: list[int] = []
+        self.below: list[tuple[int, int] | np.ndarray] = []
+        self._grow(np.arange(len(counts)))
+
+    def _grow(self, rows: np.ndarray) -> int:
+        at, c = len(self.below), self.counts[rows]
+        self.corner.append(c.max(axis=0))
+        self.least.append(int(self.size[rows].min()))
+        self.below.append(rows)
+        if len(rows) > LEAF and (spread := self.corner[at] - c.min(axis=0)).any():
+            order = rows[np.argsort(c[:, int(spread.argmax())], kind="stable")]
+            self.below[at] = (self._grow(order[: len(order) // 2]), self._grow(order[len(order) // 2 :]))
+        return at
+
+    def near(self, counts: np.ndarray, size: int, like: Similarity) -> np.ndarray:
+        """The points whose summed coordinate minima with ``counts`` allow a link."""
+        out, todo = [], [0]
+        while todo:
+            # |A & B| is at most the summed minima, and |A | B| the rest of both.
+            bound = np.minimum(np.stack([self.corner[k] for k in todo]), counts).sum(axis=1)
+            ok = like.den * bound >= like.num * (size + np.array([self.least[k] for k in todo]) - bound)
+            kept = [self.below[k] for k, yes in zip(todo, ok.tolist()) if yes]
+            out += [x for x in kept if isinstance(x, np.ndarray)]
+            todo = [c for x in kept if isinstance(x, tuple) for c in x]
+        rows = np.concatenate(out) if out else np.zeros(0, np.int64)
+        bound = np.minimum(self.counts[rows], counts).sum(axis=1)
+        return rows[like.den * bound >= like.num * (size + self.size[rows] - bound)]
+
+
+def spanning(node: np.ndarray, component: np.ndarray, groups: list[bytes], sets: list[bytes], left: np.ndarray, right: np.ndarray, like: Similarity) -> list[tuple[int, int]]:
+    """Links between members ``left`` and ``right`` (which may be alike) that join different components."""
+    size = min(map(len, groups)) // 2
+    counts, n = np.stack([folded(g, size) for g in groups]), np.array([len(s) // 8 for s in sets])
+    tree, parent = Boxes(counts[right], n[right]), {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    out = []
+    for x in left.tolist():
+        near = right[tree.near(counts[x], int(n[x]), like)]
+        near = near[(component[near] != component[x]) & ((near > x) | (left is not right))]
+        for y in near.tolist():
+            a, b = root(int(component[x])), root(int(component[y]))
+            if a != b and linked(sets[x], sets[y], like):
+                parent[a] = b
+                out.append((int(node[x]), int(node[y])))
+    return out
+
+
+def compared(rows: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """Links (a, b) between members of a group (key, node, component, inner) of different components.
+
+    Those that aren't ``inner`` are compared with all that are, or with each other
+    where none is. Groups of any size are dealt into chunks; each pair of chunks
+    that has to meet is one task's work.
+    """
+    chunks = {n: F.ceil(F.count_if(c) / F.lit(CHUNK)).cast("long").alias(n) for n, c in (("of_x", ~F.col("inner")), ("of_y", F.col("inner")))}
+    rows = rows.join(rows.groupBy("key").agg(*chunks.values()), "key")
+    c = F.pmod(F.xxhash64("node"), F.when(F.col("inner"), F.col("of_y")).otherwise(F.col("of_x")))
+    over = lambda n, cell: F.transform(F.sequence(F.lit(0).cast("long"), F.col(n) - 1), lambda k: F.struct(*(x.alias(n) for x, n in zip(cell(k), "ij"))))
+    cells = F.when(F.col("inner"), over("of_x", lambda k: (k, F.col("of_x") + F.col("chunk")))).when(F.col("of_y") > 0, over("of_y", lambda k: (F.col("chunk"), F.col("of_x") + k)))
+    cells = cells.otherwise(over("of_x", lambda k: (F.least(k, "chunk"), F.greatest(k, "chunk"))))
+    rows = rows.withColumn("chunk", c).select("key", "node", "component", (F.col("chunk") + F.when(F.col("inner"), F.col("of_x")).otherwise(0)).alias("part"), cells.alias("cells"))
+    rows = rows.select("key", "node", "component", "part", F.explode("cells").alias("cell")).select("key", "node", "component", "part", "cell.i", "cell.j")
 
-    joined = pairs.join(point.select(F.col("rep").alias("a"), F.col("n").alias("m"), F.col("groups").alias("g")), "a")
-    joined = joined.join(point.select(F.col("rep").alias("b"), "n", F.col("groups").alias("h")), "b")
-    return joined.select("a", "b", "m", "n", "g", "h").mapInArrow(within, "a long, b long")
+    def compare(t: pa.Table) -> pa.Table:
+        node, component, part = (t.column(x).to_numpy() for x in ("node", "component", "part"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        left = np.flatnonzero(part == i)
+        right = left if i == j else np.flatnonzero(part == j)
+        found = spanning(node, component, t.column("groups").to_pylist(), t.column("s").to_pylist(), left, right, like) if len(left) and len(right) else []
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return rows.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
+    """(a, b): links between different sets, enough of them to join all that hang together."""
+    own = settled(filed(every, like), "filed")
+    shared = own.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1).select("key")
+    members = settled(own.join(shared, "key"), "cells")
+    sets = settled(sets_of(docs, every, members.select("node").distinct(), like), "sets")
+    star = settled(starred(members, sets, like), "links-found")
+    parts = components(star)
+
+    # Cells whose members are still apart: all but those of the cell's largest component are compared
+    # with that component, which is one group for all its cells, ...
+    apart = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = apart.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
+    mixed = mixed.filter(F.col("parts") > 1).select("key", F.col("most.component").alias("large"))
+    rest = settled(apart.join(mixed, "key").filter(F.col("component") != F.col("large")), "rest")
+    asked = rest.select(F.col("large").alias("key"), "node", "component", F.lit(False).alias("inner")).distinct()
+    whole = apart.select(F.col("component").alias("key"), "node", "component", F.lit(True).alias("inner")).distinct().join(asked.select("key").distinct(), "key", "left_semi")
+    with_large = settled(compared(asked.unionByName(whole), sets, like), "links-found")
+    parts = components(star.unionByName(with_large))
+
+    # ... and then with each other. Near copies share many cells with the same members; one of those cells is enough.
+    rest = rest.select("key", "node").join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    same = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"s{k}") for k in range(2)]
+    mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c"), *same)
+    mixed = mixed.filter(F.col("low") < F.col("high")).groupBy("c", "s0", "s1").agg(F.min("key").alias("key")).select("key")
+    among = settled(compared(rest.join(mixed, "key").withColumn("inner", F.lit(False)), sets, like), "links-found")
+    return parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(among)
 
 
 def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     every = settled(points(docs, like), "points")
-    known = every.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    # Equal sets are a class, and rows of one id one document: both by the least id.
-    classes = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    of = settled(known.select("doc_id", "d1", "d2").distinct().join(classes, ["d1", "d2"]).select("doc_id", "rep", "d1", "d2"), "classes")
-    own = of.select("doc_id", "d1", "d2", "rep").distinct()
-    point = known.select("doc_id", "d1", "d2", "n", "groups").join(own.filter(F.col("doc_id") == F.col("rep")), ["doc_id", "d1", "d2"])
-    point = settled(point.dropDuplicates(["rep"]).select("rep", "n", "groups"), "reps")
-    # A class is filed under the row of it that a task met first; the cell counts it once, by its least id.
-    filed = _filed(known).join(own.select("doc_id", "rep").distinct(), "doc_id").select("key", "rep").distinct()
-    found = links(filed, point, docs, like)
-    same = of.filter(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    ids = of.groupBy("doc_id").agg(F.count("*").alias("texts"))
-    # Where an id has several texts, its classes may hang together through it alone.
-    through = of.join(ids.filter(F.col("texts") > 1), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    label = of.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    if through.take(1):
-        label = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same).unionByName(through)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
-    out = every.select("doc_id", F.col("n").alias("n_shingles")).join(label, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    known = every.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "node")
+    found = links(docs, every, like)
+    # Where an id has several texts, they hang together through it.
+    several = known.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("high")).filter(F.col("b") < F.col("high"))
+    found = components(found.unionByName(known.join(several.select("doc_id", "b"), "doc_id").select(F.col("node").alias("a"), "b")))
+    found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    classes = known.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
+    classes = classes.join(found, "node", "left").filter((F.col("least") < F.col("last")) | F.col("component").isNotNull())
+    classes = classes.select("node", "least", F.coalesce("component", "node").alias("component"))
+    label = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
+    out = every.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left")
+    # A row without an id is in nobody's component.
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

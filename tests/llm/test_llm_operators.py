@@ -153,10 +153,61 @@ def test_bound_and_cells():
             offsets = np.array([0, len(s)])
             own = ngram_join._cells(like, offsets, s, np.array([0]), band, ends)[1].tolist() if band[0] >= 0 else []
             up = ngram_join._cells(like, offsets, s, np.array([0]), band + 1, ends)[1].tolist() if m[0] * like.den >= ends[band[0] + 1] * like.num else []
-            keys.append({*own, *up})
+            # In any order alike for both, the first ones that each files share one.
+            top = [ends[band[0] + 1 + k] - 1 for k in (0, 1)]
+            order = lambda k: (k * 0x9E3779B1 >> 7) % 4
+            keys.append({k for part, t in zip((own, up), top) for k in sorted(part, key=lambda k: (order(k), k))[: int(ngram_join._needed(like, m[0], t))]})
         assert keys[0] & keys[1], n
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_ngram_join_in_any_order(spark, shuffled):
+    """Rows without an id, other texts of an id, and texts of one id that link to different documents."""
+    like, rng = ngram_join.Similarity(3, 90, 100), random.Random(7)
+
+    def pair():
+        w = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        return " ".join(w), " ".join(w[:-1] + ["other"])
+
+    (t, n), (u, v), (x, y), (p, q), (r, _) = (pair() for _ in range(5))
+    rows = [(None, t), (5, t), (9, n), (15, "other text"), (15, u), (19, v), (25, x), (25, p), (29, y), (31, q), (41, r), (42, "other text"), (15, None)]
+    df = spark.createDataFrame(rows[::-1] if shuffled else rows, "doc_id long, text string").coalesce(1)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.near_duplicates(df, like).collect()}
+    assert got == {(None, 398): None, (5, 398): 5, (9, 398): 5, (15, 1): 15, (15, 398): 15, (15, 0): 15, (19, 398): 15, (25, 398): 25, (29, 398): 25, (31, 398): 25, (41, 398): 41, (42, 1): 15}
+
+
+def test_ngram_join_of_large_groups(spark, monkeypatch):
+    """Chains of near copies in which each links to few others, in chunks and boxes of a few members."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 6)
+    monkeypatch.setattr(ngram_join, "LEAF", 2)
+    like, rng, rows = ngram_join.Similarity(), random.Random(9), []
+    for group in range(3):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(90)]
+        for k in range(30):
+            if k % 5 == 0:
+                now = list(w)
+            now[rng.randrange(90)] = f"new{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(now)))
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), like).collect()}
+    assert got == linked(rows, like)
+
+
+def test_boxes():
+    like, rng = ngram_join.Similarity(), np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300, 120).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
+    sets += [np.unique(np.concatenate((s[:-4], rng.integers(0, 1 << 63, 4, np.uint64)))) for s in sets]
+    counts = np.stack([np.bincount((common.mix(s) & np.uint64(63)).astype(np.int64), minlength=64) for s in sets])
+    size = np.array([len(s) for s in sets])
+    tree = ngram_join.Boxes(counts, size)
+    for k, s in enumerate(sets):
+        want = [j for j, t in enumerate(sets) if like.den * len(np.intersect1d(s, t)) >= like.num * len(np.union1d(s, t))]
+        near = tree.near(counts[k], int(size[k]), like).tolist()
+        assert set(want) <= set(near) and len(near) < len(sets)
+    nodes = [i for i in range(120)]
+    found = ngram_join.spanning(np.array(nodes), np.array(nodes), [c.astype("<u2").tobytes() for c in counts], [s.tobytes() for s in sets], np.array(nodes), np.array(nodes), like)
+    assert {(min(a, b), max(a, b)) for a, b in found} >= {(k, k + 60) for k in range(60)} and len(found) == 60
+
+
 # --- 2: pages ------------------------------------------------------------------------
 
 
