@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, sql, substring_dedup, token_store, toxicity
 from scanloom.llm.common import small_batches
 
@@ -61,6 +60,13 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # At the repository's top, and built on this package.
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -73,7 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_store": op8_token_store,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_jpeg": op10_jpeg,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline,
     }
 
 

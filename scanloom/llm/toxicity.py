@@ -10,8 +10,8 @@ the share), which a logistic fit turns into a score. Spans are runs of tokens
 that are more likely toxic than not.
 
 The fit uses a bounded sample of labelled rows (``FIT_TOXIC`` and ``FIT_CLEAN``
-rows in the order of a hash of their ids, texts of at most ``FIT_CHARS``
-characters); scoring reads every whole text, with the texts alone as input.
+different texts of at most ``FIT_CHARS`` characters, in the order of a hash of
+their least ids); scoring reads every whole text, with the texts alone as input.
 
 Away from words that carry a learned feature the chain is at rest: beyond
 ``MARGIN`` tokens from the next such word a token has the resting marginal, and
@@ -25,7 +25,6 @@ null id count as not held out and never train. Extra columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,10 +34,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import WORD, coded, mix, slices, word_hashes, words_of
+from scanloom.llm.common import WORD, coded, mix, settled, slices, word_hashes, words_of
 
 #: Bounds of the sample that the model is fitted to.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_200, 1_800, 50_000
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 3_000, 4_000, 50_000
 
 #: A feature needs this many toxic training texts, and this ratio of document rates.
 SUPPORT, RATIO = 5, 8.0
@@ -162,68 +161,105 @@ def emissions(chain: Chain, words: pa.Array) -> np.ndarray:
     return own[code]
 
 
-def fit(texts: list[str], toxic: list[int], prior: float) -> Chain:
-    """A chain from labelled texts; ``prior`` is the share of toxic rows among all labelled ones."""
-    chain = Chain()
-    once = list({t: y for t, y in zip(texts, toxic)}.items())  # copies count once
-    y = np.array([v for _, v in once], bool)
-    if not y.any() or y.all():
-        return chain
-    offsets, words = words_of(pa.array([t for t, _ in once], pa.string()))
-    code, distinct = coded(words)
-    pieces = distinct.to_pylist()
-    doc = np.repeat(np.arange(len(y)), np.diff(offsets))
-    # Near copies share a label and all their words: of those with an equal least
-    # hash over long words, by either of two hashes, one is counted.
-    rank = word_hashes(distinct)
-    rank[pc.less(pc.utf8_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False)] = np.iinfo(np.uint64).max
-    least = [np.minimum.reduceat(np.append(h[code], np.iinfo(np.uint64).max), offsets[:-1]) for h in (rank, np.where(rank == np.iinfo(np.uint64).max, rank, mix(rank)))]
-    met: set = set()
-    counted = np.zeros(len(y), bool)
-    for d in range(len(y)):
-        keys = {(k, bool(y[d]), int(h[d])) for k, h in enumerate(least) if h[d] != np.iinfo(np.uint64).max}
-        if offsets[d + 1] > offsets[d] and not keys & met:
-            met |= keys
-            counted[d] = True
-
-    def held(kind: np.ndarray, among=None) -> Counter:
-        """In how many texts each feature is; only features ``among`` some, if given."""
-        out: Counter = Counter()
-        for d in np.flatnonzero(counted & kind):
-            found = {f for w in np.unique(code[offsets[d] : offsets[d + 1]]).tolist() for f in features(pieces[w])}
-            out.update(found if among is None else found & among)
-        return out
-
-    clean, bad = (counted & ~y).sum(), (counted & y).sum()
-    in_bad = held(y)
-    tested = len(in_bad)
-    often = {f: n for f, n in in_bad.items() if n >= SUPPORT}
-    del in_bad
-    in_clean = held(~y, often.keys())
-    # Among so many features some differ by chance; the likelihood ratio must beat what ``tested`` of them reach.
-    chosen = (f for f, n in often.items() if n / bad >= RATIO * (in_clean[f] + 0.5) / clean and _ratio(n, in_clean[f], bad, clean) >= 2 * np.log(tested))
-    marks = {f: k for k, f in enumerate(chosen)}
-    if not marks:
-        return chain
-    # Labelled tokens, in stretches around each candidate; stretches of clean texts teach the other side.
-    own = [[marks[f] for f in features(w) if f in marks] for w in pieces]
-    has = np.array([bool(x) for x in own], bool)
-    hot = np.flatnonzero(has[code])
-    starts, lengths = _stretches(hot, offsets, 4)
-    calm = np.flatnonzero(np.diff(offsets) >= 9)
-    calm = calm[~y[calm]][:2000]
-    starts, lengths = np.concatenate((starts, offsets[calm])), np.concatenate((lengths, np.full(len(calm), 9)))
-    order = np.argsort(lengths)
-    blocks = []
+def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """(doc_id, text, toxic) of the rows to fit to, settled, and the share of toxic ones among all labelled rows."""
+    # One label a document: the highest, so that repeated rows can't disagree.
+    marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = marked.filter(~held_out(F.col("doc_id")))
+    count = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    # Texts alike count once, so that many copies of one don't fill the sample.
+    texts = docs.select("doc_id", "text").filter(F.length("text") <= FIT_CHARS).withColumn("h", F.xxhash64("text"))
+    once = texts.select("doc_id", "h").join(marked, "doc_id").groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id"))
+    pick = [once.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v, most in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
+    chosen = pick[0].unionByName(pick[1])  # FIT_TOXIC + FIT_CLEAN rows at most, so small enough to broadcast
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
+    return settled(rows.select("doc_id", "text", "toxic").repartition(16), "sample"), count.get(1, 0) / max(1, sum(count.values()))
+
+
+def _first_of_copies(sample: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the sampled rows without near copies.
+
+    Near copies share a label and all their words: of those with an equal least
+    hash over long words, by either of two hashes, one is counted.
+    """
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = np.iinfo(np.uint64).max
+        for batch in slices(batches, "text", BATCH_BYTES):
+            offsets, words = words_of(batch.column("text"))
+            code, distinct = coded(words)
+            rank = word_hashes(distinct)
+            rank[pc.less(pc.utf8_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False)] = far
+            found = [np.where(np.diff(offsets) > 0, np.minimum.reduceat(np.append(h[code], far), offsets[:-1]), far) for h in (rank, np.where(rank == far, rank, mix(rank)))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *(pa.array(f.view(np.int64)) for f in found)], names=["doc_id", "toxic", "p", "q"])
+
+    rows = sample.mapInArrow(least, "doc_id long, toxic int, p long, q long")
+    for of in ("p", "q"):
+        alone = F.when(F.col(of) == -1, F.col("doc_id")).otherwise(F.col(of))  # -1: all bits, no long word
+        rows = rows.withColumn("of", alone).groupBy("toxic", "of").agg(F.min(F.struct("doc_id", "p", "q")).alias("r")).select("r.*", "toxic")
+    return rows.select("doc_id", "toxic")
+
+
+def _marks(sample: DataFrame) -> dict[str, int]:
+    """Features that toxic texts hold far more often than clean ones, numbered."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            offsets, words = words_of(batch.column("text"))
+            code, distinct = coded(words)
+            own, out = [features(w) for w in distinct.to_pylist()], {"f": [], "toxic": []}
+            for k, y in enumerate(batch.column("toxic").to_pylist()):
+                found = {f for w in np.unique(code[offsets[k] : offsets[k + 1]]).tolist() for f in own[w]}
+                out["f"] += found
+                out["toxic"] += [y] * len(found)
+            yield pa.RecordBatch.from_pydict({"f": pa.array(out["f"], pa.string()), "toxic": pa.array(out["toxic"], pa.int32())})
+
+    counted = settled(_first_of_copies(sample), "counted")
+    many = {r["toxic"]: r["count"] for r in counted.groupBy("toxic").count().collect()}
+    bad, clean = many.get(1, 0), many.get(0, 0)
+    if not bad or not clean:
+        return {}
+    of = sample.join(F.broadcast(counted.select("doc_id")), "doc_id").select("text", "toxic").mapInArrow(held, "f string, toxic int")
+    of = settled(of.groupBy("f").agg(F.sum("toxic").alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).filter(F.col("t") > 0), "features")
+    # Among so many features some differ by chance; the likelihood ratio must beat what so many of them reach.
+    tested = of.count()
+    often = of.filter((F.col("t") >= SUPPORT) & (F.col("t") / bad >= RATIO * (F.col("c") + 0.5) / clean)).orderBy("f").collect()
+    return {r.f: k for k, r in enumerate(r for r in often if _ratio(r.t, r.c, bad, clean) >= 2 * np.log(tested))}
+
+
+def _examples(sample: DataFrame, marks: dict[str, int]) -> list:
+    """Rows (toxic, marks of each token) of the stretches to fit to."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            offsets, words = words_of(batch.column("text"))
+            code, distinct = coded(words)
+            own = [[marks[f] for f in features(w) if f in marks] for w in distinct.to_pylist()]
+            y = np.array(batch.column("toxic").to_pylist(), bool)
+            starts, lengths = _stretches(np.flatnonzero(np.array([bool(x) for x in own], bool)[code]), offsets, 4)
+            # The first words of clean texts teach the other side.
+            calm = np.flatnonzero((np.diff(offsets) >= 9) & ~y)
+            starts, lengths = np.concatenate((starts, offsets[calm])), np.concatenate((lengths, np.full(len(calm), 9)))
+            doc = np.searchsorted(offsets, starts, side="right") - 1
+            tokens = [[own[w] for w in code[a : a + n].tolist()] for a, n in zip(starts.tolist(), lengths.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), pa.array(starts - offsets[doc]), pa.array(y[doc]), pa.array(tokens, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "at", "y", "tokens"])
+
+    found = sample.mapInArrow(cut, "doc_id long, at long, y boolean, tokens array<array<int>>")
+    return [(r.y, r.tokens) for r in found.orderBy("doc_id", "at").toLocalIterator()]
+
+
+def fit_chain(examples: list, marks: dict[str, int]) -> Chain:
+    """Weights of a chain by gradient ascent on the likelihood of labelled tokens: those with a mark in a toxic text."""
+    blocks, order = [], np.argsort([len(t) for _, t in examples], kind="stable")
     for k in range(0, len(order), 1024):
-        part = order[k : k + 1024]
-        at, inside = _padded(starts[part], lengths[part])
-        word = code[at]
-        goal = inside & has[word] & y[doc[at]]
-        row, col = np.nonzero(inside & has[word])
-        mine = [own[w] for w in word[row, col].tolist()]
-        cell = np.repeat(row * at.shape[1] + col, [len(x) for x in mine])
-        blocks.append((inside, goal, cell, np.array([f for x in mine for f in x], np.int64)))
+        part = [examples[x] for x in order[k : k + 1024].tolist()]
+        n = max(len(t) for _, t in part)
+        inside = np.arange(n) < np.array([len(t) for _, t in part])[:, None]
+        has = np.array([[bool(m) for m in t] + [False] * (n - len(t)) for _, t in part], bool)
+        goal = has & np.array([y for y, _ in part], bool)[:, None]
+        mine = [m for _, t in part for m in t if m]
+        cell = np.repeat(np.flatnonzero(has), [len(m) for m in mine])
+        blocks.append((inside, goal, cell, np.array([f for m in mine for f in m], np.int64)))
     weight, bias, step = np.zeros(len(marks)), -4.0, np.zeros((2, 2))
     memory = [np.full(len(marks), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
     for _ in range(60):
@@ -243,17 +279,41 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Chain:
             new.append(x + rate * g / np.sqrt(m))
         memory[1] = memory[1] + g_bias * g_bias
         weight, bias, step = new
-    chain = Chain({f: float(weight[k]) for f, k in marks.items() if weight[k]}, float(bias), step, fitted=True)
+    return Chain({f: float(weight[k]) for f, k in marks.items() if weight[k]}, float(bias), step, fitted=True)
 
-    where, p = token_marginals(chain, emissions(chain, words), offsets)
-    x = document_features(chain, offsets, where, p)
+
+def fit_scale(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
+    """A logistic fit of document features, both kinds weighed by their share among labelled rows, by Newton steps."""
     balance = np.where(y, prior / y.sum(), (1 - prior) / (~y).sum()) * len(y)
     theta = np.zeros(4)
-    for _ in range(50):  # Newton steps of a logistic fit
+    for _ in range(50):
         s = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         h = (x * (balance * s * (1 - s))[:, None]).T @ x + 0.05 * np.eye(4)
         theta += np.linalg.solve(h, x.T @ (balance * (y - s)) - 0.05 * theta)
-    chain.scale = theta
+    return theta
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Chain:
+    """Fit to a bounded sample of the labelled rows that are not held out.
+
+    Counts of features, stretches of tokens and features of documents are made
+    where the rows are; the driver gets the marks, the stretches around them and
+    four numbers a sampled row.
+    """
+    sample, prior = sampled(docs, labels)
+    marks = _marks(sample)
+    if not marks:
+        return Chain()
+    chain = fit_chain(_examples(sample, marks), marks)
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", BATCH_BYTES):
+            offsets, words = words_of(batch.column("text"))
+            x = document_features(chain, offsets, *token_marginals(chain, emissions(chain, words), offsets))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *(pa.array(c) for c in x.T)], names=["doc_id", "toxic", *"abcd"])
+
+    rows = np.array(sample.mapInArrow(described, "doc_id long, toxic int, a double, b double, c double, d double").orderBy("doc_id").collect(), np.float64)
+    chain.scale = fit_scale(rows[:, 2:], rows[:, 1] > 0, prior)
     return chain
 
 
@@ -287,21 +347,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Chain:
-    """Fit to a bounded sample of the labelled rows that are not held out."""
-    # One label a document: the highest, so that repeated rows can't disagree.
-    marked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    marked = marked.filter(~held_out(F.col("doc_id")))
-    count = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
-    if len(count) < 2:
-        return Chain()
-    pick = [marked.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v, most in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
-    chosen = pick[0].unionByName(pick[1])  # FIT_TOXIC + FIT_CLEAN rows at most, so small enough to broadcast
-    rows = docs.select("doc_id", "text").filter(F.length("text") <= FIT_CHARS).join(F.broadcast(chosen), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(FIT_TOXIC + FIT_CLEAN).select("text", "toxic").collect()
-    return fit([r.text for r in rows], [int(r.toxic) for r in rows], count[1] / (count[0] + count[1]))
-
-
 def score(docs: DataFrame, chain: Chain, keep: bool = False) -> DataFrame:
     """(doc_id, held_out, score, predicted, spans) of every row; ``keep`` adds the other columns of ``docs``."""
     rest = [f for f in docs.schema.fields if f.name != "doc_id" and keep]
