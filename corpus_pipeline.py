@@ -27,14 +27,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, similarity 0.8) the document of the least id.
 
-    Rows without an id stay; of rows of one id one stays.
+    Rows without an id or without words stay. All rows of the kept id stay but
+    for repeated texts, so that no text goes that isn't near to a kept one.
     """
     small_batches(spark)
     found = ngram_join.near_duplicates(docs, ngram_join.Similarity(n=5, num=80, den=100))
     kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
     out = docs.select(*COLUMNS).join(kept, "doc_id")
     # Only where an id repeats do its rows have to meet.
-    once = out.filter(F.col("rows") == 1).unionByName(out.filter(F.col("rows") > 1).dropDuplicates(["doc_id"]))
+    once = out.filter(F.col("rows") == 1).unionByName(out.filter(F.col("rows") > 1).withColumn("h", F.sha2("text", 256)).dropDuplicates(["doc_id", "h"]).drop("h"))
     return once.select(*COLUMNS).unionByName(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
@@ -48,14 +49,18 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, up to three times.
 
-    Rows alike in id, text and source are taken equally often.
+    Rows alike in id, text and source share their copies out evenly.
     """
     keys = ("doc_id", "source", "tie")
-    taken = mixing.mix_sources(docs).groupBy(*(F.col(c).alias(f"of_{c}") for c in keys)).agg(F.max("copies").alias("copies")).filter(F.col("copies") > 0)
+    taken = mixing.mix_sources(docs).groupBy(*(F.col(c).alias(f"of_{c}") for c in keys)).agg(F.sum("copies").alias("copies"), F.count("*").alias("alike")).filter(F.col("copies") > 0)
     rows = docs.select(*COLUMNS, F.xxhash64("text").alias("tie"))
     # The hash also stands in for a null id, so that rows without one don't meet in one place.
     same = [F.coalesce(F.col(f"{p}doc_id"), F.col(f"{p}tie")) for p in ("", "of_")]
     rows = rows.join(taken, (same[0] == same[1]) & F.col("doc_id").eqNullSafe(F.col("of_doc_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("tie") == F.col("of_tie")))
+    # Rows alike are interchangeable, however many: each takes the whole part of their mean, and one more by a hash of its place.
+    share = F.col("copies") / F.col("alike")
+    more = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20)) < (share - F.floor(share)) * F.lit(1 << 20)
+    rows = rows.withColumn("copies", F.floor(share) + more.cast("long")).filter(F.col("copies") > 0)
     return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
 
 
