@@ -1,34 +1,40 @@
 """The main text of web pages by a site style tree.
 
-Each page is parsed to blocks of text, each with the path of elements above it.
-Pages of a host are merged: a node of the site's tree is a path of tags with
-their classes and ids. The importance of its content is the normalised entropy,
-over the pages of the host that have it, of what they say there; the importance
-of its presentation is that of how much they lay out there; a node's importance
-is the greater of the two. A branch that several pages share and that differs
-little between them is a menu or notice and goes.
-
-What a page says about its own branches comes first. Branches whose element or
-class names them as something else (``ASIDE``, ``NAMES``) have no importance. If
-a page marks an article or main part, the rest has none, and in that part
-headings, paragraphs and the like have full importance, since pages that are
-copies of each other, or have one title, would lose them; its other branches are
-weighed by the tree like any.
-
-Merged statistics are sums over (host, node, digest of text), so that a host may
-hold any share of the pages. Pages of a host with equal blocks count once.
+Each page is parsed to blocks of text, each at a node: the path of elements above
+it, with their classes and ids. Pages of a host are merged into one tree. Of each
+node it knows, over the pages of the host that have it, the normalised entropy of
+its content (what they say there) and of its presentation (how many blocks they lay
+out at it, and below it). The importance of a block's content counts as far as the
+layout at its node, or of a branch that it hangs on, differs between pages:
+``content * (PLAIN + (1 - PLAIN) * presentation)``. Branches that are the same on
+all pages, or filled into the same form on all, come out low.
+
+What a page says of its own branches is a prior that scales their importance: that
+of branches whose element or names call them something else (``ASIDE``, ``NAMES``)
+to near nothing, that of what lies outside, where a page marks its article, to a
+fifth; inside it a branch starts from ``MARKED``. On pages that mark nothing, the
+tree alone decides. A page loses the blocks below ``LEAST`` times the importance of
+its most important one. Nodes of fewer than ``SHARED`` pages, or of less than
+``RARE`` of a host's, have no evidence against them; so the tree of a host that a
+page needs is at most ``1 / RARE`` times as long as a page.
+
+Merged statistics are sums over (host, node, value), so that a host may hold any
+share of the pages. Pages of a host with equal blocks count once.
 
 Defined cases. Null or empty html gives an empty text. Pages without a host
 share one tree. Broken markup is read as browsers do: a block element closes an
-open paragraph, and what is open at the end counts as closed there. Repeated
-rows give repeated results. Extra columns are not read.
+open paragraph, and what is open at the end counts as closed there. Pages of any
+length and depth take time in proportion. Repeated rows give repeated results.
+Extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -56,12 +62,16 @@ NAMES = frozenset(
 )
 #: Elements that an end tag of an outer one does not reach through.
 SCOPE = frozenset("table td th caption html body".split())
-#: Elements that an article is made of.
-PLAIN = frozenset("h1 h2 h3 h4 h5 h6 p li blockquote pre td th dd dt figcaption caption article main".split())
 # ----------------------------------------------------------------------------------
 
-#: Below this importance a branch that at least ``SHARED`` pages of the host have goes.
-LEAST, SHARED = 0.2, 3
+#: Importance, as a share of the page's greatest, that a block needs.
+LEAST = 0.6
+
+#: Pages, and share of a host's pages, that give evidence of a node; and the pages that prior belief counts for.
+SHARED, RARE, BELIEF = 3, 0.01, 0.5
+
+#: Importance of content in an unvarying layout, and of marked articles without evidence; scales of noise and of what an article leaves out.
+PLAIN, MARKED, NOISE, OUTSIDE = 0.2, 0.55, 0.02, 0.2
 
 BATCH_BYTES = 8 << 20
 _SPACE = re.compile(r"\s+")
@@ -74,17 +84,30 @@ def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
     return set(_PARTS.split(_CAMEL.sub(" ", found).lower()))
 
 
+@lru_cache(maxsize=1 << 14)
+def _below(node: int, step: str) -> int:
+    return digest(f"{node}/{step}")
+
+
 class Blocks(HTMLParser):
-    """Blocks of text in page order: (path, marked as article, marked as noise, text)."""
+    """Blocks of text in page order: (node, marked as article, marked as noise, text); and each node's parent."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, bool, bool]] = []  # tag, node, article, noise, silent
-        self.out: list[tuple[str, bool, bool, str]] = []
+        self.open: list[tuple[str, int, bool, bool, bool]] = []  # tag, node, article, noise, silent
+        self.count: Counter = Counter()  # open elements by tag
+        self.parent: dict[int, int] = {}  # parents first; 0 for what hangs on the body
+        self.out: list[tuple[int, bool, bool, str]] = []
         self.text: list[str] = []
+        self.unnamed = 0
+
+    def _state(self) -> tuple[str, int, bool, bool, bool]:
+        return self.open[-1] if self.open else ("", 0, False, False, False)
 
-    def _state(self) -> tuple[str, str, bool, bool, bool]:
-        return self.open[-1] if self.open else ("", "", False, False, False)
+    def _close(self, k: int) -> None:
+        """Close the open elements from the k-th on."""
+        while len(self.open) > k:
+            self.count[self.open.pop()[0]] -= 1
 
     def flush(self) -> None:
         if self.text:
@@ -104,7 +127,7 @@ class Blocks(HTMLParser):
             if tag in ("br", "hr"):
                 self.text.append(" ")
             return
-        _, above, article, noise, silent = self._state()
+        _, node, article, noise, silent = self._state()
         if tag in SILENT:
             silent = True
         if tag in BLOCK:
@@ -114,17 +137,26 @@ class Blocks(HTMLParser):
                 # An article below a noisy branch, as a reader's comment or a teaser, stays noise.
                 article = article or not noise
             noise = noise or hidden or tag in ASIDE or bool(own & NAMES) and tag not in ("body", "html", "main") or tag == "header" and not article
-            style = ".".join(sorted(x for x in own if x and not x.isdigit()))
-            above = f"{above}/{tag}.{style}" if style else f"{above}/{tag}"
-        self.open.append((tag, above, article, noise, silent))
+            if tag not in ("body", "html"):
+                style = sorted(x for x in own if x and not x.isdigit())
+                # Branches of the body that have no name are told apart by their place among these.
+                if not node and not style and tag in ("div", "section"):
+                    self.unnamed += 1
+                    style = [str(self.unnamed)]
+                above, node = node, _below(node, ".".join([tag, *style]))
+                self.parent.setdefault(node, above)
+        self.open.append((tag, node, article, noise, silent))
+        self.count[tag] += 1
 
     def _end_to(self, tag: str) -> None:
         """Close the open element ``tag``, if one is in reach, and all in it."""
+        if not self.count[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             name = self.open[k][0]
             if name == tag:
                 self.flush()
-                del self.open[k:]
+                self._close(k)
                 return
             if tag == "p" and name in BLOCK or name in SCOPE and tag not in SCOPE:
                 return
@@ -133,12 +165,14 @@ class Blocks(HTMLParser):
         """A list item, cell or row ends the one before it in the same list or table."""
         stop = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",)}.get(tag, ("table",))
         same = ("dd", "dt") if tag in ("dd", "dt") else ("td", "th") if tag in ("td", "th") else (tag,)
+        if not any(self.count[x] for x in same):
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] in stop:
                 return
             if self.open[k][0] in same:
                 self.flush()
-                del self.open[k:]
+                self._close(k)
                 return
 
     def handle_endtag(self, tag: str) -> None:
@@ -146,19 +180,17 @@ class Blocks(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        if tag in BLOCK:
-            names = [x[0] for x in self.open]
-            if tag in names:
-                self.flush()
-                del self.open[len(names) - 1 - names[::-1].index(tag) :]
+        if not self.count[tag]:
             return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
+                if tag in BLOCK:
+                    self.flush()
                 # An end tag of running text, as </b>, leaves blocks inside it open.
-                if tag in SILENT or not any(x[0] in BLOCK for x in self.open[k:]):
-                    del self.open[k:]
+                if tag in BLOCK or tag in SILENT or not any(x[0] in BLOCK for x in self.open[k:]):
+                    self._close(k)
                 return
-            if self.open[k][0] in BLOCK and tag not in SILENT:
+            if self.open[k][0] in BLOCK and tag not in BLOCK and tag not in SILENT:
                 return
 
     def handle_data(self, data: str) -> None:
@@ -166,12 +198,12 @@ class Blocks(HTMLParser):
             self.text.append(data)
 
 
-def blocks(html: str | None) -> list[tuple[str, bool, bool, str]]:
-    parser = Blocks()
-    parser.feed(html or "")
-    parser.close()
-    parser.flush()
-    return parser.out
+def parsed(html: str | None) -> Blocks:
+    page = Blocks()
+    page.feed(html or "")
+    page.close()
+    page.flush()
+    return page
 
 
 def digest(text: str) -> int:
@@ -182,69 +214,102 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def importance(parsed: DataFrame) -> DataFrame:
-    """(host, node, pages, value) of the nodes of each site's tree, from parsed branches.
-
-    With ``m`` pages at a node and ``c`` of them showing each of its contents, the
-    content's part is ``sum(c / m * log(m / c)) / log(m)``: 1 where each page says
-    something else, 0 where all say the same. Presentation counts likewise by the
-    number of blocks that a page lays out there.
-    """
-    seen = parsed.select("host", "page", F.explode("branches").alias("b")).select("host", "page", "b.*").distinct()
-
-    def entropy(of: str) -> DataFrame:
-        c = seen.groupBy("host", "node", of).agg(F.count("*").alias("c"))
-        m = F.sum("c")
-        h = F.when(m > 1, (F.log(m.cast("double")) - F.sum(F.col("c") * F.log(F.col("c").cast("double"))) / m) / F.log(m.cast("double"))).otherwise(1.0)
-        return c.groupBy("host", "node").agg(m.alias("pages"), h.alias(of))
-
-    both = entropy("content").join(entropy("size").drop("pages"), ["host", "node"])
-    return both.select("host", "node", "pages", F.greatest("content", "size").alias("value"))
-
-
-def branches_of(html: str | None) -> tuple[list[dict], list[dict]]:
-    """A page's blocks that may be main text, and its branches for the tree."""
-    found = blocks(html)
-    nodes: dict[str, list[str]] = {}
-    for node, _, _, t in found:
+def branches_of(page: Blocks) -> list[dict]:
+    """A page's part of the tree: of each node what it says there, and how many blocks at it and below it."""
+    nodes: dict[int, list[str]] = {}
+    for node, _, _, t in page.out:
         nodes.setdefault(node, []).append(t)
-    marked = any(article and not noise for _, article, noise, _ in found)
-    kept = [
-        {"node": None if article and node.rpartition("/")[2].partition(".")[0] in PLAIN else node, "text": t}
-        for node, article, noise, t in found if not noise and article >= marked
-    ]
-    return kept, [{"node": n, "content": digest("\n".join(t)), "size": len(t)} for n, t in nodes.items()]
+    below = {n: len(nodes.get(n, ())) for n in (*page.parent, 0)}
+    for n, above in reversed(page.parent.items()):
+        if above:
+            below[above] += below[n]
+    return [{"node": n, "content": digest("\n".join(nodes[n])) if n in nodes else None, "own": len(nodes.get(n, ())), "below": below[n]} for n in below if below[n]]
+
 
+def site_trees(seen: DataFrame) -> DataFrame:
+    """(host, tree) of hosts, tree an array of (node, m, content, own, below), from (host, page, branches).
 
-def extract(pages: DataFrame, least: float = LEAST, shared: int = SHARED) -> DataFrame:
+    With ``m`` pages at a node and ``c`` of them showing each of its values, an
+    entropy is ``sum(c / m * log(m / c)) / log(m)``: 1 where each page differs, 0
+    where all are alike.
+    """
+    rows = seen.select("host", "page", F.explode("branches").alias("b")).select("host", "page", "b.*").distinct()
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).cast("long").alias("v")) for k, c in enumerate(("content", "own", "below")))))
+    counted = rows.select("host", "node", each.alias("x")).filter(F.col("x.v").isNotNull()).groupBy("host", "node", "x.kind", "x.v").agg(F.count("*").alias("c"))
+    m = F.sum("c")
+    entropy = F.when(m > 1, (F.log(m.cast("double")) - F.sum(F.col("c") * F.log(F.col("c").cast("double"))) / m) / F.log(m.cast("double"))).otherwise(1.0)
+    nodes = counted.groupBy("host", "node", "kind").agg(m.alias("m"), entropy.alias("e"))
+    of = lambda k: F.coalesce(F.max(F.when(F.col("kind") == k, F.col("e"))), F.lit(1.0))
+    nodes = nodes.groupBy("host", "node").agg(F.max("m").alias("m"), of(0).alias("content"), of(1).alias("own"), of(2).alias("below"))
+    pages = seen.groupBy("host").agg(F.count_distinct("page").alias("pages"))
+    nodes = nodes.filter(F.col("m") >= SHARED).join(pages, "host").filter(F.col("m") >= RARE * F.col("pages"))
+    return nodes.groupBy("host").agg(F.collect_list(F.struct("node", "m", "content", "own", "below")).alias("tree"))
+
+
+def importances(page: Blocks, tree: dict[int, tuple[int, float, float, float]]) -> list[float]:
+    """The importance of each of a page's blocks; ``tree`` has (m, content, own, below) of the nodes with evidence."""
+    none = (0, 1.0, 1.0, 1.0)
+    inherited = {0: 0.0}
+    for n, above in page.parent.items():
+        # How the layout differs in the branches that a node hangs on.
+        inherited[n] = max(inherited[above], tree[above][3]) if above in tree else inherited[above]
+    marked = any(article and not noise for _, article, noise, _ in page.out)
+    out = []
+    for node, article, noise, _ in page.out:
+        m, content, own, _ = tree.get(node, none)
+        value = content * (PLAIN + (1 - PLAIN) * max(own, inherited[node]))
+        value = (m * value + BELIEF) / (m + BELIEF)
+        if marked:
+            value = MARKED + (1 - MARKED) * value
+        out.append(value * (NOISE if noise else OUTSIDE if marked and not article else 1.0))
+    return out
+
+
+def main_text(html: str | None, tree: dict[int, tuple[int, float, float, float]]) -> str:
+    page = parsed(html)
+    value = importances(page, tree)
+    least = LEAST * max(value, default=0.0)
+    # Where all is noise, none is the article.
+    noise = all(noise for _, _, noise, _ in page.out)
+    return "" if noise else "\n\n".join(t for (_, _, _, t), v in zip(page.out, value) if v >= least)
+
+
+def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of (page_id, url, html).
 
     Pages are parsed twice, once for the tree and once for their text, so that no
     copy of the parsed text is kept between.
     """
 
-    def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html", BATCH_BYTES):
-            found = [branches_of(html)[1] for html in batch.column("html").to_pylist()]
+            found = [branches_of(parsed(html)) for html in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array([digest(repr(b)) for b in found], pa.int64()), pa.array(found, BRANCHES)], names=["host", "page", "branches"])
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict[str, dict] = {}
         for batch in slices(batches, "html", BATCH_BYTES):
             text = []
-            for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist()):
-                gone = set(low or ())
-                text.append("\n\n".join(b["text"] for b in branches_of(html)[0] if b["node"] not in gone))
+            hosts, rows = batch.column("host").to_pylist(), batch.column("tree")
+            for k, html in enumerate(batch.column("html").to_pylist()):
+                if hosts[k] not in trees:
+                    if len(trees) >= HOSTS:
+                        trees.clear()
+                    trees[hosts[k]] = {b["node"]: (b["m"], b["content"], b["own"], b["below"]) for b in rows[k].as_py() or ()}
+                text.append(main_text(html, trees[hosts[k]]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"]
             )
 
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
-    seen = rows.select("host", "html").mapInArrow(tree, "host string, page long, branches array<struct<node: string, content: long, size: int>>")
-    low = importance(settled(seen, "branches")).filter((F.col("pages") >= shared) & (F.col("value") < least))
-    low = settled(low.groupBy("host").agg(F.collect_set("node").alias("low")), "low")  # as long as a site's template, not as its pages
-    out = rows.join(low, "host", "left").select("page_id", "url", "html", "low")
+    found = settled(rows.select("host", "html").mapInArrow(seen, "host string, page long, branches array<struct<node: bigint, content: bigint, own: int, below: int>>"), "branches")
+    trees = settled(site_trees(found), "trees")
+    out = rows.join(trees, "host", "left").select("page_id", "url", "host", "html", "tree")
     return out.mapInArrow(kept, "page_id long, url string, text string, n_chars long")
 
 
+#: Trees of hosts that a task remembers.
+HOSTS = 64
+
 #: The kind of a page's branches as Arrow has it.
-BRANCHES = pa.list_(pa.struct([("node", pa.string()), ("content", pa.int64()), ("size", pa.int32())]))
+BRANCHES = pa.list_(pa.struct([("node", pa.int64()), ("content", pa.int64()), ("own", pa.int32()), ("below", pa.int32())]))
