@@ -4,22 +4,30 @@ Plain identifiers are found in the text as it stands. For disguised ones the tex
 runs through transducers that keep, for each character they write, the source
 characters it came from: look-alike letters and digits become ASCII and invisible
 characters go, spelled digits become digits, and "at" and "dot" disguises become
-``@`` and ``.``. Identifiers of the result are mapped back to source offsets.
+``@`` and ``.``, in English, Spanish, German and French. Identifiers of the result
+are mapped back to source offsets.
 
 Spans are (kind, start, end) in code points, end exclusive. Plain spans always
 stay; a disguised one is added unless a plain one of its kind covers it.
 
-Defined cases. A null or empty text has no spans. Texts are read whole.
+Not seen: identifiers split over lines, numbers spelled as tens or hundreds, other
+languages' words, and "at" before a plain domain after a bare word such as a name.
+
+Defined cases. A null or empty text has no spans. Texts are read whole, in time in
+proportion to their length.
 Extra columns are not read by ``find`` and kept by ``mask``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,7 +35,20 @@ from scanloom.llm.common import slices
 
 # --- fixed values ---------------------------------------------------------------
 KINDS = ("email", "ip", "card", "phone")
-DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+#: Digits in the languages of the corpus: English, Spanish, German and French.
+DIGIT_WORDS = {
+    "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+}
+#: Of these, words that mean other things where they stand alone.
+OFTEN_NO_DIGIT = frozenset(("un", "null", "neuf"))
+AT_WORDS, DOT_WORDS, PLUS_WORDS = ("at", "arroba", "arobase", "klammeraffe"), ("dot", "punto", "punkt", "point"), ("plus", "más", "mas")
+#: What follows a bare "at" that names no domain.
+ARTICLES = ("the", "a", "an", "el", "la", "los", "las", "un", "una", "der", "die", "das", "dem", "den", "ein", "eine", "le", "les", "une")
+#: Words before the name of a mailbox.
+CUES = ("mail", "email", "e-mail", "correo", "courriel", "contact", "contacto", "kontakt", "write", "reach", "escribe", "schreib", "écrire")
 #: Cyrillic and Greek letters that look like ASCII ones.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһԛԝАВЕКМНОРСТХІЈЅαονικρυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhqwABEKMHOPCTXIJSaovikpuxABEZHIKMNOPTYX"))
 INVISIBLE = "­​‌‍⁠﻿"
@@ -97,28 +118,33 @@ class Traced:
     """A text with, for each character, the source range that it stands for."""
 
     def __init__(self, text: str):
-        self.text, self.start, self.end = text, range(len(text)), range(1, len(text) + 1)
+        self.text, self.start = text, np.arange(len(text), dtype=np.int64)
+        self.last = self.start
 
-    def rewrite(self, pattern: re.Pattern, by: Callable[[re.Match], str]) -> Traced:
-        """One transducer: each match becomes ``by(match)``, traced to the whole match."""
-        text, start, end, at = [], [], [], 0
+    def rewrite(self, pattern: re.Pattern, by: Callable[[re.Match], str], blanks: bool = False) -> Traced:
+        """One transducer: each match becomes ``by(match)``, traced to the whole match; ``blanks`` before it go too."""
+        pieces, spans, at = [], [], 0
         for m in pattern.finditer(self.text):
             new = by(m)
             if m.start() == m.end() or new == m[0]:
                 continue
             a, b = m.span()
-            text += [self.text[at:a], new]
-            start += [*self.start[at:a], *[self.start[a]] * len(new)]
-            end += [*self.end[at:a], *[self.end[b - 1]] * len(new)]
+            while blanks and a > at and self.text[a - 1].isspace():
+                a -= 1
+            pieces += [self.text[at:a], new]
+            # What stays is a run of its own characters; what is new stands for the match as a whole.
+            spans += [(at, at, a - at, 1), (a, b - 1, len(new), 0)]
             at = b
         if at:
-            text.append(self.text[at:])
-            self.start, self.end = [*start, *self.start[at:]], [*end, *self.end[at:]]
-            self.text = "".join(text)
+            spans.append((at, at, len(self.text) - at, 1))
+            first, last, size, step = np.array(spans, np.int64).T
+            inside = (np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)) * np.repeat(step, size)
+            self.start, self.last = self.start[np.repeat(first, size) + inside], self.last[np.repeat(last, size) + inside]
+            self.text = "".join([*pieces, self.text[at:]])
         return self
 
     def source(self, a: int, b: int) -> tuple[int, int]:
-        return self.start[a], self.end[b - 1]
+        return int(self.start[a]), int(self.last[b - 1]) + 1
 
 
 def _ascii(m: re.Match) -> str:
@@ -136,43 +162,76 @@ def _ascii(m: re.Match) -> str:
 
 
 _FOREIGN = re.compile(f"[{''.join(LOOKALIKES)}{INVISIBLE}{COMPATIBLE}]")
-_SPELLED = rf"(?:{'|'.join(DIGIT_WORDS)})"
-_SPELLED_RUN = re.compile(rf"\b{_SPELLED}(?:[\x20-]{_SPELLED})*\b", re.I)
-_HAS_SPELLED = re.compile(rf"\b{_SPELLED}\b", re.I)
-_WORD = re.compile("[a-z]+", re.I)
-_PLUS = re.compile(r"(?:\bplus[\x20-]+)(?=[0-9])", re.I)
-_BRACKET_AT = re.compile(r"\s*[\[({<]\s*at\s*[\])}>]\s*", re.I)
-_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*dot\s*[\])}>]\s*", re.I)
-_BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\x20+dot\x20+(?=[A-Za-z0-9])", re.I)
-_BARE_AT = re.compile(r"(?<=[A-Za-z0-9])\x20+at\x20+(?=[A-Za-z0-9-]+\x20+dot\x20|[A-Za-z0-9-]+\s*[\[({<]\s*dot)", re.I)
+def _any(words) -> str:
+    return f"(?:{'|'.join(sorted(map(re.escape, words), key=len, reverse=True))})"
+
+
+_SPELLED = _any(DIGIT_WORDS)
+_SPELLED_RUN = re.compile(rf"\b{_SPELLED}(?:[\x20-]{_SPELLED})*+\b", re.I)
+_WORD = re.compile(r"[^\W\d_]+")
+_PLUS = re.compile(rf"\b{_any(PLUS_WORDS)}[\x20-]+(?=[0-9])", re.I)
+_BRACKET_AT = re.compile(rf"[\[({{<]\s*+{_any(AT_WORDS)}\s*+[\])}}>]\s*+", re.I)
+_BRACKET_DOT = re.compile(rf"[\[({{<]\s*+{_any(DOT_WORDS)}\s*+[\])}}>]\s*+", re.I)
+_BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9])\x20++{_any(DOT_WORDS)}\x20++(?=[A-Za-z0-9])", re.I)
+_NO_ARTICLE = rf"(?!{_any(ARTICLES)}\b)"
+_HIDDEN_DOT = rf"[A-Za-z0-9-]++(?:\x20++{_any(DOT_WORDS)}\x20|\s*+[\[({{<]\s*+{_any(DOT_WORDS)}\b)"
+#: A bare "at" counts where a disguised dot follows its next label ...
+_BARE_AT = re.compile(rf"(?<=[A-Za-z0-9])\x20++{_any(AT_WORDS)}\x20++(?={_NO_ARTICLE}{_HIDDEN_DOT})", re.I)
+#: ... or a plain domain does, and what is before it looks like a mailbox or follows a word like "mail".
+_MAILBOX_AT = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])(?:(?P<cue>{_any(CUES)}:?\x20)?+(?P<box>[A-Za-z0-9._%+-]++))(?P<at>\x20{_any(AT_WORDS)}\x20)(?={_NO_ARTICLE}[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{{2,}})", re.I
+)
+
+
+_BOX = re.compile("[0-9._]")
+
+
+def _digits(m: re.Match) -> str:
+    words = _WORD.findall(m[0])
+    return m[0] if len(words) == 1 and words[0].lower() in OFTEN_NO_DIGIT else "".join(DIGIT_WORDS[w.lower()] for w in words)
 
 
 def disguised_spans(text: str) -> list[tuple[str, int, int]]:
     """Identifiers that show after normalisation, in source offsets."""
-    foreign = not text.isascii() and _FOREIGN.search(text)
     low = text.lower()
-    dotted = "dot" in low
-    bracket = "at" in low and _BRACKET_AT.search(text)
-    spelled = _HAS_SPELLED.search(text)
-    if not (foreign or dotted or bracket or spelled):
+    foreign = not text.isascii() and _FOREIGN.search(text)
+    dotted = any(w in low for w in DOT_WORDS)
+    hidden = any(w in low for w in AT_WORDS)
+    spelled = _SPELLED_RUN.search(text)
+    if not (foreign or dotted or hidden or spelled):
         return []
     t = Traced(text)
     if foreign:
         t.rewrite(_FOREIGN, _ascii)
     if spelled or foreign:
-        t.rewrite(_SPELLED_RUN, lambda m: "".join(DIGIT_WORDS[w.lower()] for w in _WORD.findall(m[0])))
+        t.rewrite(_SPELLED_RUN, _digits)
         t.rewrite(_PLUS, lambda m: "+")
-    # A bare "at" counts only where a disguised dot follows its next label.
-    t.rewrite(_BARE_AT, lambda m: "@").rewrite(_BRACKET_AT, lambda m: "@")
-    t.rewrite(_BRACKET_DOT, lambda m: ".")
-    t.rewrite(_BARE_DOT, lambda m: ".")
-    return ordered([(k, *t.source(a, b)) for k, a, b in plain_spans(t.text)])
+    if hidden or foreign:
+        t.rewrite(_BARE_AT, lambda m: "@").rewrite(_BRACKET_AT, lambda m: "@", blanks=True)
+    if dotted or foreign:
+        t.rewrite(_BRACKET_DOT, lambda m: ".", blanks=True)
+        t.rewrite(_BARE_DOT, lambda m: ".")
+    out = [(k, *t.source(a, b)) for k, a, b in plain_spans(t.text)]
+    if hidden or foreign:
+        for m in _MAILBOX_AT.finditer(t.text):
+            if (m["cue"] or _BOX.search(m["box"].strip("."))) and (domain := _DOMAIN.match(t.text, m.end())):
+                out.append(("email", *t.source(m.start("box"), domain.end())))
+    return ordered(out)
 
 
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Plain spans, and these with the disguised ones that none of them covers."""
     plain = plain_spans(text)
-    more = [s for s in disguised_spans(text) if not any(k == s[0] and a <= s[1] and s[2] <= b for k, a, b in plain)]
+    found = disguised_spans(text)
+    if not found:
+        return plain, plain
+    # Plain spans of a kind don't overlap, so the last one that begins before is the only one that can cover.
+    of = {k: [(a, b) for kind, a, b in plain if kind == k] for k in KINDS}
+    more = []
+    for k, a, b in dict.fromkeys(found):
+        at = bisect_right(of[k], (a, math.inf)) - 1
+        if at < 0 or of[k][at][1] < b:
+            more.append((k, a, b))
     return plain, ordered([*plain, *more]) if more else plain
 
 
