@@ -62,13 +62,12 @@ def frame_times(frames: DataFrame, seq: str, number: str, fps: Column | float =
     Unique numbers from 0 count as consecutive: the place in order gives the
     time. Otherwise the distance from the least number does, gaps included.
     """
-    w = Window.partitionBy(seq)
-    unique = F.size(F.collect_set(number).over(w)) == F.count(number).over(w)
-    even = unique & (F.min(number).over(w) == 0)
-    place = F.row_number().over(w.orderBy(number)) - 1
-    far = F.col(number) - F.min(number).over(w)
+    each = frames.groupBy(seq).agg(F.count(number).alias("_n"), F.count_distinct(number).alias("_d"), F.min(number).alias("_low"))
+    rows = frames.join(each, seq)
+    even = (F.col("_n") == F.col("_d")) & (F.col("_low") == 0)
+    place = F.row_number().over(Window.partitionBy(seq).orderBy(number)) - 1
     step = F.lit(1.0) / (fps if isinstance(fps, Column) else F.lit(float(fps)))
-    return frames.withColumn("time", F.when(even, place * step).otherwise(far * step))
+    return rows.withColumn("time", F.when(even, place * step).otherwise((F.col(number) - F.col("_low")) * step)).drop("_n", "_d", "_low")
 
 
 def overlay(class_name: Column, confidence: Column, mask_score: Column | None = None) -> Column:

@@ -16,6 +16,14 @@ MOTION_KEYS = {"walking": 0.5, "running": 0.3, "cycling": 0.3, "moving": 0.5, "d
 STATIC_KEYS = {"sitting": 0.7, "standing": 0.6, "lying": 0.8, "sleeping": 0.8}
 #: Label values of (static, moving) by scheme: the taxonomy's, the box labeller's, and 0 / 1.
 SCHEMES = {"taxonomy": (9, 251), "boxes": (251, 9), "binary": (0, 1)}
+#: Colours of classes, blue, green, red; others are green.
+CLASS_COLOURS = {
+    "person": (0, 255, 0), "car": (255, 0, 0), "bicycle": (0, 255, 255), "motorcycle": (255, 0, 255), "bus": (0, 165, 255), "truck": (128, 0, 128),
+    "bird": (255, 255, 0), "cat": (255, 192, 203), "dog": (165, 42, 42),
+}
+#: Colours of outcomes and of truths, red, green, blue.
+OUTCOME_COLOURS = {"TP": (0, 255, 0), "FP": (255, 0, 0), "FN": (0, 0, 255), "TN": (128, 128, 128)}
+TRUTH_COLOURS = {True: (0, 255, 255), False: (128, 128, 128)}
 # ------------------------------------------------------------------------------
 
 
@@ -143,6 +151,25 @@ def segmentation_metrics(counts: DataFrame) -> DataFrame:
     return counts.agg(*(v.alias(f"micro_{k}") for k, v in micro.items()), *(F.avg(v).alias(f"macro_{k}") for k, v in macro.items()))
 
 
-def best(rows: DataFrame, value: str, *metric: str) -> DataFrame:
-    """The row's ``value`` of the greatest metric."""
-    return rows.agg(F.max_by(value, F.struct(*metric)).alias(value))
+def _colour(key: Column, table: dict, default: tuple[int, int, int]) -> Column:
+    cells = F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.array(*(F.lit(c) for c in v)))))
+    return F.coalesce(F.try_element_at(cells, key), F.array(*(F.lit(c) for c in default)))
+
+
+def class_colour(name: Column) -> Column:
+    return _colour(name, CLASS_COLOURS, (0, 255, 0))
+
+
+def outcome_colours(predicted: Column, truth: Column) -> tuple[Column, Column]:
+    """Colours of a point by its outcome, and by its truth alone."""
+    return _colour(outcome(predicted, truth), OUTCOME_COLOURS, OUTCOME_COLOURS["TN"]), _colour(truth > 0, TRUTH_COLOURS, TRUTH_COLOURS[False])
+
+
+def mask_area(mask: Column) -> Column:
+    """Pixels of a mask of zeros and ones."""
+    return F.aggregate(mask, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x.cast("bigint"), F.lit(0)))
+
+
+def best(rows: DataFrame, value: str, *metric: str, by: Sequence[str] = ()) -> DataFrame:
+    """The ``value`` of each group's row of the greatest metric."""
+    return rows.groupBy(*by).agg(F.max_by(value, F.struct(*metric)).alias(value))

@@ -61,3 +61,30 @@ def missing(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
 
 def available(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
     return wanted.join(present.select(key).distinct(), key, "left_semi")
+
+
+def cloud_sizes(files: DataFrame, width: int = 16) -> DataFrame:
+    """(path, length, points, whole): point files by size alone; ``whole`` is false where the last point is cut."""
+    return files.select("path", "length", F.expr(f"length div {width}").alias("points"), (F.col("length") % width == 0).alias("whole"))
+
+
+def label_sizes(labels: DataFrame, points: DataFrame, key: str) -> DataFrame:
+    """Label files (key, length) that don't hold four bytes for each of the cloud's points (key, points)."""
+    rows = labels.join(points, key)
+    return rows.filter(F.col("length") != F.col("points") * 4).select(key, "length", (F.col("points") * 4).alias("expected"))
+
+
+def times_problems(lines: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """(key, lines, expected, unreadable, plain, backwards) of times files whose lines aren't as they should be.
+
+    ``lines`` has (key, line, value). Unreadable lines are no numbers, plain ones
+    aren't in scientific form, backward ones are less than the one before.
+    """
+    t = F.col("value").try_cast("double")
+    rows = lines.withColumn("t", t).withColumn("before", F.lag("t").over(Window.partitionBy(key).orderBy("line")))
+    found = rows.groupBy(key).agg(
+        F.count("*").alias("lines"), F.count_if(F.col("t").isNull()).alias("unreadable"),
+        F.count_if(F.col("t").isNotNull() & ~F.lower("value").contains("e")).alias("plain"), F.count_if(F.col("t") < F.col("before")).alias("backwards"),
+    )
+    out = expected.join(found, key, "left").fillna(0, ["lines", "unreadable", "plain", "backwards"])
+    return out.filter((F.col("lines") != F.col("expected")) | (F.col("unreadable") > 0) | (F.col("plain") > 0) | (F.col("backwards") > 0))

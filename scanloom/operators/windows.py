@@ -40,6 +40,11 @@ def sample_fixed(rows: DataFrame, by: Sequence[str], key: Column, n: int) -> Dat
     return rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
 
 
+def ranked(rows: DataFrame, by: Sequence[str], order: str, name: str) -> DataFrame:
+    """Add the place of each row in its group, from 0."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1)
+
+
 def pad(rows: DataFrame, by: str, order: str, n: int, fill: dict[str, object]) -> DataFrame:
     """Exactly ``n`` rows of each group: the first ones in order, then filled ones."""
     place = rows.withColumn("slot", F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1).filter(F.col("slot") < n)
@@ -48,15 +53,28 @@ def pad(rows: DataFrame, by: str, order: str, n: int, fill: dict[str, object]) -
     return out.select(by, "slot", *(F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in fill.items()))
 
 
-def batch_ids(rows: DataFrame, by: str) -> DataFrame:
-    """Dense number of each group in the order of its key; one row a group is ordered."""
-    ids = rows.select(by).distinct().withColumn("batch_id", F.row_number().over(Window.orderBy(by)) - 1)
-    return rows.join(ids, by)
-
-
-def lagged(rows: DataFrame, by: Sequence[str], order: str, value: str, n: int) -> DataFrame:
-    """``value`` of the frame ``n`` before, null for the first ``n``."""
-    return rows.withColumn("previous", F.lag(value, n).over(Window.partitionBy(*by).orderBy(order)))
+def batch_ids(rows: DataFrame, by: str, block: int = 1 << 16) -> DataFrame:
+    """Dense number of each group in the order of its key, a whole number; ordered in blocks of ``block`` values."""
+    groups = rows.select(by).distinct().withColumn("_one", F.lit(1))
+    return rows.join(offsets(groups, by, "_one", block=block).select(by, F.col("start").alias("batch_id")), by)
+
+
+def lagged(rows: DataFrame, by: Sequence[str], order: str, value: str, n: int, block: int | None = None) -> DataFrame:
+    """``value`` of the frame ``n`` before, null for the first ``n``.
+
+    With ``block``, for a sequence too long for one task, rows are ordered in
+    blocks of that many values of the whole number ``order``; a block's last
+    ``n`` rows are handed on, through blocks that have fewer.
+    """
+    if block is None:
+        return rows.withColumn("previous", F.lag(value, n).over(Window.partitionBy(*by).orderBy(order)))
+    dealt = rows.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
+    count = dealt.groupBy(*by, "_block").agg(F.count("*").alias("_n"))
+    start = count.withColumn("_start", F.sum("_n").over(Window.partitionBy(*by).orderBy("_block")) - F.col("_n")).drop("_n")
+    place = F.col("_start") + F.row_number().over(Window.partitionBy(*by, "_block").orderBy(order))
+    placed = dealt.join(start, [*by, "_block"]).withColumn("_at", place).drop("_start", "_block")
+    before = placed.select(*by, (F.col("_at") + n).alias("_at"), F.col(value).alias("previous"))
+    return placed.join(before, [*by, "_at"], "left").drop("_at")
 
 
 def residual(current: Column, previous: Column, low: float, high: float) -> Column:

@@ -305,7 +305,7 @@ def segmentation_metrics(spark, d):
 
 @query("SELECT p_type, arg_max(p_name, {'a': p_retailprice, 'b': p_partkey}) AS p_name FROM part GROUP BY 1")
 def best_checkpoint(spark, d):
-    return table(spark, d, "part").groupBy("p_type").agg(F.max_by("p_name", F.struct("p_retailprice", "p_partkey")).alias("p_name"))
+    return labeling.best(table(spark, d, "part"), "p_name", "p_retailprice", "p_partkey", by=["p_type"])
 
 
 # --- windows, samples --------------------------------------------------------------------
@@ -358,7 +358,7 @@ def pad_or_truncate(spark, d):
 def residual_lag(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("px"), F.lit("all").alias("seq"))
     r = windows.residual(F.col("px"), F.col("previous"), 0.0, 1.0)
-    out = windows.lagged(e, ["seq"], "vec_id", "px", 1).select("vec_id", r.alias("d"))
+    out = windows.lagged(e, ["seq"], "vec_id", "px", 1, block=1 << 12).select("vec_id", r.alias("d"))
     return out.select("vec_id", F.size(F.filter("d", lambda x: x > 0)).cast("bigint").alias("changed"), F.round(F.array_max("d"), 4).alias("peak"))
 
 

@@ -130,6 +130,43 @@ def png(pixels: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, colour, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
 
 
+def png_pixels(data: bytes) -> np.ndarray:
+    """H x W x channels of a PNG of eight bits a channel that isn't interlaced."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG")
+    at, head, body = 8, b"", b""
+    while at < len(data):
+        n, kind = struct.unpack_from(">I4s", data, at)
+        if kind == b"IHDR":
+            head = data[at + 8 : at + 8 + n]
+        elif kind == b"IDAT":
+            body += data[at + 8 : at + 8 + n]
+        at += 12 + n
+    w, h, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", head)
+    if depth != 8 or interlaced or colour not in (0, 2, 4, 6):
+        raise ValueError("only eight bits a channel, without palette or interlacing")
+    step = {0: 1, 2: 3, 4: 2, 6: 4}[colour]
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * step)
+    out = np.zeros((h, w * step), np.uint8)
+    for y in range(h):
+        kind, line, up = rows[y, 0], rows[y, 1:], out[y - 1] if y else np.zeros(w * step, np.uint8)
+        if kind in (0, 2):
+            out[y] = line + up if kind else line
+            continue
+        for x in range(w * step):
+            a, b, c = (int(out[y, x - step]) if x >= step else 0), int(up[x]), (int(up[x - step]) if x >= step else 0)
+            near = min((a, b, c), key=lambda v: abs(a + b - c - v))
+            out[y, x] = (int(line[x]) + {1: a, 3: (a + b) // 2, 4: near}[int(kind)]) & 255
+    return out.reshape(h, w, step)
+
+
+def grey(pixels: np.ndarray) -> np.ndarray:
+    """H x W in [0, 1]: the luma of the first three channels, in whole steps of 1 / 255."""
+    a = pixels.astype(np.int64)
+    luma = a[:, :, 0] if a.shape[2] < 3 else (a[:, :, 0] * 19595 + a[:, :, 1] * 38470 + a[:, :, 2] * 7471 + 0x8000) >> 16
+    return luma / 255.0
+
+
 def box_frames(data: bytes) -> Iterator[dict]:
     """Boxes of an annotation file, frame by frame; what is missing is 0 or empty, activities keep their order."""
     for frame, boxes in json.loads(data).get("labels", {}).items():

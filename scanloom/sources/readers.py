@@ -31,7 +31,15 @@ def listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return files.select("path", "length", names.stem(F.col("path")).alias("stem"))
 
 
-def each_file(spark: SparkSession, path: str, pattern: str, schema: str, read: Callable[[bytes], Iterator[dict]]) -> DataFrame:
+def contents(spark: SparkSession, path: str | DataFrame, pattern: str) -> DataFrame:
+    """(path, content) of the files below a folder, or of those kept as rows, whose names match."""
+    if isinstance(path, DataFrame):
+        return path.filter(F.col("path").like(pattern.replace("*", "%"))).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content")
+
+
+def each_file(spark: SparkSession, path: str | DataFrame, pattern: str, schema: str, read: Callable[[bytes], Iterator[dict]]) -> DataFrame:
     """Rows that ``read`` makes of each file's bytes as dictionaries of columns, with path and error."""
     fields = [x.strip().split(" ") for x in ("path string, " + schema + ", error string").split(", ")]
     arrow = pa.schema([(n, _ARROW[t]) for n, t in fields])
@@ -47,8 +55,7 @@ def each_file(spark: SparkSession, path: str, pattern: str, schema: str, read: C
                 except Exception as e:  # noqa: BLE001  the row says so
                     yield pa.RecordBatch.from_pylist([{"path": name, "error": f"{type(e).__name__}: {e}"}], schema=arrow)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(rows, ", ".join(f"`{n}` {t}" for n, t in fields))
+    return contents(spark, path, pattern).mapInArrow(rows, ", ".join(f"`{n}` {t}" for n, t in fields))
 
 
 def _cloud_rows(points: np.ndarray) -> Iterator[dict]:
@@ -60,13 +67,13 @@ def _cloud_rows(points: np.ndarray) -> Iterator[dict]:
 CLOUD = "point_idx bigint, x float, y float, z float, intensity float"
 
 
-def clouds(spark: SparkSession, path: str, kind: str = "bin") -> DataFrame:
+def clouds(spark: SparkSession, path: str | DataFrame, kind: str = "bin") -> DataFrame:
     """Points of ``.bin`` or ``.pcd`` files: (path, point_idx, x, y, z, intensity, error)."""
     read = {"bin": decode.cloud_bin, "pcd": decode.cloud_pcd}[kind]
     return each_file(spark, path, f"*.{kind}", CLOUD, lambda data: _cloud_rows(read(data)))
 
 
-def labels(spark: SparkSession, path: str) -> DataFrame:
+def labels(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     def read(data: bytes) -> Iterator[dict]:
         words = decode.label_words(data)
         for at in range(0, len(words), ROWS):
@@ -75,7 +82,7 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
     return each_file(spark, path, "*.label", "point_idx bigint, label bigint", read)
 
 
-def intrinsics(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def intrinsics(spark: SparkSession, path: str | DataFrame, strict: bool = False) -> DataFrame:
     def read(data: bytes) -> Iterator[dict]:
         v = decode.intrinsics(data, strict)
         yield {k: [x] for k, x in v.items()}
@@ -85,7 +92,7 @@ def intrinsics(spark: SparkSession, path: str, strict: bool = False) -> DataFram
     return rows.select("*", k[0].alias("fx"), k[4].alias("fy"), k[2].alias("cx"), k[5].alias("cy"))
 
 
-def rasters(spark: SparkSession, path: str) -> DataFrame:
+def rasters(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Pixels of ``.npy`` files: (path, r, c, v, error)."""
     def read(data: bytes) -> Iterator[dict]:
         a = decode.array(data)
@@ -98,7 +105,7 @@ def rasters(spark: SparkSession, path: str) -> DataFrame:
     return each_file(spark, path, "*.npy", "r bigint, c bigint, v double", read)
 
 
-def boxes(spark: SparkSession, path: str) -> DataFrame:
+def boxes(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Boxes of annotation files, with ordered activities."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,30 +117,34 @@ def boxes(spark: SparkSession, path: str) -> DataFrame:
     pair = pa.list_(pa.struct([("key", pa.string()), ("value", pa.float64())]))
     arrow = pa.schema([("path", pa.string()), ("frame", pa.string()), ("box_id", pa.int32()), *((x, pa.float64()) for x in ("cx", "cy", "cz", "l", "w", "h", "rot_z")), ("actions", pair), ("social", pair)])
     schema = f"path string, frame string, box_id int, cx double, cy double, cz double, l double, w double, h double, rot_z double, actions {schemas.ACTIVITIES}, social {schemas.ACTIVITIES}"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    return files.select("path", "content").mapInArrow(rows, schema)
+    return contents(spark, path, "*.json").mapInArrow(rows, schema)
 
 
-def sync_map(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SYNC_MAP).option("multiLine", "true").json(path)
+def sync_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A sync map: one JSON list, or with ``lines`` an object a line, as ``writers.write_json`` writes it."""
+    return spark.read.schema(schemas.SYNC_MAP).option("multiLine", not lines).json(path)
 
 
-def annotations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.ANNOTATIONS).option("multiLine", "true").json(path)
+def annotations(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    return spark.read.schema(schemas.ANNOTATIONS).option("multiLine", not lines).json(path)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """(path, line, value) of text files, lines numbered from 0 and blank ones left out."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", r"\r?\n").alias("lines"))
+    if isinstance(path, DataFrame):
+        files = path.select("path", F.decode("content", "UTF-8").alias("value"))
+    else:
+        files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = files.select("path", F.split("value", r"\r?\n").alias("lines"))
     lines = files.select("path", F.posexplode(F.filter("lines", lambda x: F.trim(x) != "")).alias("line", "value"))
     return lines.withColumn("parts", F.split(F.trim("value"), r"\s+"))
 
 
-def times(spark: SparkSession, path: str) -> DataFrame:
+def times(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     return _lines(spark, path).select("path", "line", F.col("parts")[0].try_cast("double").alias("time"))
 
 
-def poses(spark: SparkSession, path: str) -> DataFrame:
+def poses(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Pose structs of files with a time and seven numbers a line; other widths are an error."""
     p = F.transform("parts", lambda x: x.try_cast("double"))
     rows = _lines(spark, path).withColumn("p", p)
@@ -142,7 +153,7 @@ def poses(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("path", "line", F.when(wrong.isNull(), pose).alias("pose"), wrong.alias("error"))
 
 
-def calibration(spark: SparkSession, path: str) -> DataFrame:
+def calibration(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """(path, name, m) of ``calib.txt`` lines, twelve numbers each."""
     rows = _lines(spark, path)
     return rows.select("path", F.regexp_replace(F.col("parts")[0], ":$", "").alias("name"), F.transform(F.slice("parts", 2, 12), lambda x: x.try_cast("double")).alias("m"))
@@ -172,7 +183,7 @@ def cameras(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "sensor_id string, position int, K array<double>, D array<double>, R array<double>, T array<double>, width int, height int")
 
 
-def messages(spark: SparkSession, path: str, kind: str = "db3", topics: tuple[str, ...] | None = None) -> DataFrame:
+def messages(spark: SparkSession, path: str | DataFrame, kind: str = "db3", topics: tuple[str, ...] | None = None) -> DataFrame:
     """Messages of recordings, ``db3`` or ``bag``: (path, topic, msg_type, ts_ns, data, error).
 
     Only messages of ``topics`` leave the file; copies named ``*.orig.bag`` are skipped.
@@ -200,7 +211,7 @@ def messages(spark: SparkSession, path: str, kind: str = "db3", topics: tuple[st
     return rows.filter(~F.endswith("path", F.lit(".orig.bag")))
 
 
-def topics(spark: SparkSession, path: str) -> DataFrame:
+def topics(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """(path, id, name, type) of the topics of ``db3`` recordings."""
     def read(data: bytes) -> Iterator[dict]:
         rows = list(decode.sqlite_rows(data, "SELECT id, name, type FROM topics"))
@@ -250,7 +261,7 @@ def message_images(rows: DataFrame, version: int = 2) -> DataFrame:
 
 
 def message_files(rows: DataFrame, version: int = 2) -> DataFrame:
-    """The compressed files inside image messages; see ``with_codec`` for decoding them."""
+    """The compressed files inside image messages; ``pictures`` decodes PNG, ``with_model`` takes a codec for others."""
     return _each_message(rows, "file binary", lambda data: iter([{"file": [decode.compressed_of(data, version)]}]))
 
 
@@ -271,12 +282,60 @@ def with_model(rows: DataFrame, column: str, name: str, schema: str, load: Calla
     return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{name}` {schema}"]))
 
 
+def pictures(files: DataFrame) -> DataFrame:
+    """Rows (path, file) of PNG files with height, width, grey (an array in [0, 1], row by row) and error."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column("path").to_pylist(), batch.column("file")):
+                row = {"path": name, "height": None, "width": None, "grey": None, "error": None}
+                try:
+                    a = decode.grey(decode.png_pixels(data.as_py()))
+                    row |= {"height": a.shape[0], "width": a.shape[1], "grey": a.ravel().tolist()}
+                except Exception as e:  # noqa: BLE001  the row says so
+                    row["error"] = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_pylist([row], schema=arrow)
+
+    arrow = pa.schema([("path", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("grey", pa.list_(pa.float64())), ("error", pa.string())])
+    return files.select("path", "file").mapInArrow(read, "path string, height int, width int, grey array<double>, error string")
+
+
+#: Extensions of image files, in any case of letters.
+IMAGES = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".tif")
+
+
+def image_paths(files: DataFrame) -> DataFrame:
+    """The rows of ``files`` whose path names an image."""
+    hit = F.lit(False)
+    for e in IMAGES:
+        hit = hit | F.endswith(F.lower("path"), F.lit(e))
+    return files.filter(hit)
+
+
 def missing_folders(spark: SparkSession, root: str, wanted: tuple[str, ...]) -> list[str]:
     """Which of the wanted folders hold no files."""
-    found = {r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.element_at(F.split("path", "/"), -2)).distinct().collect()}
+    folder = F.element_at(F.split("path", "/"), -2)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    found = {r[0] for r in files.select(folder.alias("f")).filter(F.col("f").isin(*wanted)).distinct().collect()}  # as many as are wanted
     return [w for w in wanted if w not in found]
 
 
+#: Folders that may hold a recording's point files, where it has none itself, the first ones first.
+FOLDERS = ("", "pointclouds", "velodyne", "upper_velodyne", "lower_velodyne")
+
+
+def point_files(files: DataFrame, root: str = "", by: tuple[str, ...] = ()) -> DataFrame:
+    """Point files of a recording's first folder that has any, and there of the first extension.
+
+    ``by`` names columns that tell recordings apart; ``root`` is their common path.
+    """
+    below = F.regexp_extract(F.substring("path", len(root) + 1, 1 << 20), r"^/?(?:(.*)/)?[^/]*$", 1)
+    place = F.array_position(F.array(*(F.lit(f) for f in FOLDERS)), below)
+    rank = F.when(place > 0, place * 8 + names.extension_rank(F.col("path")))
+    ranked = files.withColumn("rank", rank).filter("rank is not null")
+    least = ranked.groupBy(*by).agg(F.min("rank").alias("least"))
+    return (ranked.join(least, list(by)) if by else ranked.crossJoin(F.broadcast(least))).filter("rank = least").drop("rank", "least")  # without ``by`` one row
+
+
 def best_points(files: DataFrame) -> DataFrame:
     """Point files of the extension that comes first: (path, rank)."""
     ranked = files.withColumn("rank", names.extension_rank(F.col("path"))).filter("rank is not null")
