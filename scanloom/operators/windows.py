@@ -24,9 +24,12 @@ def relative_time(windows: DataFrame, keep: Sequence[str], n: int) -> DataFrame:
     return out.withColumn("t", F.try_divide(F.col("pos").cast("double"), F.lit(float(n - 1))))
 
 
-def offsets(counts: DataFrame, order: str, count: str, by: Sequence[str] = (), block: int = 1 << 16) -> DataFrame:
-    """Exclusive (start) and inclusive (end) running sums of counts, in blocks of ``order``'s values."""
-    rows = counts.withColumn("_b", F.floor(F.col(order) / F.lit(block)))
+def offsets(counts: DataFrame, order: str, count: str, by: Sequence[str] = (), block: int | Column = 1 << 16) -> DataFrame:
+    """Exclusive (start) and inclusive (end) running sums of counts, in blocks of ``order``'s values.
+
+    A block is that many whole numbers, or a column that never falls as ``order`` rises.
+    """
+    rows = counts.withColumn("_b", block if isinstance(block, Column) else F.floor(F.col(order) / F.lit(block)))
     sums = rows.groupBy(*by, "_b").agg(F.sum(count).alias("_s"))
     base = sums.select(*by, "_b", (F.sum("_s").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_s")).alias("_base"))
     run = F.sum(count).over(Window.partitionBy(*by, "_b").orderBy(order))
@@ -54,9 +57,10 @@ def pad(rows: DataFrame, by: str, order: str, n: int, fill: dict[str, object]) -
 
 
 def batch_ids(rows: DataFrame, by: str, block: int = 1 << 16) -> DataFrame:
-    """Dense number of each group in the order of its key, a whole number; ordered in blocks of ``block`` values."""
+    """Dense number of each group in the order of its key; groups are ordered in blocks of keys, strings by their first two letters."""
     groups = rows.select(by).distinct().withColumn("_one", F.lit(1))
-    return rows.join(offsets(groups, by, "_one", block=block).select(by, F.col("start").alias("batch_id")), by)
+    blocks = F.substring(by, 1, 2) if rows.schema[by].dataType.simpleString() == "string" else block
+    return rows.join(offsets(groups, by, "_one", block=blocks).select(by, F.col("start").alias("batch_id")), by)
 
 
 def lagged(rows: DataFrame, by: Sequence[str], order: str, value: str, n: int, block: int | None = None) -> DataFrame:
