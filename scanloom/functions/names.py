@@ -44,9 +44,21 @@ def scientific(x: Column) -> Column:
     return F.format_string("%.6e", x.cast("double"))
 
 
-def indexed(files: DataFrame, by: list[str], name: str) -> DataFrame:
-    """Place of each file in its group's name order, and the six-digit name of it."""
-    rows = files.withColumn("index", (F.row_number().over(Window.partitionBy(*by).orderBy(name)) - 1).cast("bigint"))
+def indexed(files: DataFrame, by: list[str], name: str, block: Column | None = None) -> DataFrame:
+    """Place of each file in its group's name order, and the six-digit name of it.
+
+    ``block``, a column that never falls as ``name`` rises, cuts groups that are too long for one task.
+    """
+    if block is None:
+        rows = files.withColumn("index", (F.row_number().over(Window.partitionBy(*by).orderBy(name)) - 1).cast("bigint"))
+    else:
+        dealt = files.withColumn("_b", block)
+        count = dealt.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+        start = count.select(*by, "_b", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_n")).alias("_start"))
+        placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_b").orderBy(name)))
+        same = [placed[c].eqNullSafe(start[c]) for c in (*by, "_b")]
+        joined = placed.join(start, same)
+        rows = joined.select(*(placed[c] for c in files.columns), (F.col("_start") + F.col("_at") - 1).cast("bigint").alias("index"))
     return rows.withColumn("kitti_name", padded(F.col("index"), 6))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from scanloom.operators import windows
+
 
 def cloud_stats(points: DataFrame, by: Sequence[str] = (), axes: Sequence[str] = ("x", "y", "z", "intensity")) -> DataFrame:
     """Number of points and the range of each axis."""
@@ -32,11 +34,10 @@ def equal_counts(*tables: DataFrame, by: Sequence[str]) -> DataFrame:
     return out.filter(F.least(*names) != F.greatest(*names)) if len(names) > 1 else out.limit(0)
 
 
-def times_quality(times: DataFrame, seq: str, ts: str, tie: str) -> DataFrame:
-    """Count, order, range, mean interval and rate of each sequence's times, in the order of ``tie``."""
-    w = Window.partitionBy(seq).orderBy(tie)
-    step = F.col(ts) - F.lag(ts).over(w)
-    rows = times.withColumn("_d", step)
+def times_quality(times: DataFrame, seq: str, ts: str, tie: str, block: int | None = None) -> DataFrame:
+    """Count, order, range, mean interval and rate of each sequence's times, in the order of ``tie``; ``block`` as in ``windows.lagged``."""
+    rows = windows.lagged(times, [seq], tie, ts, 1, block)
+    rows = rows.withColumn("_d", F.col(ts) - F.col("previous"))
     mean = F.avg("_d")
     return rows.groupBy(seq).agg(
         F.count("*").alias("n"), F.coalesce(F.bool_and(F.col("_d") >= 0), F.lit(True)).alias("monotone"), F.min(ts).alias("first"), F.max(ts).alias("last"),

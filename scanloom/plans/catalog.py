@@ -371,12 +371,14 @@ def residual_counts_pivot(spark, d):
 
 
 @query(
-    """WITH f AS (SELECT conv_id, turn FROM conversations WHERE conv_id%2=0 OR turn%3<>1), g AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn)-1 AS k,
- min(turn) OVER (PARTITION BY conv_id) AS lo FROM f) SELECT conv_id, turn, round(CASE WHEN lo=0 THEN k ELSE turn-lo END*(1.0/15)::double,6) AS time FROM g"""
+    """WITH f AS (SELECT conv_id, turn, turn*(1+conv_id%2)+conv_id%3 AS n FROM conversations), g AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n)-1 AS k,
+ min(n) OVER w AS lo, count(n) OVER w=count(DISTINCT n) OVER w AS once FROM f WINDOW w AS (PARTITION BY conv_id)) SELECT conv_id, turn, n, round(CASE WHEN lo=0 AND once THEN k ELSE n-lo END*(1.0/15)::double,6) AS time FROM g"""
 )
 def frame_times(spark, d):
-    c = table(spark, d, "conversations").filter((F.col("conv_id") % 2 == 0) | (F.col("turn") % 3 != 1))
-    return names.frame_times(c.select("conv_id", "turn"), "conv_id", "turn").withColumn("time", F.round("time", 6))
+    """Every turn as a frame; numbers of odd conversations have gaps, and only every third conversation begins at 0."""
+    n = F.col("turn") * (F.col("conv_id") % 2 + 1) + F.col("conv_id") % 3
+    c = table(spark, d, "conversations").select("conv_id", "turn", n.cast("bigint").alias("n"))
+    return names.frame_times(c, "conv_id", "n").withColumn("time", F.round("time", 6))
 
 
 @query(
@@ -395,48 +397,55 @@ def turn_times(spark, d):
 )
 def times_quality(spark, d):
     e = table(spark, d, "events").select("event_type", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    out = quality.times_quality(e, "event_type", "t", "event_id")
+    out = quality.times_quality(e, "event_type", "t", "event_id", block=1 << 16)
     return out.withColumns({"mean_interval": F.round("mean_interval", 3), "fps": F.round("fps", 9)})
 
 
 # --- calibration ---------------------------------------------------------------------------
 
-RIG = "c AS (SELECT vec_id::varchar AS sensor_id, embedding[1]::double AS a, embedding[2]::double AS b, embedding[3]::double AS e FROM embeddings WHERE vec_id<10)"
+#: All vectors, sixty-four to a rig.
+RIG = (
+    "c AS (SELECT vec_id//64 AS rig, (vec_id%64)::varchar AS sensor_id, embedding[1]::double AS a, embedding[2]::double AS b, "
+    "embedding[3]::double AS e, embedding[4]::double AS f FROM embeddings)"
+)
 
 
-def _rig(spark, d):
-    """The first ten vectors as the cameras of a rig."""
+def _cameras(spark, d, size: int):
+    """Every vector as a camera, ``size`` to a rig."""
     v = F.col("embedding")
-    return table(spark, d, "embeddings").filter("vec_id < 10").select(
-        F.col("vec_id").cast("string").alias("sensor_id"), F.col("vec_id").alias("position"), F.array(*(v[k].cast("double") for k in range(3))).alias("t"),
+    return table(spark, d, "embeddings").select(
+        F.expr(f"vec_id div {size}").alias("rig"), (F.col("vec_id") % size).cast("string").alias("sensor_id"), F.col("vec_id").alias("position"),
+        F.array(*(v[k].cast("double") for k in range(3))).alias("t"),
         v[0].cast("double").alias("fy"), v[1].cast("double").alias("cy"), v[2].cast("double").alias("fx"), v[3].cast("double").alias("cx"),
     )
 
 
+def _rig(spark, d):
+    return _cameras(spark, d, 64)
+
+
 @query(
-    f"WITH {RIG}, s AS (SELECT a-lag(a) OVER w AS x, b-lag(b) OVER w AS y, e-lag(e) OVER w AS z FROM c WINDOW w AS (ORDER BY sensor_id)) "
-    "SELECT round(coalesce(median(sqrt(x*x+y*y+z*z)),0.06),9) AS baseline FROM s WHERE x IS NOT NULL"
+    f"WITH {RIG}, s AS (SELECT rig, a-lag(a) OVER w AS x, b-lag(b) OVER w AS y, e-lag(e) OVER w AS z FROM c WINDOW w AS (PARTITION BY rig ORDER BY sensor_id)) "
+    "SELECT rig, round(coalesce(median(sqrt(x*x+y*y+z*z)),0.06),9) AS baseline FROM s GROUP BY 1"
 )
 def camera_baseline(spark, d):
-    return geometry.baseline(_rig(spark, d)).select(F.round("baseline", 9).alias("baseline"))
+    return geometry.baseline(_rig(spark, d), by=["rig"]).select("rig", F.round("baseline", 9).alias("baseline"))
 
 
-@query(
-    "SELECT count(*) AS points, " + ", ".join(f"round({f}(embedding[{k}]::double),9) AS {f}_{c}" for k, c in ((3, "fx"), (1, "fy"), (4, "cx"), (2, "cy")) for f in ("min", "max")) + " FROM embeddings WHERE vec_id<10"
-)
+@query(f"WITH {RIG} SELECT rig, count(*) AS points, " + ", ".join(f"round({f}({v}),9) AS {f}_{c}" for v, c in (("e", "fx"), ("a", "fy"), ("f", "cx"), ("b", "cy")) for f in ("min", "max")) + " FROM c GROUP BY 1")
 def camera_ranges(spark, d):
-    out = quality.cloud_stats(_rig(spark, d), axes=("fx", "fy", "cx", "cy"))
-    return out.select("points", *(F.round(c, 9).alias(c) for c in out.columns if c != "points"))
+    out = quality.cloud_stats(_rig(spark, d), by=["rig"], axes=("fx", "fy", "cx", "cy"))
+    return out.select("rig", "points", *(F.round(c, 9).alias(c) for c in out.columns if c not in ("rig", "points")))
 
 
-@query(f"WITH {RIG} SELECT round(median(a),9) AS f, round(median(b)/480*480,9) AS y0, 3760 AS width, 480 AS height FROM c")
+@query(f"WITH {RIG} SELECT rig, round(median(a),9) AS f, round(median(b)/480*480,9) AS y0, 3760 AS width, 480 AS height FROM c GROUP BY 1")
 def cylindrical_params(spark, d):
-    return geometry.cylindrical(_rig(spark, d)).withColumns({"f": F.round("f", 9), "y0": F.round("y0", 9)})
+    return geometry.cylindrical(_rig(spark, d), by=["rig"]).withColumns({"f": F.round("f", 9), "y0": F.round("y0", 9)})
 
 
-@query(f"WITH {RIG} SELECT CASE WHEN bool_or(sensor_id='7') THEN '7' ELSE min(sensor_id) END AS sensor_id FROM c")
+@query(f"WITH {RIG} SELECT rig, CASE WHEN bool_or(sensor_id='7') THEN '7' ELSE min(sensor_id) END AS sensor_id FROM c GROUP BY 1")
 def reference_camera(spark, d):
-    return geometry.reference_camera(_rig(spark, d), "7").select("sensor_id")
+    return geometry.reference_camera(_rig(spark, d), "7", by=["rig"]).select("rig", "sensor_id")
 
 
 #: All vectors, ten to a rig.
@@ -447,13 +456,7 @@ RIGS = (
 
 
 def _rigs(spark, d):
-    """Every vector as a camera, ten to a rig."""
-    v = F.col("embedding")
-    return table(spark, d, "embeddings").select(
-        F.expr("vec_id div 10").alias("rig"), (F.col("vec_id") % 10).cast("string").alias("sensor_id"), F.col("vec_id").alias("position"),
-        F.array(*(v[k].cast("double") for k in range(3))).alias("t"),
-        v[0].cast("double").alias("fy"), v[1].cast("double").alias("cy"), v[2].cast("double").alias("fx"), v[3].cast("double").alias("cx"),
-    )
+    return _cameras(spark, d, 10)
 
 
 @query(
@@ -491,10 +494,14 @@ def projection_matrix(spark, d):
     return table(spark, d, "embeddings").select("vec_id", *((F.round(p[k], 6) + 0.0).alias(n) for k, n in ((3, "p03"), (7, "p13"), (11, "p23"))))
 
 
-@query("SELECT 'P0: '||" + "||' '||".join(f"printf('%.6e',{v}::double)" for v in (500, 0, 320, -30, 0, 500, 240, 0, 0, 0, 1, 0.5)) + " AS line")
+@query(
+    "SELECT vec_id, 'P0: '||" + "||' '||".join(f"printf('%.6e',({v})::double)" for v in ("vec_id%97/8.0", 0, 320, "-(vec_id%13)", 0, "vec_id%97/8.0", 240, 0, 0, 0, 1, 0.5)) + " AS line FROM embeddings"
+)
 def calib_text(spark, d):
-    p = geometry.matrix_from(F.lit("500 0 320 -30\n0 500 240 0\n0 0 1 0.5"))
-    return spark.range(1).select(F.concat(F.lit("P0: "), F.concat_ws(" ", F.transform(p, names.scientific))).alias("line"))
+    f, t = (F.col("vec_id") % 97 / 8.0).cast("string"), (-(F.col("vec_id") % 13)).cast("string")
+    text = F.concat_ws(" ", f, F.lit("0 320"), t, F.lit("\n0"), f, F.lit("240 0\n[0, 0; 1 0.5]"))
+    rows = table(spark, d, "embeddings").withColumn("p", geometry.matrix_from(text))
+    return rows.select("vec_id", F.concat(F.lit("P0: "), F.concat_ws(" ", F.transform("p", names.scientific))).alias("line"))
 
 
 # --- names, masks ----------------------------------------------------------------------------
@@ -521,7 +528,7 @@ def stem_timestamp(spark, d):
 
 @query("SELECT doc_id, source, k AS index, printf('%06d',k) AS kitti_name FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id)-1 AS k FROM documents)")
 def kitti_index_names(spark, d):
-    return names.indexed(table(spark, d, "documents").select("doc_id", "source"), ["source"], "doc_id")
+    return names.indexed(table(spark, d, "documents").select("doc_id", "source"), ["source"], "doc_id", block=F.floor(F.col("doc_id") / F.lit(1 << 16)))
 
 
 @query("SELECT event_id, printf('%s: %.2f', event_type, value) AS text FROM events")
