@@ -9,7 +9,8 @@ words; a window none of whose anchors occurs elsewhere repeats nowhere.
 
 Anchors that occur once are dropped; the others extend to the
 windows that hold them, and those windows' hashes and the least id that has each
-tell which repeat. Hashes are 64 bits of whole words' hashes.
+tell which repeat. A window is told from all others by two polynomials of its
+words' 64-bit hashes, of 64 bits each, so that no two of a large corpus meet by chance.
 
 Exact copies of an earlier document are settled by a digest of their words
 beforehand. Counts and minima of hashes are summed where rows are before they
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 
 from scanloom.llm.common import bitmap, drop_finished_shuffles, gathered, hashed_words, in_bitmap, likely, mix, settled, slices
 
-#: Base of the windows' polynomial hashes, modulo 2 ** 64.
-BASE = 0x9E3779B97F4A7C15
+#: Bases of the windows' polynomial hashes, modulo 2 ** 64.
+BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 BATCH_BYTES = 1 << 20
 
@@ -55,7 +56,7 @@ def best_period(window: int) -> int:
     return min(range(1, window // 2 + 2), key=lambda p: (len(difference_cover(p)) / p, p))
 
 
-def window_hashes(word: np.ndarray, width: int) -> np.ndarray:
+def window_hashes(word: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
     """Hash (not yet mixed) of the ``width`` words from each position on, by joining halves; the last ones wrap and don't count."""
 
     def joined(n: int) -> np.ndarray:
@@ -64,7 +65,7 @@ def window_hashes(word: np.ndarray, width: int) -> np.ndarray:
         half = n // 2
         left, right = joined(half), joined(n - half) if n % 2 else None
         right = left if right is None else right
-        return left * np.uint64(pow(BASE, n - half, 1 << 64)) + np.roll(right, -half)
+        return left * np.uint64(pow(base, n - half, 1 << 64)) + np.roll(right, -half)
 
     return joined(width)
 
@@ -77,16 +78,12 @@ def _starts(offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return at[ok], doc[ok]
 
 
-def _distinct(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(doc: np.ndarray, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+    doc, h, g = doc[order], h[order], g[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], h[new]
-
-
-def _rows(ids: pa.Array, doc: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids.take(pa.array(doc))], names=["h", "doc_id"])
+    return doc[new], h[new], g[new]
 
 
 def _marked(offsets: np.ndarray, at: np.ndarray, doc: np.ndarray, h: np.ndarray, wanted: list) -> np.ndarray:
@@ -126,7 +123,7 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             words = hashed_words(batch.column("text"))
             offsets, word = words.offsets, words.hashes
             at, doc = _anchor_places(offsets)
-            yield _rows(batch.column("doc_id"), doc, mix(window_hashes(word, width)[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(mix(window_hashes(word, width)[at]).view(np.int64))], names=["h"])
 
     def _anchor_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, doc = _starts(offsets, width)
@@ -147,7 +144,8 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             near = np.cumsum(near)[:-1] > 0
             start, doc = _starts(offsets, window)
             ok = near[start]
-            yield _rows(batch.column("doc_id"), *_distinct(doc[ok], mix(window_hashes(word, window)[start[ok]])))
+            doc, h, g = _distinct(doc[ok], mix(window_hashes(word, window)[start[ok]]), window_hashes(word, window, SECOND_BASE)[start[ok]])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), batch.column("doc_id").take(pa.array(doc))], names=["h", "g", "doc_id"])
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -185,7 +183,7 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
 
     # Which anchors occur again goes to the tasks as bits of bounded size; the few others
     # that pass only make windows that turn out to have no second document.
-    pieces = named.mapInArrow(anchors, "h long, doc_id long").select("h")
+    pieces = named.select("text").mapInArrow(anchors, "h long")
     twice = pieces.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(twice, "h"))
     drop_finished_shuffles(docs.sparkSession)
@@ -193,12 +191,15 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
     copied = done.filter("copy").select("doc_id")
     rest = likely(named, copied, "doc_id").join(copied, "doc_id", "left_anti")
     sources = likely(named, copied, "doc_id", "left_anti").unionByName(rest)
-    found = settled(sources.select("doc_id", "text").mapInArrow(windows, "h long, doc_id long"), "windows")
-    owner = found.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter(F.col("owner") < F.col("last")).select("h", "owner")
-    repeats = found.join(owner, "h").filter(F.col("doc_id") > F.col("owner")).groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
+    found = settled(sources.select("doc_id", "text").mapInArrow(windows, "h long, g long, doc_id long"), "windows")
+    owner = found.groupBy("h", "g").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter(F.col("owner") < F.col("last")).select("h", "g", "owner")
+    repeats = found.join(owner, ["h", "g"]).filter(F.col("doc_id") > F.col("owner")).groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
     repeats = settled(repeats, "repeats")
 
     copies = done.filter("copy").select("doc_id", F.lit(True).alias("copy"))
     marks = settled(repeats.join(copies, "doc_id", "full_outer").select("doc_id", "repeats", F.coalesce("copy", F.lit(False)).alias("copy")), "marks")
-    out = texts.join(marks, "doc_id", "left").select("doc_id", "text", "repeats", F.coalesce("copy", F.lit(False)).alias("copy"))
+    # Texts that surely have no marks, by hashes of ids, go round the join.
+    none = {"repeats": F.lit(None).cast("array<bigint>"), "copy": F.lit(False)}
+    marked = likely(texts, marks, "doc_id").join(marks, "doc_id", "left").select("doc_id", "text", "repeats", F.coalesce("copy", F.lit(False)).alias("copy"))
+    out = marked.unionByName(likely(texts, marks, "doc_id", "left_anti").withColumns(none).select("doc_id", "text", "repeats", "copy"))
     return out.mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", text string" if keep_text else ""))
