@@ -31,6 +31,9 @@ from scanloom.llm.common import WORD, settled
 #: Bins of the histogram of ranks; one bin of a source is ordered by one task.
 BINS = 1 << 14
 
+#: Sources whose table of one row each is sent to all tasks; more are joined by shuffles.
+FEW = 10_000
+
 #: How often a gap before a long document is filled by shorter ones.
 FILLS = 3
 
@@ -67,7 +70,7 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def _head(rows: DataFrame, eligible: Column, limit: str, name: str) -> DataFrame:
+def _head(rows: DataFrame, eligible: Column, limit: str, name: str, few: bool) -> DataFrame:
     """Add the flag ``name`` to the eligible rows that head their source's ranking.
 
     The head is as long as its words stay within the column ``limit``, which is
@@ -77,7 +80,7 @@ def _head(rows: DataFrame, eligible: Column, limit: str, name: str) -> DataFrame
     run = Window.partitionBy("source").orderBy("bin")
     cut = binned.withColumn("upto", F.sum("words").over(run)).filter(F.col("upto") > F.col("limit"))
     cut = cut.groupBy(F.col("source").alias("of")).agg(F.min("bin").alias("cut_bin"), F.min(F.col("upto") - F.col("words")).alias("before"))
-    rows = rows.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    rows = rows.join(F.broadcast(cut) if few else cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     edge = eligible & (F.col("bin") == F.col("cut_bin"))
     within = Window.partitionBy("source", "bin").orderBy("q", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.filter(edge).withColumn(name, F.col("before") + F.sum("size").over(within) <= F.col(limit))
@@ -86,9 +89,10 @@ def _head(rows: DataFrame, eligible: Column, limit: str, name: str) -> DataFrame
     return inside.unionByName(rest).drop("cut_bin", "before")
 
 
-def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, by_source: DataFrame, few: bool) -> DataFrame:
+    """Each row with its source's row; ``few`` says that the number of sources has been checked."""
     by_source = by_source.withColumnRenamed("source", "of")
-    return rows.join(by_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    return rows.join(F.broadcast(by_source) if few else by_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: float = 3.0, seed: int = 7, weight: Column | None = None) -> DataFrame:
@@ -101,7 +105,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
         (F.lit(1.0) if weight is None else weight.cast("double")).alias("share"),
     ), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("share")), F.sum("size")), F.lit(1.0)).alias("mean"))
-    rows = _beside(_beside(rows, targets(sizes.drop("mean"), weights, cap)), sizes.select("source", "mean"))
+    sizes = settled(sizes, "mix-sources")
+    few = sizes.count() <= FEW
+    rows = _beside(_beside(rows, targets(sizes.drop("mean"), weights, cap), few), sizes.select("source", "mean"), few)
     due = F.when(F.col("source_size") > 0, F.least(F.lit(cap), F.try_divide(F.col("target") / F.col("source_size") * F.col("share"), F.col("mean")))).otherwise(0.0)
     rows = rows.withColumn("due", due).withColumn("whole", F.floor(F.col("due") + 1e-12)).withColumn("f", F.greatest(F.col("due") - F.col("whole"), F.lit(0.0)))
     u = uniform(F.col("doc_id"), seed)
@@ -111,16 +117,16 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
     rows = rows.withColumn("bin", F.least(F.floor(F.col("q") * BINS), F.lit(BINS - 1)))
 
     sure = rows.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * F.col("whole"))).alias("lack"))
-    rows = _beside(rows, sure).withColumn("lack", F.greatest(F.col("lack"), F.lit(0.0))).withColumn("drawn", F.lit(False))
+    rows = _beside(rows, sure, few).withColumn("lack", F.greatest(F.col("lack"), F.lit(0.0))).withColumn("drawn", F.lit(False))
     rows = settled(rows, "mix-ranks")
     for again in range(1 + FILLS):
         # From the second time on: where the next document in the ranking is too
         # long for what is left, shorter ones after it fill the gap.
         fits = F.col("open") & ~F.col("drawn") & (F.col("size") <= F.col("lack")) if again else F.col("open")
-        head = _head(rows, fits, "lack", "more")
+        head = _head(rows, fits, "lack", "more", few)
         rows = settled(head.withColumn("drawn", F.col("drawn") | F.col("more")).drop("more"), "mix-drawn")
         left = rows.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * (F.col("whole") + F.col("drawn").cast("long")))).alias("lack"))
-        rows = _beside(rows.drop("lack"), left)
+        rows = _beside(rows.drop("lack"), left, few)
     copies = F.col("whole") + F.col("drawn").cast("long")
     copies = F.least(copies, F.lit(int(cap))).cast("long")
     return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "tie")
