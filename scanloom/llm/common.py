@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 #: A word everywhere in this package: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Used only where the session names no ``spark.checkpoint.dir``, as in tests.
-DEFAULT_SHARED = "/tmp/scanloom-shared"
+#: Used only where the session names no ``spark.checkpoint.dir`` and all work is done on one machine, as in tests.
+LOCAL_SHARED = "/tmp/scanloom-shared"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
-    return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or LOCAL_SHARED
 
 
 #: Rows of an Arrow batch; Spark's own 10,000 whole texts are too much for small workers.
@@ -36,17 +39,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Lineage ends here: what follows survives the loss of any executor without
-    repeating the work above, and every later use reads the same rows.
+    repeating the work above, and every later use reads the same rows. Settled
+    tables that nothing but ``df`` needs, ``done``, are deleted afterwards.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
     drop_finished_shuffles(spark)
+    for old in done:
+        gone = spark._jvm.org.apache.hadoop.fs.Path(old.settled_path)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return out
 
 

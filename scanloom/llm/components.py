@@ -29,4 +29,4 @@ def components(links: DataFrame) -> DataFrame:
         large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = settled(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        now = settled(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links", now)

@@ -173,17 +173,15 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n long, node long, own array<bigint>, up array<bigint>")
 
 
-def filed(every: DataFrame, like: Similarity) -> DataFrame:
+def filed(every: DataFrame, counted: DataFrame, like: Similarity) -> DataFrame:
     """(key, node, weight) of the blocks that each set files: of its rarest ones those that occur again.
 
-    How often blocks occur goes to the tasks as maps of bits of bounded size, one
+    How often blocks occur, ``counted`` (key, c), goes to the tasks as maps of bits of bounded size, one
     for each level. Where they fill up, blocks only pass as more frequent ones;
     any order that is alike for all documents finds every link.
     """
     ends = like.bands()
     known = every.filter((F.size("own") > 0) | (F.size("up") > 0))
-    counted = known.select(F.explode(F.concat("own", "up")).alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
-    counted = settled(counted, "frequencies")
     sketch = every.sparkSession.sparkContext.broadcast([bitmap(counted.filter(F.col("c") >= least), "key", bits) for least, bits, _ in LEVELS])
     weights = np.cumsum([0, *(w for _, _, w in LEVELS)])
 
@@ -218,8 +216,8 @@ def filed(every: DataFrame, like: Similarity) -> DataFrame:
     return known.select("n", "node", "own", "up").mapInArrow(passing, "key long, node long, weight long").distinct()
 
 
-def sets_of(docs: DataFrame, every: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
-    """(node, groups, s) of the sets ``nodes``: counts for the bound and ascending shingles. Their texts alone are read again."""
+def sets_of(docs: DataFrame, ids: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
+    """(node, groups, s) of the sets ``nodes``: counts for the bound and ascending shingles. The texts of ``ids`` alone are read again."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -234,8 +232,6 @@ def sets_of(docs: DataFrame, every: DataFrame, nodes: DataFrame, like: Similarit
                 "s": pa.array([sets[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary()),
             })
 
-    ids = every.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    ids = settled(ids, "ids")
     texts = likely(docs.select("doc_id", "text"), ids, "doc_id").join(ids, "doc_id", "left_semi")
     # An id may have several texts, and other rows the same set.
     return texts.mapInArrow(found, "node long, groups binary, s binary").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("groups").alias("groups"), F.first("s").alias("s"))
@@ -360,10 +356,15 @@ def compared(rows: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
 
 def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
     """(a, b): links between different sets, enough of them to join all that hang together."""
-    own = settled(filed(every, like), "filed")
+    counted = every.select(F.explode(F.concat("own", "up")).alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
+    counted = settled(counted, "frequencies")
+    own = settled(filed(every, counted, like), "filed", counted)
     shared = own.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1).select("key")
-    members = settled(own.join(shared, "key"), "cells")
-    sets = settled(sets_of(docs, every, members.select("node").distinct(), like), "sets")
+    members = settled(own.join(shared, "key"), "cells", own)
+    nodes = members.select("node").distinct()
+    ids = every.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    ids = settled(ids, "ids")
+    sets = settled(sets_of(docs, ids, nodes, like), "sets", ids)
     star = settled(starred(members, sets, like), "links-found")
     parts = components(star)
 
@@ -372,7 +373,7 @@ def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
     apart = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = apart.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
     mixed = mixed.filter(F.col("parts") > 1).select("key", F.col("most.component").alias("large"))
-    rest = settled(apart.join(mixed, "key").filter(F.col("component") != F.col("large")), "rest")
+    apart_rows = rest = settled(apart.join(mixed, "key").filter(F.col("component") != F.col("large")), "rest")
     asked = rest.select(F.col("large").alias("key"), "node", "component", F.lit(False).alias("inner")).distinct()
     whole = apart.select(F.col("component").alias("key"), "node", "component", F.lit(True).alias("inner")).distinct().join(asked.select("key").distinct(), "key", "left_semi")
     with_large = settled(compared(asked.unionByName(whole), sets, like), "links-found")
@@ -383,7 +384,7 @@ def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
     same = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"s{k}") for k in range(2)]
     mixed = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("c"), *same)
     mixed = mixed.filter(F.col("low") < F.col("high")).groupBy("c", "s0", "s1").agg(F.min("key").alias("key")).select("key")
-    among = settled(compared(rest.join(mixed, "key").withColumn("inner", F.lit(False)), sets, like), "links-found")
+    among = settled(compared(rest.join(mixed, "key").withColumn("inner", F.lit(False)), sets, like), "links-found", apart_rows, members, sets, star, with_large)
     return parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(among)
 
 
