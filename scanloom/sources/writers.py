@@ -1,9 +1,10 @@
 """Writers of the sensor file layouts.
 
-Parquet is the native form. For tools that want one small file a frame, rows
-(path, bytes) are written by the tasks that hold them, each to a name of its own
-first and then renamed, so that a task that runs again overwrites with the same.
-``root`` has to be a folder that all executors mount.
+Parquet is the native form. Small files are made as rows (path, bytes), which
+``store.write_packed`` keeps in any store that Spark writes to. For tools that want
+one file a frame, ``write_files`` has the tasks that hold the rows write them, each
+to a name of its own first and then renamed, so that a task that runs again
+overwrites with the same; its ``root`` has to be a folder that all executors mount.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql.window import Window
 from scanloom.functions import names
 from scanloom.sources import decode
 
-#: Colours of instances in combined masks, blue, green, red.
+# --- fixed values: colours of instances in combined masks, blue, green, red -----
 COLOURS = [(255, 0, 0), (0, 255, 0), (0, 0, 255), (255, 255, 0), (255, 0, 255), (0, 255, 255), (128, 0, 128), (255, 165, 0)]
+# --------------------------------------------------------------------------------
 
 
 def write_files(rows: DataFrame, root: str) -> int:
