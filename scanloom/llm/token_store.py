@@ -91,7 +91,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
                 chunk, before = chunk + 1, before + len(own)
 
     rows = docs.select("doc_id", "text")
-    rows = rows.repartitionByRange(parts_for(rows, "text", SHARD_BYTES), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # The hash also parts rows that share an id, or have none.
+    order = ["doc_id", F.xxhash64("text")]
+    rows = rows.repartitionByRange(parts_for(rows, "text", SHARD_BYTES), *order).sortWithinPartitions(*order)
     rows.mapInArrow(chunks, SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
