@@ -168,6 +168,8 @@ def _any(words) -> str:
 
 _SPELLED = _any(DIGIT_WORDS)
 _SPELLED_RUN = re.compile(rf"\b{_SPELLED}(?:[\x20-]{_SPELLED})*+\b", re.I)
+#: For lowered texts: a digit word that is one where it stands alone. A first look, for most texts have none.
+_HAS_SPELLED = re.compile(rf"\b{_any(w for w in DIGIT_WORDS if w not in OFTEN_NO_DIGIT)}\b")
 _WORD = re.compile(r"[^\W\d_]+")
 _PLUS = re.compile(rf"\b{_any(PLUS_WORDS)}[\x20-]+(?=[0-9])", re.I)
 _BRACKET_AT = re.compile(rf"[\[({{<]\s*+{_any(AT_WORDS)}\s*+[\])}}>]\s*+", re.I)
@@ -196,8 +198,8 @@ def disguised_spans(text: str) -> list[tuple[str, int, int]]:
     low = text.lower()
     foreign = not text.isascii() and _FOREIGN.search(text)
     dotted = any(w in low for w in DOT_WORDS)
-    hidden = any(w in low for w in AT_WORDS)
-    spelled = _SPELLED_RUN.search(text)
+    hidden = " at " in low or any(w in low for w in AT_WORDS[1:]) or _BRACKET_AT.search(text)
+    spelled = _HAS_SPELLED.search(low)
     if not (foreign or dotted or hidden or spelled):
         return []
     t = Traced(text)
