@@ -401,6 +401,8 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     classes = classes.join(found, "node", "left").filter((F.col("least") < F.col("last")) | F.col("component").isNotNull())
     classes = classes.select("node", "least", F.coalesce("component", "node").alias("component"))
     label = classes.join(classes.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
+    # A set that many rows share meets its label in a join of two tables, which Spark can split.
+    label = settled(label, "labels")
     out = every.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left")
     # A row without an id is in nobody's component.
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
