@@ -207,7 +207,7 @@ def file_boxes(spark, d):
     return flows.box_labels(points(spark, d), boxes).select("frame_id", "point_idx", "label")
 
 
-@query("SELECT 'sensor_'||k AS sensor_id, 500.0+k AS fx, 0.5*k AS t0, CASE WHEN k=1 THEN 640 ELSE 752 END AS width, 480 AS height FROM (SELECT unnest([0,1,3]) AS k)")
+@query("SELECT 'sensor_'||k AS sensor_id, (500+k)::double AS fx, (k/2.0)::double AS t0, CASE WHEN k=1 THEN 640 ELSE 752 END AS width, 480 AS height FROM (SELECT unnest([0,1,3]) AS k)")
 def file_cameras(spark, d):
     """Three sensors and an entry of another name; matrices as text and as lists, defaults filled in."""
     one = lambda k, more="": f"  sensor_{k}:\n    K: '{500 + k} 0 320; 0 500 240; 0 0 1'\n    R: [[1, 0, 0], [0, 1, 0], [0, 0, 1]]\n    T: [{0.5 * k}, 0, 0]\n{more}"
