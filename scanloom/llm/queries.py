@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanloom.llm import embedding_search, jpeg, main_text, mixing, ngram_join, packing, pii, sql, substring_dedup, token_store, toxicity
+from scanloom.llm import embedding_search, jpeg, lexical_search, main_text, mixing, ngram_join, packing, pii, secrets, sql, substring_dedup, token_store, toxicity, whitening
 from scanloom.llm.common import small_batches
 
 
@@ -60,6 +60,18 @@ def op10_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     # At the repository's top, and built on this package.
     from corpus_pipeline import run
@@ -79,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_store": op8_token_store,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_jpeg": op10_jpeg,
+        "op11_whitening": op11_whitening,
+        "op12_secrets": op12_secrets,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": pipeline,
     }
 
@@ -90,4 +105,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": sql.mixing(mixing.FILLS),
         "op7_search": sql.EMBEDDING_SEARCH,
         "op9_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op13_lexical_search": sql.LEXICAL_SEARCH,
     }

@@ -55,3 +55,13 @@ b AS (SELECT d.*, source_size, target, CASE WHEN source_size>0 THEN least(3.0::d
 f AS (SELECT *, floor(due+1e-12)::bigint AS whole, greatest(due-floor(due+1e-12),0) AS f FROM b),
 r0 AS (SELECT * EXCLUDE (o), CASE WHEN open THEN o/(1+o) ELSE 1 END AS q, false AS drawn FROM (SELECT *, f>1e-12 AND size>0 AS open, (u/(1-u))/(f/(1-f)) AS o FROM f)){rounds}
 SELECT doc_id, size, source_size, target, (size*least(whole+drawn::int,3))::bigint AS taken, least(whole+drawn::int,3)::bigint AS copies FROM r{fills + 1}"""
+
+LEXICAL_SEARCH = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+ s AS (SELECT count(*) FILTER (len(ts) > 0) AS n, coalesce(sum(len(ts)), 0)::BIGINT AS l FROM d),
+ p AS (SELECT r, any_value(doc_id) AS doc_id, t, count(*) AS tf, any_value(len(ts)) AS size FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM d) GROUP BY r, t),
+ w AS (SELECT t, floor(1000 * ln((2.0::DOUBLE * n + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY t, n),
+ q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+ g AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * size * n) // l)))))::BIGINT AS score FROM q JOIN p USING (t) JOIN w USING (t), s GROUP BY item_id, r)
+SELECT * FROM (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM g WHERE score > 0) WHERE rank <= 50
+"""
