@@ -48,6 +48,9 @@ BLOCK = 64
 WINDOW = 1_024
 QUERY_ROWS = 512
 
+#: Tasks that shards and blocks of queries are dealt to, at most.
+TASKS = 50_000
+
 #: Groups of shards whose answers are merged first.
 PARTS = 64
 
@@ -305,7 +308,9 @@ def matched(rows: DataFrame, heads: DataFrame, queries: DataFrame, count: int, k
         none = flat.pop("none") > 0
         return pa.table({c: pa.array(v, pa.int64(), mask=none if c == "id" else None) for c, v in flat.items()})
 
-    return base.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInArrow(best, "item long, part long, id long, score long")
+    # Small rows, but long work: a number of partitions that is named is one that Spark doesn't lower for their size.
+    dealt = lambda df: df.repartition(min(cells * count, TASKS), "cell", "block").groupBy("cell", "block")
+    return dealt(base).cogroup(dealt(asked)).applyInArrow(best, "item long, part long, id long, score long")
 
 
 def merged(found: DataFrame, k: int, item: str, id: str) -> DataFrame:

@@ -13,7 +13,7 @@ over the number of documents that hold it, outside values of contexts. All texts
 are read once; that gives plain spans, values and counts of words by task. Distinct
 values are cut into the pieces that may be words, and meet the counts in a join; the
 dynamic programming runs once for each distinct value, whose cost is then joined
-back. Nothing is sent to all tasks but a filter of hash values of fixed size.
+back. Nothing is sent to all tasks.
 
 Defined cases. A null text counts as empty, and has no spans. Values shorter than
 ``SHORTEST`` are never costly. Ids are only handed on: null and repeated ones, and
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import likely, settled, slices, small_batches
+from scanloom.llm.common import settled, slices, small_batches
 
 KINDS = ("assign", "access", "hex", "value")
 BASE = KINDS[:3]
@@ -171,29 +171,33 @@ def _dates(value: str) -> Iterator[tuple[int, int, float]]:
         yield *m.span(1), math.log10(far(int(m[1])))
 
 
-def _step(a: str, b: str) -> tuple | None:
-    """Where a walk goes from one key to the next one, by keyboard or alphabet; None if they are no neighbours."""
-    if a.isalpha() and b.isalpha() and abs(ord(a) - ord(b)) == 1:
-        return "abc", ord(b) - ord(a)
+def _next_key(a: str, b: str) -> tuple[int, int] | None:
+    """The way from one key to another that is beside it."""
     if a in _KEYS and b in _KEYS and a != b:
         (x, y), (z, w) = _KEYS[a], _KEYS[b]
         if abs(x - z) <= 1 and abs(y - w) <= 1:
-            return "key", (z > x) - (z < x), w - y
+            return (z > x) - (z < x), w - y
     return None
 
 
+def _next_letter(a: str, b: str) -> int | None:
+    return ord(b) - ord(a) if a.isalpha() and b.isalpha() and abs(ord(a) - ord(b)) == 1 else None
+
+
 def _walks(value: str) -> Iterator[tuple[int, int, float]]:
+    """Longest runs of neighbours, on the keyboard and in the alphabet."""
     keys = [SHIFTED.get(c, c.lower()) for c in value]
-    a, turns, way = 0, 0, None
-    for b in range(1, len(keys) + 1):
-        new = _step(keys[b - 1], keys[b]) if b < len(keys) else None
-        if new is None or way is not None and new[0] != way[0]:
+    for step in (_next_key, _next_letter):
+        a, turns, way = 0, 0, None
+        for b in range(1, len(keys) + 1):
+            new = step(keys[b - 1], keys[b]) if b < len(keys) else None
+            if new is not None:
+                turns += way is not None and new != way
+                way = new
+                continue
             if b - a >= 3:
                 yield a, b, math.log10(STARTS * (b - a)) + turns * math.log10(TURNS)
-            a, turns, way = (b if new is None else b - 1), 0, new
-            continue
-        turns += way is not None and new != way
-        way = new
+            a, turns, way = b, 0, None
 
 
 def _brute(c: str) -> float:
@@ -277,7 +281,7 @@ def costs(values: DataFrame, words: DataFrame) -> DataFrame:
 
     cuts = settled(values.mapInArrow(cut, "value string, word string"), "secrets-pieces")
     pairs = float(words.agg(F.sum("documents")).first()[0] or 1)
-    counted = likely(words, cuts.filter("word IS NOT NULL"), "word").groupBy("word").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= KNOWN)
+    counted = words.groupBy("word").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= KNOWN)
     priced = counted.select("word", F.log10(F.lit(pairs) / F.col("documents")).alias("cost"))
     known = F.collect_list(F.when(F.col("cost").isNotNull(), F.struct("word", "cost"))).alias("known")
     return cuts.join(priced, "word", "left").groupBy("value").agg(known).mapInArrow(guessed, "value string, cost double")

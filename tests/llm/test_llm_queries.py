@@ -32,7 +32,7 @@ def test_query(spark, name):
 
 def test_names():
     found = queries.queries()
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in found if k != "pipeline") == list(range(1, 11)) and "pipeline" in found
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in found if k != "pipeline") == list(range(1, 14)) and "pipeline" in found
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
