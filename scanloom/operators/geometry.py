@@ -28,6 +28,23 @@ def intrinsics(k: Column) -> dict[str, Column]:
     return {"fx": k[0], "fy": k[4], "cx": k[2], "cy": k[5]}
 
 
+def frustum_vertices(bbox: Column, fx, fy, cx, cy, near: float = 0.5, far: float = 50.0) -> Column:
+    """The eight corners of a bounding box's frustum as structs (x, y, z): the near plane before the far one, each from top left clockwise."""
+    ray = lambda k, f, c: (bbox[k] - col(c)) / col(f)
+    left, top, right, bottom = ray(0, fx, cx), ray(1, fy, cy), ray(2, fx, cx), ray(3, fy, cy)
+    depth = lambda d: F.lit(float(d))
+    corner = lambda x, y, d: F.struct((x * depth(d)).alias("x"), (y * depth(d)).alias("y"), depth(d).alias("z"))
+    return F.array(*(corner(x, y, d) for d in (near, far) for x, y in ((left, top), (right, top), (right, bottom), (left, bottom))))
+
+
+def pixel(fx, fy, cx, cy, width: int, height: int, x="x", y="y", z="z") -> Column:
+    """(u, v): the pixel that a point in front of the camera falls on; null behind it and outside of the image."""
+    x, y, z = col(x), col(y), col(z)
+    at = F.when(z > 0, F.struct((x * col(fx) / z + col(cx)).alias("u"), (y * col(fy) / z + col(cy)).alias("v")))
+    inside = (at["u"] >= 0) & (at["u"] < width) & (at["v"] >= 0) & (at["v"] < height)
+    return F.when(inside, F.struct(F.floor(at["u"]).cast("long").alias("u"), F.floor(at["v"]).cast("long").alias("v")))
+
+
 def frustum_bounds(bbox: Column, fx, fy, cx, cy, near: float = 0.5, far: float = 50.0) -> Column:
     """The axis-aligned hull of a bounding box's frustum between two depths, as a struct."""
     sides = {}
@@ -61,6 +78,16 @@ def in_rotated_box(box: Column, x="x", y="y", z="z") -> Column:
     return (F.abs(dx * c + dy * s) <= box["l"] / 2) & (F.abs(dy * c - dx * s) <= box["w"] / 2) & (F.abs(dz) <= box["h"] / 2)
 
 
+def box_bounds(box: Column) -> Column:
+    """The ground rectangle around a turned box, a hair wider so that rounding loses no point on an edge."""
+    c, s = F.abs(F.cos(box["rot_z"])), F.abs(F.sin(box["rot_z"]))
+    half = {"x": box["l"] / 2 * c + box["w"] / 2 * s, "y": box["l"] / 2 * s + box["w"] / 2 * c}
+    slack = {k: h * 1e-9 + F.abs(box[f"c{k}"]) * 1e-12 + 1e-9 for k, h in half.items()}
+    good = (box["l"] >= 0) & (box["w"] >= 0)
+    side = lambda k, sign: F.when(good, box[f"c{k}"] + sign * (half[k] + slack[k])).alias(f"{k}{int(sign > 0)}")
+    return F.struct(side("x", -1), side("x", 1), side("y", -1), side("y", 1))
+
+
 def rotation(qx: Column, qy: Column, qz: Column, qw: Column) -> list[Column]:
     """Row-major rotation of a quaternion, normalised first; null for a zero one."""
     n = F.sqrt(qx * qx + qy * qy + qz * qz + qw * qw)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from scanloom.operators import geometry
+from scanloom.operators import geometry, grid
 
 # --- fixed values -------------------------------------------------------------
 MOVING_CLASSES = ("person", "bicycle", "car", "motorcycle", "bus", "truck", "bird", "cat", "dog")
@@ -34,30 +35,60 @@ def valid_detections(detections: DataFrame, threshold: float, classes: Sequence[
 
 
 def label_by(points: DataFrame, shapes: DataFrame, keys: Sequence[str], point_id: Sequence[str], test: Column) -> DataFrame:
-    """Add ``is_moving``: whether any of the frame's shapes holds the point.
+    """Add ``is_moving``: whether any of the frame's shapes, whose bounds are ``_bounds``, holds the point.
 
-    The join has the frame as its key, so that it is never a nested loop over
-    all points; hits are reduced to distinct points before they are joined back.
+    Points meet shapes by cells of a grid; hits are reduced to distinct points
+    before they are joined back.
     """
-    hits = points.join(shapes, list(keys)).filter(test).select(*point_id).distinct().withColumn("is_moving", F.lit(True))
+    hits = grid.candidates(points.select(*point_id, "x", "y", "z"), shapes, keys).filter(test).select(*point_id).distinct().withColumn("is_moving", F.lit(True))
     return points.join(hits, list(point_id), "left").withColumn("is_moving", F.coalesce("is_moving", F.lit(False)))
 
 
 def label_by_detections(points: DataFrame, detections: DataFrame, camera: dict[str, float], near: float = 0.5, far: float = 50.0) -> DataFrame:
     """Points (frame_id, point_idx, x, y, z) by the hulls of their frame's detections (frame_id, bbox)."""
     shapes = detections.select("frame_id", geometry.frustum_bounds(F.col("bbox"), **camera, near=near, far=far).alias("bounds"))
-    return label_by(points, shapes, ["frame_id"], ["frame_id", "point_idx"], geometry.in_bounds(F.col("bounds"))).drop("bounds")
+    return label_by(points, shapes.withColumn("_bounds", F.col("bounds")), ["frame_id"], ["frame_id", "point_idx"], geometry.in_bounds(F.col("bounds")))
 
 
 def label_by_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points by their frame's moving boxes (frame_id, box struct, is_moving); static boxes go before the join."""
-    shapes = boxes.filter("is_moving").select("frame_id", "box")
-    return label_by(points, shapes, ["frame_id"], ["frame_id", "point_idx"], geometry.in_rotated_box(F.col("box"))).drop("box")
+    shapes = boxes.filter("is_moving").select("frame_id", "box", geometry.box_bounds(F.col("box")).alias("_bounds"))
+    return label_by(points, shapes, ["frame_id"], ["frame_id", "point_idx"], geometry.in_rotated_box(F.col("box")))
+
+
+#: Pixels of a row that runs of masks are filed by.
+RUN_TILE = 64
+
+
+def mask_runs(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Runs (by, r, first, end) of masked pixels (by, r, c), ``end`` being the pixel behind; a row of an image is ordered at a time."""
+    row = Window.partitionBy(*by, "r").orderBy("c")
+    runs = pixels.select(*by, "r", "c").distinct().withColumn("_run", F.col("c") - F.row_number().over(row))
+    return runs.groupBy(*by, "r", "_run").agg(F.min("c").alias("first"), (F.max("c") + 1).alias("end")).drop("_run")
+
+
+def label_by_masks(points: DataFrame, runs: DataFrame, camera: dict[str, float], width: int, height: int, unmasked: DataFrame | None = None, near: float = 0.5, far: float = 50.0) -> DataFrame:
+    """Add ``is_moving``: whether a point (frame_id, point_idx, x, y, z) falls on a masked pixel of its frame.
+
+    Points are projected to pixels and looked up in the mask's runs
+    (frame_id, r, first, end) of that row, which are filed by tiles of
+    ``RUN_TILE`` pixels. Detections without a mask, ``unmasked`` (frame_id, bbox),
+    label the points in the hulls of their frustums instead.
+    """
+    tile = lambda c: F.floor(c / RUN_TILE).cast("long")
+    at = points.select("frame_id", "point_idx", geometry.pixel(**camera, width=width, height=height).alias("_p")).filter("_p IS NOT NULL")
+    seen = at.select("frame_id", "point_idx", F.col("_p.v").alias("r"), F.col("_p.u").alias("u"), tile(F.col("_p.u")).alias("_tile"))
+    filed = runs.filter("first < end").select("frame_id", F.col("r").cast("long").alias("r"), "first", "end", F.explode(F.sequence(tile(F.col("first")), tile(F.col("end") - 1))).alias("_tile"))
+    hits = seen.join(filed, ["frame_id", "r", "_tile"]).filter("u >= first AND u < end").select("frame_id", "point_idx")
+    if unmasked is not None:
+        hits = hits.unionByName(label_by_detections(points.select("frame_id", "point_idx", "x", "y", "z"), unmasked, camera, near, far).filter("is_moving").select("frame_id", "point_idx"))
+    return points.join(hits.distinct().withColumn("is_moving", F.lit(True)), ["frame_id", "point_idx"], "left").withColumn("is_moving", F.coalesce("is_moving", F.lit(False)))
 
 
 def hits_per_box(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points in each box; a point in two boxes counts for both."""
-    found = points.join(boxes.select("frame_id", "box_id", "box"), "frame_id").filter(geometry.in_rotated_box(F.col("box")))
+    shapes = boxes.select("frame_id", "box_id", "box", geometry.box_bounds(F.col("box")).alias("_bounds"))
+    found = grid.candidates(points, shapes, ["frame_id"]).filter(geometry.in_rotated_box(F.col("box")))
     counts = found.groupBy("frame_id", "box_id").agg(F.count("*").alias("points"))
     return boxes.select("frame_id", "box_id").join(counts, ["frame_id", "box_id"], "left").withColumn("points", F.coalesce("points", F.lit(0)))
 
@@ -128,9 +159,14 @@ def is_moving(actions: Column, social: Column) -> Column:
     return F.coalesce(F.exists(actions, motion), F.lit(False)) | first
 
 
+def normalised_mask(value: Column) -> Column:
+    """1 where a mask's value is above 0, else 0; null and NaN are no part of it."""
+    return F.when((value > 0) & ~F.isnan(value.cast("double")), 1.0).otherwise(0.0)
+
+
 def outcome(predicted: Column, truth: Column, threshold: float = 0.5) -> Column:
     """TP, FP, FN or TN of a prediction above the threshold against a positive truth."""
-    p, t = predicted > threshold, truth > 0
+    p, t = predicted > threshold, normalised_mask(truth) > 0
     return F.when(p & t, "TP").when(p & ~t, "FP").when(~p & t, "FN").otherwise("TN")
 
 

@@ -8,14 +8,38 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 
-def frame_windows(frames: DataFrame, seq: str, order: str, n: int, carry: Sequence[str]) -> DataFrame:
-    """Every ``n`` consecutive frames of a sequence, one row a window, as an array of structs."""
-    w = Window.partitionBy(seq).orderBy(order).rowsBetween(0, n - 1)
-    rows = frames.withColumn("window", F.collect_list(F.struct(order, *carry)).over(w))
-    return rows.filter(F.size("window") == n).select(seq, F.col(order).alias("first"), "window")
+#: Frame numbers in a block of a sequence.
+BLOCK = 1 << 16
+
+
+def frame_windows(frames: DataFrame, seq: str, order: str, n: int, carry: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """Every ``n`` consecutive frames of a sequence, one row a window, as an array of structs.
+
+    A sequence whose frames are numbers is cut into blocks of ``block`` numbers.
+    Each block gets the ``n`` - 1 frames that follow it, be they in the next block
+    or, where that has fewer, in those behind, and makes its windows by itself;
+    what goes over edges is a short list a block.
+    """
+    kind = frames.schema[order].dataType
+    own = frames.select(seq, order, *(c for c in carry if c not in (seq, order)))
+    frame = F.struct(order, *carry)
+    by = [seq]
+    if n > 1 and isinstance(kind, NumericType):
+        own = own.withColumn("_b", F.floor(F.col(order) / F.lit(block))).withColumn("_halo", F.lit(False))
+        place = F.row_number().over(Window.partitionBy(seq, "_b").orderBy(order))
+        heads = own.withColumn("_k", place).filter(F.col("_k") < n).groupBy(seq, "_b").agg(F.collect_list(F.struct("_k", F.struct(*own.columns).alias("f"))).alias("_h"))
+        heads = heads.withColumn("_h", F.array_sort("_h", lambda a, b: a["_k"] - b["_k"]))
+        following = heads.select("_b", F.collect_list("_h").over(Window.partitionBy(seq).orderBy("_b").rowsBetween(1, n - 1)).alias("_n"))
+        halo = following.select("_b", F.explode(F.slice(F.flatten("_n"), 1, n - 1)).alias("_h"))
+        edge = halo.select(*(F.col("_b") if c == "_b" else F.lit(True).alias(c) if c == "_halo" else F.col(f"_h.f.{c}").alias(c) for c in own.columns))
+        own, by = own.unionByName(edge), [seq, "_b"]
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(0, n - 1)
+    rows = own.withColumn("window", F.collect_list(frame).over(w)).filter(F.size("window") == n)
+    return (rows.filter(~F.col("_halo")) if "_halo" in rows.columns else rows).select(seq, F.col(order).alias("first"), "window")
 
 
 def relative_time(windows: DataFrame, keep: Sequence[str], n: int) -> DataFrame:

@@ -221,22 +221,27 @@ def file_cameras(spark, d):
 # --- recordings ----------------------------------------------------------------------------
 
 
-def _recording(spark, d, kind: str) -> DataFrame:
-    """Ten vectors to a recording: each as a cloud, a picture, a camera and a packed picture, by its id in nanoseconds."""
+def _recording_rows(spark, d, path: Column) -> DataFrame:
+    """Messages of each vector in the recording ``path``: a cloud, a picture, a camera and a packed picture, by its id in nanoseconds."""
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from scanloom.sources import decode
 
         for batch in batches:
             out = []
-            for i, v in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist()):
+            for name, i, v in zip(*(batch.column(c).to_pylist() for c in ("path", "vec_id", "embedding"))):
                 p = np.array(v, np.float64).reshape(16, 4)[:, :3].astype(np.float32)
                 image = ((i * 31 + np.arange(60) * 17) % 256).astype(np.uint8).reshape(4, 5, 3)
-                name, ts = f"{i // 10}.{kind}", i * 1_000_003 + 17
+                ts = i * 1_000_003 + 17
                 out += [(name, "/points", "PointCloud2", ts, encode.cloud_message(ts, p)), (name, "/image", "Image", ts, encode.image_message(ts, image, "bgr8"))]
                 out += [(name, "/info", "CameraInfo", ts, encode.camera_message(ts, v[:9], v[9:14], 480, 640)), (name, "/packed", "CompressedImage", ts, encode.compressed_message(ts, decode.png(image[:, :, ::-1])))]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()))], names=["path", "topic", "msg_type", "ts_ns", "data"])
 
-    rows = table(spark, d, "embeddings").select("vec_id", "embedding").mapInArrow(encoded, "path string, topic string, msg_type string, ts_ns long, data binary")
+    return table(spark, d, "embeddings").select(path.alias("path"), "vec_id", "embedding").mapInArrow(encoded, "path string, topic string, msg_type string, ts_ns long, data binary")
+
+
+def _recording(spark, d, kind: str) -> DataFrame:
+    """Ten vectors to a recording."""
+    rows = _recording_rows(spark, d, F.format_string(f"%d.{kind}", F.expr("vec_id div 10")))
     return store.round_trip(encode.recording_files(rows, kind), f"recordings-{kind}")
 
 

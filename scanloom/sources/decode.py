@@ -11,6 +11,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: NumPy types of the point cloud file format: TYPE letter and SIZE.
 PCD_TYPES = {"F4": "<f4", "F8": "<f8", "U1": "<u1", "U2": "<u2", "U4": "<u4", "U8": "<u8", "I1": "<i1", "I2": "<i2", "I4": "<i4", "I8": "<i8"}
@@ -189,7 +190,10 @@ def sqlite_rows(data: bytes, statement: str) -> Iterator[tuple]:
         base.close()
 
 
-def _fields(data: bytes) -> dict[bytes, bytes]:
+BAG = b"#ROSBAG V2.0\n"
+
+
+def fields(data: bytes) -> dict[bytes, bytes]:
     out, at = {}, 0
     while at < len(data):
         n = struct.unpack_from("<I", data, at)[0]
@@ -199,38 +203,54 @@ def _fields(data: bytes) -> dict[bytes, bytes]:
     return out
 
 
-def _records(data: bytes, at: int = 0) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
+def records(data: bytes, at: int = 0) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
     while at < len(data):
         n = struct.unpack_from("<I", data, at)[0]
-        head = _fields(data[at + 4 : at + 4 + n])
+        head = fields(data[at + 4 : at + 4 + n])
         at += 4 + n
         n = struct.unpack_from("<I", data, at)[0]
         yield head, data[at + 4 : at + 4 + n]
         at += 4 + n
 
 
+def connection(head: dict[bytes, bytes], body: bytes) -> tuple[str, str]:
+    """Topic and type of a connection record."""
+    return head[b"topic"].decode(), fields(body).get(b"type", b"").decode()
+
+
+def chunk_body(head: dict[bytes, bytes], body: bytes) -> bytes:
+    """The records of a chunk, unpacked; lz4 frames are checked against their checksums."""
+    kind, size = head[b"compression"], struct.unpack("<I", head[b"size"])[0]
+    if kind == b"none":
+        return body
+    if kind not in (b"bz2", b"lz4"):
+        raise ValueError(f"chunks compressed by {kind.decode()} are not supported")
+    out = bz2.decompress(body) if kind == b"bz2" else pa.decompress(body, size, "lz4", asbytes=True)
+    if len(out) != size:
+        raise ValueError("wrong size after decompression")
+    return out
+
+
+def chunk_messages(head: dict[bytes, bytes], body: bytes, links: dict[bytes, tuple[str, str]]) -> Iterator[tuple[str, str, int, bytes]]:
+    """(topic, type, time in ns, payload) of a chunk; connections that it names are added to ``links``."""
+    for own, data in records(chunk_body(head, body)):
+        if own[b"op"][0] == 7:
+            links[own[b"conn"]] = connection(own, data)
+        elif own[b"op"][0] == 2:
+            s, ns = struct.unpack("<II", own[b"time"])
+            yield *links[own[b"conn"]], s * 1_000_000_000 + ns, data
+
+
 def bag_messages(data: bytes) -> Iterator[tuple[str, str, int, bytes]]:
     """(topic, type, time in ns, payload) of a version 2.0 recording, in file order."""
-    magic = b"#ROSBAG V2.0\n"
-    if not data.startswith(magic):
+    if not data.startswith(BAG):
         raise ValueError("not a version 2.0 recording")
-    topics: dict[bytes, tuple[str, str]] = {}
-
-    def walk(records: Iterator[tuple[dict[bytes, bytes], bytes]]) -> Iterator[tuple[str, str, int, bytes]]:
-        for head, body in records:
-            op = head[b"op"][0]
-            if op == 5:
-                kind = head[b"compression"]
-                if kind not in (b"none", b"bz2"):
-                    raise ValueError(f"chunks compressed by {kind.decode()} are not supported")
-                yield from walk(_records(bz2.decompress(body) if kind == b"bz2" else body))
-            elif op == 7:
-                topics[head[b"conn"]] = head[b"topic"].decode(), _fields(body).get(b"type", b"").decode()
-            elif op == 2:
-                s, ns = struct.unpack("<II", head[b"time"])
-                yield *topics[head[b"conn"]], s * 1_000_000_000 + ns, body
-
-    yield from walk(_records(data, len(magic)))
+    links: dict[bytes, tuple[str, str]] = {}
+    for head, body in records(data, len(BAG)):
+        if head[b"op"][0] == 5:
+            yield from chunk_messages(head, body, links)
+        elif head[b"op"][0] == 7:
+            links[head[b"conn"]] = connection(head, body)
 
 
 class Message:

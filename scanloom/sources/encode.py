@@ -85,9 +85,51 @@ def bag_recording(messages: Iterable[tuple[str, str, int, bytes]]) -> bytes:
     return b"#ROSBAG V2.0\n" + _record({b"op": b"\3"}, b" " * 10) + _record({b"op": b"\5", b"compression": b"none", b"size": struct.pack("<I", len(body))}, body)
 
 
+def indexed_bag(messages: Iterable[tuple[str, str, int, bytes]], chunk: int = 1 << 16, packing: str = "none") -> bytes:
+    """A ``bag`` file of (topic, type, time, data) in chunks of about ``chunk`` bytes, with the index of them at its end."""
+    import bz2
+
+    pack = {"none": bytes, "bz2": bz2.compress, "lz4": lambda b: pa.compress(b, "lz4", asbytes=True)}[packing]
+    number = lambda v, n=4: int(v).to_bytes(n, "little")
+    stamp = lambda ts: number(ts // 10**9) + number(ts % 10**9)
+    links: dict[tuple[str, str], bytes] = {}
+    known = lambda topic, kind: _record({b"op": b"\7", b"conn": links[topic, kind], b"topic": topic.encode()}, number(5 + len(kind.encode())) + b"type=" + kind.encode())
+    chunks, infos, start, body, held = b"", [], len(b"#ROSBAG V2.0\n") + 4096, b"", []
+
+    def close() -> None:
+        nonlocal chunks, body, held
+        if not held:
+            return
+        counts: dict[bytes, list[bytes]] = {}
+        for conn, ts, at in held:
+            counts.setdefault(conn, []).append(stamp(ts) + number(at))
+        times = [ts for _, ts, _ in held]
+        infos.append(_record({b"op": b"\6", b"ver": number(1), b"chunk_pos": number(start + len(chunks), 8), b"start_time": stamp(min(times)), b"end_time": stamp(max(times)), b"count": number(len(counts))}, b"".join(c + number(len(p)) for c, p in counts.items())))
+        chunks += _record({b"op": b"\5", b"compression": packing.encode(), b"size": number(len(body))}, pack(body))
+        for conn, places in counts.items():
+            chunks += _record({b"op": b"\4", b"ver": number(1), b"conn": conn, b"count": number(len(places))}, b"".join(places))
+        body, held = b"", []
+
+    for topic, kind, ts, data in messages:
+        if (topic, kind) not in links:
+            links[topic, kind] = number(len(links))
+            body += known(topic, kind)
+        held.append((links[topic, kind], ts, len(body)))
+        body += _record({b"op": b"\2", b"conn": links[topic, kind], b"time": stamp(ts)}, data)
+        if len(body) >= chunk:
+            close()
+    close()
+    head = {b"op": b"\3", b"index_pos": number(start + len(chunks), 8), b"conn_count": number(len(links)), b"chunk_count": number(len(infos))}
+    plain = len(_record(head, b""))
+    return b"#ROSBAG V2.0\n" + _record(head, b" " * (4096 - plain)) + chunks + b"".join(known(*k) for k in links) + b"".join(infos)
+
+
 def recording_files(messages: DataFrame, kind: str = "db3") -> DataFrame:
-    """(path, bytes) of the recordings of rows (path, topic, msg_type, ts_ns, data); a recording is one task's work."""
-    write = {"db3": sqlite_recording, "bag": bag_recording}[kind]
+    """(path, bytes) of the recordings of rows (path, topic, msg_type, ts_ns, data); a recording is one task's work.
+
+    ``kind`` is ``db3``, ``bag`` (one chunk) or ``indexed`` (a ``bag`` of many chunks and their index).
+    """
+    write = {"db3": sqlite_recording, "bag": bag_recording, "indexed": indexed_bag}[kind]
 
     def one(t: pa.Table) -> pa.Table:
         order = t.sort_by([("ts_ns", "ascending"), ("topic", "ascending")])

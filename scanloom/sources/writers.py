@@ -2,15 +2,11 @@
 
 Parquet is the native form. Small files are made as rows (path, bytes), which
 ``store.write_packed`` keeps in any store that Spark writes to. For tools that want
-one file a frame, ``write_files`` has the tasks that hold the rows write them, each
-to a name of its own first and then renamed, so that a task that runs again
-overwrites with the same; its ``root`` has to be a folder that all executors mount.
+one file a frame, ``write_files`` writes and commits them below a folder or URI.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scanloom.functions import names
-from scanloom.sources import decode
+from scanloom.sources import decode, framefiles
 
 # --- fixed values: colours of instances in combined masks, blue, green, red -----
 COLOURS = [(255, 0, 0), (0, 255, 0), (0, 0, 255), (255, 255, 0), (255, 0, 255), (0, 255, 255), (128, 0, 128), (255, 165, 0)]
@@ -28,19 +24,8 @@ COLOURS = [(255, 0, 0), (0, 255, 0), (0, 0, 255), (255, 255, 0), (255, 0, 255),
 
 
 def write_files(rows: DataFrame, root: str) -> int:
-    """Write each (path, bytes) below ``root``; the number of files."""
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("bytes").to_pylist()):
-                name = os.path.join(root, path)
-                os.makedirs(os.path.dirname(name), exist_ok=True)
-                part = f"{name}.{uuid.uuid4().hex}"
-                with open(part, "wb") as f:
-                    f.write(data)
-                os.replace(part, name)
-            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
-
-    return rows.select("path", "bytes").mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    """Write each (path, bytes) below ``root``, committed as ``framefiles`` says; the number of files."""
+    return framefiles.write(rows, root)
 
 
 def _encoded(points: DataFrame, path: Column, columns: list[str], encode) -> DataFrame:

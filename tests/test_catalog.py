@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from scanloom.plans import catalog, files  # noqa: F401  files adds its queries
+from scanloom.plans import catalog, files, scans  # noqa: F401  files and scans add their queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
