@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from scanloom.sources import jpeg
+
 #: NumPy types of the point cloud file format: TYPE letter and SIZE.
 PCD_TYPES = {"F4": "<f4", "F8": "<f8", "U1": "<u1", "U2": "<u2", "U4": "<u4", "U8": "<u8", "I1": "<i1", "I2": "<i2", "I4": "<i4", "I8": "<i8"}
 #: NumPy types of point fields in messages, by their datatype number.
@@ -161,6 +163,11 @@ def png_pixels(data: bytes) -> np.ndarray:
     return out.reshape(h, w, step)
 
 
+def picture(data: bytes) -> np.ndarray:
+    """H x W x channels of a PNG or a sequential JPEG."""
+    return jpeg.pixels(data) if data[:2] == b"\xff\xd8" else png_pixels(data)
+
+
 def grey(pixels: np.ndarray) -> np.ndarray:
     """H x W in [0, 1]: the luma of the first three channels, in whole steps of 1 / 255."""
     a = pixels.astype(np.int64)

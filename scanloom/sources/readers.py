@@ -261,7 +261,7 @@ def message_images(rows: DataFrame, version: int = 2) -> DataFrame:
 
 
 def message_files(rows: DataFrame, version: int = 2) -> DataFrame:
-    """The compressed files inside image messages; ``pictures`` decodes PNG, ``with_model`` takes a codec for others."""
+    """The compressed files inside image messages; ``pictures`` decodes PNG and sequential JPEG, ``with_model`` takes a codec for others."""
     return _each_message(rows, "file binary", lambda data: iter([{"file": [decode.compressed_of(data, version)]}]))
 
 
@@ -283,13 +283,13 @@ def with_model(rows: DataFrame, column: str, name: str, schema: str, load: Calla
 
 
 def pictures(files: DataFrame) -> DataFrame:
-    """Rows (path, file) of PNG files with height, width, grey (an array in [0, 1], row by row) and error."""
+    """Rows (path, file) of PNG and sequential JPEG files with height, width, grey (an array in [0, 1], row by row) and error."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("file")):
                 row = {"path": name, "height": None, "width": None, "grey": None, "error": None}
                 try:
-                    a = decode.grey(decode.png_pixels(data.as_py()))
+                    a = decode.grey(decode.picture(data.as_py()))
                     row |= {"height": a.shape[0], "width": a.shape[1], "grey": a.ravel().tolist()}
                 except Exception as e:  # noqa: BLE001  the row says so
                     row["error"] = f"{type(e).__name__}: {e}"
