@@ -44,22 +44,24 @@ def scientific(x: Column) -> Column:
     return F.format_string("%.6e", x.cast("double"))
 
 
-def indexed(files: DataFrame, by: list[str], name: str, block: Column | None = None) -> DataFrame:
-    """Place of each file in its group's name order, and the six-digit name of it.
+def placed(rows: DataFrame, by: list[str], order: str, block: Column | None, name: str) -> DataFrame:
+    """Add ``name``: the place of each row in its group, from 0.
 
-    ``block``, a column that never falls as ``name`` rises, cuts groups that are too long for one task.
+    ``block``, a column that never falls as ``order`` rises, cuts groups that are too long for one task.
     """
     if block is None:
-        rows = files.withColumn("index", (F.row_number().over(Window.partitionBy(*by).orderBy(name)) - 1).cast("bigint"))
-    else:
-        dealt = files.withColumn("_b", block)
-        count = dealt.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-        start = count.select(*by, "_b", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_n")).alias("_start"))
-        placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_b").orderBy(name)))
-        same = [placed[c].eqNullSafe(start[c]) for c in (*by, "_b")]
-        joined = placed.join(start, same)
-        rows = joined.select(*(placed[c] for c in files.columns), (F.col("_start") + F.col("_at") - 1).cast("bigint").alias("index"))
-    return rows.withColumn("kitti_name", padded(F.col("index"), 6))
+        return rows.withColumn(name, (F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1).cast("bigint"))
+    dealt = rows.withColumn("_b", block)
+    count = dealt.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
+    start = count.select(*by, "_b", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_b")) - F.col("_n")).alias("_start"))
+    inner = dealt.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_b").orderBy(order)))
+    same = [inner[c].eqNullSafe(start[c]) for c in (*by, "_b")]
+    return inner.join(start, same).select(*(inner[c] for c in rows.columns), (F.col("_start") + F.col("_at") - 1).cast("bigint").alias(name))
+
+
+def indexed(files: DataFrame, by: list[str], name: str, block: Column | None = None) -> DataFrame:
+    """Place of each file in its group's name order, in blocks as ``placed`` has them, and the six-digit name of it."""
+    return placed(files, by, name, block, "index").withColumn("kitti_name", padded(F.col("index"), 6))
 
 
 def frame_rate(given: float | None, frames: Column, duration: Column | None) -> Column:
@@ -68,6 +70,10 @@ def frame_rate(given: float | None, frames: Column, duration: Column | None) ->
     return F.coalesce(F.lit(given).cast("double"), measured, F.lit(15.0))
 
 
+#: Frame numbers of a sequence that one task puts in order.
+FRAMES = 1 << 16
+
+
 def frame_times(frames: DataFrame, seq: str, number: str, fps: Column | float = 15.0) -> DataFrame:
     """Seconds of each frame of a sequence, from its number.
 
@@ -75,11 +81,10 @@ def frame_times(frames: DataFrame, seq: str, number: str, fps: Column | float =
     time. Otherwise the distance from the least number does, gaps included.
     """
     each = frames.groupBy(seq).agg(F.count(number).alias("_n"), F.count_distinct(number).alias("_d"), F.min(number).alias("_low"))
-    rows = frames.join(each, seq)
+    rows = placed(frames.join(each, seq), [seq], number, F.floor(F.col(number) / F.lit(FRAMES)), "_place")
     even = (F.col("_n") == F.col("_d")) & (F.col("_low") == 0)
-    place = F.row_number().over(Window.partitionBy(seq).orderBy(number)) - 1
     step = F.lit(1.0) / (fps if isinstance(fps, Column) else F.lit(float(fps)))
-    return rows.withColumn("time", F.when(even, place * step).otherwise((F.col(number) - F.col("_low")) * step)).drop("_n", "_d", "_low")
+    return rows.withColumn("time", F.when(even, F.col("_place") * step).otherwise((F.col(number) - F.col("_low")) * step)).drop("_n", "_d", "_low", "_place")
 
 
 def overlay(class_name: Column, confidence: Column, mask_score: Column | None = None) -> Column:
@@ -92,7 +97,11 @@ def complete_frame(camera1: Column, camera2: Column, lidar: Column) -> Column:
     return lidar.isNotNull() & camera1.isNotNull() & camera2.isNotNull()
 
 
-def extension_rank(path: Column, extensions: tuple[str, ...] = (".pcd", ".bin", ".ply")) -> Column:
+#: Point files by extension, the first ones first.
+POINT_FILES = (".pcd", ".bin", ".ply")
+
+
+def extension_rank(path: Column, extensions: tuple[str, ...] = POINT_FILES) -> Column:
     """Priority of a point file by its extension, null for others."""
     out = F.lit(None).cast("int")
     for k, e in reversed(list(enumerate(extensions))):

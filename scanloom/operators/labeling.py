@@ -136,6 +136,12 @@ def remap(rows: DataFrame, label: str, mapping: dict[int, int], name: str) -> Da
     return rows.withColumn(name, F.try_element_at(table, F.col(label).cast("int")))
 
 
+def remap_by(rows: DataFrame, label: str, taxonomy: DataFrame, name: str, version: Sequence[str] = ()) -> DataFrame:
+    """Map label ids to classes by a table (from, to), of the row's own ``version`` where it has several; ids outside of it give null."""
+    table = taxonomy.select(*version, F.col("from").cast("bigint").alias("_from"), F.col("to").alias(name)).dropDuplicates([*version, "_from"])
+    return rows.withColumn("_from", F.col(label).cast("bigint")).join(table, [*version, "_from"], "left").drop("_from")
+
+
 def _hit(keys: dict[str, float]):
     def test(entry: Column) -> Column:
         name = F.lower(entry["key"])

@@ -152,7 +152,7 @@ def file_sync_map(spark, d):
 
 def _annotations(spark, d) -> DataFrame:
     """Events of a user as the detections of a frame; errors have a mask."""
-    e = table(spark, d, "events").filter("event_type <> 'signup'")
+    e = table(spark, d, "events")
     mask = F.when(F.col("event_type") == "error", F.transform(F.sequence(F.lit(1), F.lit(9)), lambda k: (k <= F.col("user_id") % 10).cast("int")))
     one = F.struct(
         F.lit(0).alias("class_id"), F.col("event_type").alias("class_name"), F.array(*(F.lit(v) for v in BBOX)).alias("bbox"), F.col("value").cast("double").alias("confidence"),
@@ -164,7 +164,7 @@ def _annotations(spark, d) -> DataFrame:
 AREA = "least(user_id%10,9)"
 
 
-@query(f"SELECT user_id AS frame_id, count(*) AS detections, coalesce(sum({AREA}) FILTER (event_type='error'),0)::bigint AS area FROM events WHERE event_type<>'signup' GROUP BY 1")
+@query(f"SELECT user_id AS frame_id, count(*) AS detections, coalesce(sum({AREA}) FILTER (event_type='error'),0)::bigint AS area FROM events GROUP BY 1")
 def file_summary(spark, d):
     folder = f"{store.shared_folder(spark)}/summary"
     writers.write_json(writers.summary_rows(_annotations(spark, d)), folder)
@@ -173,7 +173,7 @@ def file_summary(spark, d):
     return got.select("frame_id", F.size("detections_2d").cast("bigint").alias("detections"), area.alias("area"))
 
 
-@query("SELECT user_id AS frame_id, count(*) AS num_detections FROM events WHERE event_type<>'signup' GROUP BY 1")
+@query("SELECT user_id AS frame_id, count(*) AS num_detections FROM events GROUP BY 1")
 def file_reduced_summary(spark, d):
     folder = f"{store.shared_folder(spark)}/summary-reduced"
     writers.write_json(writers.summary_rows(_annotations(spark, d), reduced=True), folder)
@@ -181,7 +181,7 @@ def file_reduced_summary(spark, d):
 
 
 @query(
-    f"""WITH e AS (SELECT user_id, coalesce({AREA},0)*(event_type='error')::int AS a FROM events WHERE event_type<>'signup'), f AS (SELECT user_id, count(*) AS n, count(*) FILTER (a>0) AS m FROM e GROUP BY 1)
+    f"""WITH e AS (SELECT user_id, coalesce({AREA},0)*(event_type='error')::int AS a FROM events), f AS (SELECT user_id, count(*) AS n, count(*) FILTER (a>0) AS m FROM e GROUP BY 1)
  SELECT count(*) AS frames, count(*) FILTER (n>0) AS frames_with_detections, sum(n)::bigint AS detections, count(*) FILTER (m>0) AS frames_with_masks, sum(m)::bigint AS masks FROM f"""
 )
 def detection_stats(spark, d):
@@ -207,15 +207,19 @@ def file_boxes(spark, d):
     return flows.box_labels(points(spark, d), boxes).select("frame_id", "point_idx", "label")
 
 
-@query("SELECT 'sensor_'||k AS sensor_id, (500+k)::double AS fx, (k/2.0)::double AS t0, CASE WHEN k=1 THEN 640 ELSE 752 END AS width, 480 AS height FROM (SELECT unnest([0,1,3]) AS k)")
+@query(
+    "SELECT vec_id//4 AS rig, 'sensor_'||vec_id AS sensor_id, (500+vec_id)::double AS fx, (vec_id%7/2.0)::double AS t0, CASE WHEN vec_id%3=1 THEN 640 ELSE 752 END AS width, 480 AS height FROM embeddings WHERE vec_id%5<>2"
+)
 def file_cameras(spark, d):
-    """Three sensors and an entry of another name; matrices as text and as lists, defaults filled in."""
-    one = lambda k, more="": f"  sensor_{k}:\n    K: '{500 + k} 0 320; 0 500 240; 0 0 1'\n    R: [[1, 0, 0], [0, 1, 0], [0, 0, 1]]\n    T: [{0.5 * k}, 0, 0]\n{more}"
-    text = "cameras:\n" + one(0) + one(1, "    width: 640\n") + "  other:\n    K: [1]\n" + one(3)
-    folder = f"{store.shared_folder(spark)}/cameras"
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(folder)
-    got = readers.cameras(spark, folder)
-    return got.select("sensor_id", F.col("K")[0].alias("fx"), F.col("T")[0].alias("t0"), "width", "height")
+    """A rig of four vectors: matrices as text and as lists, defaults filled in; sensors without a matrix and entries of another name go."""
+    v = F.col("vec_id")
+    k = F.when(v % 5 != 2, F.format_string("    K: '%d 0 320; 0 500 240; 0 0 1'\n", v + 500)).otherwise("    K: none\n")
+    rest = F.concat(F.format_string("    R: [[1, 0, 0], [0, 1, 0], [0, 0, 1]]\n    T: [%s, 0, 0]\n", (v % 7 / 2.0).cast("string")), F.when(v % 3 == 1, F.lit("    width: 640\n")).otherwise(F.lit("")))
+    sensors = table(spark, d, "embeddings").select(F.expr("vec_id div 4").alias("rig"), F.concat(F.format_string("  sensor_%d:\n", v), k, rest).alias("text"))
+    text = F.concat(F.lit("cameras:\n  other:\n    K: [1]\n"), F.array_join(F.collect_list("text"), "")).cast("binary")
+    files = store.round_trip(sensors.groupBy("rig").agg(text.alias("bytes")).select(_path("rigs/%d.yaml", "rig").alias("path"), "bytes"), "cameras")
+    got = readers.cameras(spark, files).filter("error IS NULL")
+    return got.select(names.frame_number(names.base_name(F.col("path"))).alias("rig"), "sensor_id", F.col("K")[0].alias("fx"), F.col("T")[0].alias("t0"), "width", "height")
 
 
 # --- recordings ----------------------------------------------------------------------------
@@ -498,8 +502,8 @@ def annotated_frames(spark, d):
     return out.select("frame_id", "num_points", "moving_points", F.col("detections_2d").isNotNull().alias("detected"))
 
 
-@query(f"WITH {FILES}, r AS (SELECT seq, min(k) AS least FROM f WHERE k<2 GROUP BY 1), g AS (SELECT f.seq, regexp_extract(path,'(\\d+)\\.',1)::bigint AS frame FROM f JOIN r ON f.seq=r.seq AND f.k=r.least WHERE f.place=0), h AS (SELECT *, min(frame) OVER (PARTITION BY seq) AS lo, row_number() OVER (PARTITION BY seq ORDER BY frame)-1 AS k FROM g) SELECT seq, frame, round(CASE WHEN lo=0 THEN k ELSE frame-lo END/10.0::double,6) AS time FROM h")
+@query(f"WITH {FILES}, r AS (SELECT seq, min(k) AS least FROM f WHERE k<2 AND place<3 GROUP BY 1), g AS (SELECT f.seq, regexp_extract(path,'(\\d+)\\.',1)::bigint AS frame FROM f JOIN r ON f.seq=r.seq AND f.k=r.least WHERE f.place<3), h AS (SELECT *, min(frame) OVER (PARTITION BY seq) AS lo, row_number() OVER (PARTITION BY seq ORDER BY frame)-1 AS k FROM g) SELECT seq, frame, round(CASE WHEN lo=0 THEN k ELSE frame-lo END/10.0::double,6) AS time FROM h")
 def sequence_times(spark, d):
-    files = readers.point_files(_listing(spark, d).filter("NOT contains(path, '/')"), by=("seq",))
-    rows = files.select("seq", names.frame_number(F.col("path")).alias("frame"))
+    files = readers.point_files(_listing(spark, d), by=("seq",))
+    rows = files.select("seq", names.frame_number(names.base_name(F.col("path"))).alias("frame"))
     return names.frame_times(rows, "seq", "frame", 10.0).withColumn("time", F.round("time", 6))

@@ -55,7 +55,7 @@ def annotated(frames: DataFrame, points: DataFrame, detections: DataFrame, camer
 
 def box_labels(points: DataFrame, boxes: DataFrame, scheme: str = "taxonomy") -> DataFrame:
     """Labels of points by frame, from boxes as ``readers.boxes`` gives them; frames without boxes rest."""
-    moving = boxes.select(
+    moving = boxes.filter("error IS NULL" if "error" in boxes.columns else "true").select(
         F.col("frame").alias("frame_id"), labeling.is_moving(F.col("actions"), F.col("social")).alias("is_moving"),
         F.struct("cx", "cy", "cz", "l", "w", "h", "rot_z").alias("box"),
     )
@@ -96,6 +96,13 @@ def layout_problems(clouds: DataFrame, labels: DataFrame, poses: DataFrame, seq:
     return quality.equal_counts(clouds, labels, poses, by=[seq])
 
 
+def kitti_layout(spark: SparkSession, path: str | DataFrame, root: str, sequence: str = "00") -> int:
+    """Every label file below ``path`` under its number in name order below ``root``, all or none; the number written."""
+    kept = readers.contents(spark, path, "*.label")
+    plan = writers.kitti_plan(kept if isinstance(path, DataFrame) else readers.listing(spark, path, "*.label"), sequence)
+    return writers.write_files(writers.relaid(kept, plan), root)
+
+
 def convert_clouds(spark: SparkSession, path: str, root: str, prefix: str = "") -> int:
     """Every PCD file below ``path`` as ``.bin`` below ``root``; the number written."""
     rows = readers.clouds(spark, path, "pcd").filter("error is null")

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.functions import names
 from scanloom.operators import geometry, labeling, windows
+from scanloom.plans import flows
 from scanloom.plans.catalog import BOUNDS, POINTS, query
-from scanloom.plans.files import STORED, _doubles, _path, _recording_rows
+from scanloom.plans.files import STORED, _doubles, _labels, _path, _recording_rows
 from scanloom.plans.views import BBOX, CAMERA, points, table
-from scanloom.sources import encode, framefiles, readers, recordings, store, writers
+from scanloom.sources import encode, framefiles, jpeg, readers, recordings, store, writers
 
 # --- recordings in pieces, and files that are committed ------------------------------
 
@@ -146,3 +150,83 @@ def long_windows(spark, d):
     w = windows.frame_windows(table(spark, d, "events"), "event_type", "event_id", 4, ["value"], block=500)
     at = lambda k: F.col("window")[k]
     return w.select("event_type", "first", at(1)["event_id"].alias("second"), at(2)["event_id"].alias("third"), at(3)["event_id"].alias("last"), at(3)["value"].cast("double").alias("value"))
+
+
+# --- pictures, models, taxonomies, layouts -------------------------------------------
+
+
+def _jpegs(spark, d) -> DataFrame:
+    """A 16 x 32 picture of each vector, even in blocks of 8 x 8: grey for even ids, else in colour at half the resolution."""
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tiles = lambda a: np.repeat(np.repeat(a.astype(np.uint8), 8, 0), 8, 1)
+        for batch in batches:
+            out = []
+            for i in batch.column("vec_id").to_pylist():
+                luma = tiles((i * 31 + np.arange(8) * 17).reshape(2, 4) % 256)
+                chroma = [tiles((i * m + np.arange(2) * 29).reshape(1, 2) % 256) for m in (7, 13)]
+                planes, sampling = ([luma, *chroma], [(2, 2), (1, 1), (1, 1)]) if i % 2 else ([luma], [(1, 1)])
+                out.append(jpeg.file(planes, (16, 32), sampling, restart=i % 3))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(out, pa.binary())], names=["path", "bytes"])
+
+    return table(spark, d, "embeddings").select(_path("camera1_images/%08d.jpg", "vec_id").alias("path"), "vec_id").mapInArrow(encoded, "path string, bytes binary")
+
+
+_TILES = """t AS (SELECT vec_id, (vec_id*31+k*17)%256::double AS y, (vec_id*7+k%4//2*29)%256-128::double AS b, (vec_id*13+k%4//2*29)%256-128::double AS r FROM embeddings, (SELECT unnest(range(8)) AS k)),
+ c AS (SELECT vec_id, CASE WHEN vec_id%2=0 THEN [y,y,y] ELSE [round(y+1.402*r),round(y-0.344136*b-0.714136*r),round(y+1.772*b)] END AS p FROM t),
+ g AS (SELECT vec_id, list_transform(p, lambda v: least(greatest(v,0),255)::bigint) AS p FROM c), h AS (SELECT vec_id, CASE WHEN vec_id%2=0 THEN p[1] ELSE (p[1]*19595+p[2]*38470+p[3]*7471+32768)//65536 END AS v FROM g)"""
+
+
+@query(f"WITH {_TILES} SELECT vec_id AS frame, 16 AS height, 32 AS width, (sum(v)*64)::bigint AS total, max(v) AS peak FROM h GROUP BY 1")
+def file_jpegs(spark, d):
+    kept = store.round_trip(_jpegs(spark, d), "jpegs")
+    got = readers.pictures(readers.image_paths(kept).withColumnRenamed("content", "file")).filter("error IS NULL")
+    whole = F.transform("grey", lambda v: F.round(v * 255).cast("bigint"))
+    return got.select(names.frame_number(names.base_name(F.col("path"))).alias("frame"), "height", "width", F.aggregate(whole, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"), F.array_max(whole).alias("peak"))
+
+
+@query(
+    "SELECT vec_id, CASE WHEN vec_id%11<>5 THEN list_sum(list_transform(embedding[1:vec_id%64+1], lambda x: floor(64*x::double)))::bigint END AS score, vec_id%11=5 AS failed FROM embeddings"
+)
+def model_batches(spark, d):
+    """A stand-in model on vectors of unlike lengths, in batches of like ones; it can't do with lengths that it is told to fail on."""
+    def load(weights):
+        def model(part: dict) -> list[int]:
+            if (np.array(part["vec_id"]) % 11 == 5).any():
+                raise ValueError("not this one")
+            return (np.floor(part["v"] * weights["scale"]).sum(axis=1)).astype(int).tolist()
+
+        return model
+
+    rows = table(spark, d, "embeddings").select("vec_id", F.slice(F.transform("embedding", lambda x: x.cast("double")), F.lit(1), (F.col("vec_id") % 64 + 1).cast("int")).alias("v"))
+    weights = spark.sparkContext.broadcast({"scale": 64.0})
+    got = readers.infer(rows.withColumn("n", F.size("v")), ["vec_id", "v"], "score", "bigint", pa.int64(), load, weights, batch=16, size="n")
+    return got.select("vec_id", "score", F.col("score_error").isNotNull().alias("failed"))
+
+
+@query("SELECT vec_id AS frame_id, i AS point_idx, CASE WHEN (vec_id*7+i*37)%300%9<>4 THEN (vec_id*7+i*37)%300%20+vec_id%2*100 END AS class FROM embeddings, (SELECT unnest(range(16)) AS i)")
+def taxonomy_remap(spark, d):
+    """Labels to classes by the taxonomies of two versions, read from YAML with other settings beside the map."""
+    labels = _labels(spark, d)
+    known = labels.select("label").distinct().filter("label % 9 <> 4")
+    version = F.explode(F.array(F.lit(0), F.lit(1))).alias("version")
+    line = F.format_string("  %d: %d\n", F.col("label"), F.col("label") % 20 + F.col("version") * 100)
+    text = known.select("label", version).withColumn("line", line).groupBy("version").agg(F.array_join(F.array_sort(F.collect_list("line")), "").alias("map"))
+    head = F.lit("name: stand-in\nlabels:\n  0: unlabeled\n  9: {moving: false}\nsplit: {train: [0, 1], valid: []}\nlearning_map:\n")
+    files = store.round_trip(text.select(_path("configs/v%d.yaml", "version").alias("path"), F.concat(head, "map").cast("binary").alias("bytes")), "taxonomies")
+    maps = readers.mapping(readers.settings(spark, files), "learning_map")
+    maps = maps.withColumn("version", F.regexp_extract("path", r"v(\d+)\.yaml$", 1).cast("bigint"))
+    return labeling.remap_by(labels.withColumn("version", F.col("frame_id") % 2), "label", maps, "class", ["version"]).select("frame_id", "point_idx", "class")
+
+
+@query(
+    "WITH f AS (SELECT frame_id, row_number() OVER (ORDER BY 'run_'||(frame_id*7919%100003)||'_'||frame_id)-1 AS k FROM (SELECT vec_id//4 AS frame_id, min(vec_id) AS v FROM embeddings GROUP BY 1)) "
+    "SELECT k AS file, (vec_id%4)*16+i AS point_idx, (vec_id*7+i*37)%300 AS label FROM embeddings JOIN f ON f.frame_id=vec_id//4, (SELECT unnest(range(16)) AS i)"
+)
+def kitti_layout(spark, d):
+    """Label files of four vectors each, under names out of order; read back under their new names."""
+    frame = F.expr("frame_id div 4")
+    rows = _labels(spark, d).select(frame.alias("frame"), (F.col("frame_id") % 4 * 16 + F.col("point_idx")).alias("point_idx"), "label")
+    name = F.format_string("run_%d_%d.label", F.col("frame") * 7919 % 100003, F.col("frame"))
+    folder = _folder(spark, "kitti")
+    flows.kitti_layout(spark, store.round_trip(writers.label_files(rows, name), "labels"), folder)
+    return readers.labels(spark, folder).filter("error IS NULL").select(names.frame_number(names.base_name(F.col("path"))).alias("file"), "point_idx", "label")

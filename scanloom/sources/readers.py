@@ -8,7 +8,8 @@ are at most 2 GB, as a row is. Columns are declared, never inferred.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ def listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 def contents(spark: SparkSession, path: str | DataFrame, pattern: str) -> DataFrame:
     """(path, content) of the files below a folder, or of those kept as rows, whose names match."""
     if isinstance(path, DataFrame):
-        return path.filter(F.col("path").like(pattern.replace("*", "%"))).select("path", "content")
+        named = "[^/]*".join(re.escape(part) for part in pattern.split("*"))
+        return path.filter(F.col("path").rlike(f"(?s)^(?:.*/)?{named}$")).select("path", "content")
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content")
 
@@ -106,17 +108,20 @@ def rasters(spark: SparkSession, path: str | DataFrame) -> DataFrame:
 
 
 def boxes(spark: SparkSession, path: str | DataFrame) -> DataFrame:
-    """Boxes of annotation files, with ordered activities."""
+    """Boxes of annotation files, with ordered activities; a file that can't be read is a row with ``error``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-                found = [{"path": name, **b} for b in decode.box_frames(data.as_py())]
+                try:
+                    found = [{"path": name, **b} for b in decode.box_frames(data.as_py())]
+                except Exception as e:  # noqa: BLE001  the row says so
+                    found = [{"path": name, "error": f"{type(e).__name__}: {e}"}]
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
     pair = pa.list_(pa.struct([("key", pa.string()), ("value", pa.float64())]))
-    arrow = pa.schema([("path", pa.string()), ("frame", pa.string()), ("box_id", pa.int32()), *((x, pa.float64()) for x in ("cx", "cy", "cz", "l", "w", "h", "rot_z")), ("actions", pair), ("social", pair)])
-    schema = f"path string, frame string, box_id int, cx double, cy double, cz double, l double, w double, h double, rot_z double, actions {schemas.ACTIVITIES}, social {schemas.ACTIVITIES}"
+    arrow = pa.schema([("path", pa.string()), ("frame", pa.string()), ("box_id", pa.int32()), *((x, pa.float64()) for x in ("cx", "cy", "cz", "l", "w", "h", "rot_z")), ("actions", pair), ("social", pair), ("error", pa.string())])
+    schema = f"path string, frame string, box_id int, cx double, cy double, cz double, l double, w double, h double, rot_z double, actions {schemas.ACTIVITIES}, social {schemas.ACTIVITIES}, error string"
     return contents(spark, path, "*.json").mapInArrow(rows, schema)
 
 
@@ -159,28 +164,63 @@ def calibration(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     return rows.select("path", F.regexp_replace(F.col("parts")[0], ":$", "").alias("name"), F.transform(F.slice("parts", 2, 12), lambda x: x.try_cast("double")).alias("m"))
 
 
-def cameras(spark: SparkSession, path: str) -> DataFrame:
-    """Cameras of a YAML file on the driver: (sensor_id, position, K, D, R, T, width, height), defaults filled in.
+#: The size of a camera that doesn't give its own.
+CAMERA_WIDTH, CAMERA_HEIGHT = 752, 480
+
+
+def _numbers(value) -> list[float]:
+    if isinstance(value, str):
+        value = value.replace("[", " ").replace("]", " ").replace(",", " ").replace(";", " ").split()
+    return [float(x) for x in np.array(value, float).ravel()]
+
+
+def cameras(spark: SparkSession, path: str | DataFrame, pattern: str = "*.y*ml") -> DataFrame:
+    """Cameras of YAML files: (path, sensor_id, position, K, D, R, T, width, height, error), defaults filled in.
 
-    Sensors whose matrices can't be read are left out, as a rig is a handful of rows.
+    Every file is read, by the task that holds it. A sensor whose matrices can't
+    be read is left out, and a file that can't be is a row with ``error``.
     """
-    import yaml
+    def read(data: bytes) -> Iterator[dict]:
+        import yaml
+
+        rows = []
+        for k, (name, c) in enumerate((yaml.safe_load(data).get("cameras") or {}).items()):
+            if name.startswith("sensor_"):
+                try:
+                    rows.append((name, k, _numbers(c["K"]), _numbers(c.get("D", [0.0] * 5)), _numbers(c["R"]), _numbers(c["T"]), int(c.get("width", CAMERA_WIDTH)), int(c.get("height", CAMERA_HEIGHT))))
+                except (KeyError, TypeError, ValueError):
+                    continue
+        if rows:
+            yield dict(zip(("sensor_id", "position", "K", "D", "R", "T", "width", "height"), zip(*rows)))
+
+    return each_file(spark, path, pattern, "sensor_id string, position int, K array<double>, D array<double>, R array<double>, T array<double>, width int, height int", read)
+
 
-    text = spark.read.text(path, wholetext=True).first()[0]
+def flattened(value, key: str = "") -> Iterator[tuple[str, str | None]]:
+    """(key, value) of all leaves of nested maps and lists, keys joined by a slash; an empty one is a leaf without a value."""
+    inner = value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ()
+    if not inner:
+        yield key, None if value is None or isinstance(value, (dict, list)) else str(value).lower() if isinstance(value, bool) else str(value)
+    for k, v in inner:
+        yield from flattened(v, f"{key}/{k}" if key else str(k))
 
-    def numbers(value) -> list[float]:
-        if isinstance(value, str):
-            value = value.replace("[", " ").replace("]", " ").replace(",", " ").replace(";", " ").split()
-        return [float(x) for x in np.array(value, float).ravel()]
 
-    rows = []
-    for k, (name, c) in enumerate((yaml.safe_load(text).get("cameras") or {}).items()):
-        if name.startswith("sensor_"):
-            try:
-                rows.append((name, k, numbers(c["K"]), numbers(c.get("D", [0.0] * 5)), numbers(c["R"]), numbers(c["T"]), int(c.get("width", 752)), int(c.get("height", 480))))
-            except (KeyError, TypeError, ValueError):
-                continue
-    return spark.createDataFrame(rows, "sensor_id string, position int, K array<double>, D array<double>, R array<double>, T array<double>, width int, height int")
+def settings(spark: SparkSession, path: str | DataFrame, pattern: str = "*.y*ml") -> DataFrame:
+    """(path, key, value, error) of configuration and taxonomy files in YAML, a row a leaf: ``learning_map/252`` is ``20``."""
+    def read(data: bytes) -> Iterator[dict]:
+        import yaml
+
+        leaves = list(flattened(yaml.safe_load(data)))
+        yield {"key": [k for k, _ in leaves], "value": [v for _, v in leaves]}
+
+    return each_file(spark, path, pattern, "key string, value string", read)
+
+
+def mapping(settings: DataFrame, name: str) -> DataFrame:
+    """(path, from, to) of the numbers of one map in ``settings``, such as ``learning_map``."""
+    parts = F.split("key", "/")
+    rows = settings.filter(F.startswith("key", F.lit(f"{name}/")) & (F.size(parts) == 2))
+    return rows.select("path", parts[1].try_cast("bigint").alias("from"), F.col("value").try_cast("bigint").alias("to")).filter("from IS NOT NULL")
 
 
 def messages(spark: SparkSession, path: str | DataFrame, kind: str = "db3", topics: tuple[str, ...] | None = None) -> DataFrame:
@@ -282,6 +322,79 @@ def with_model(rows: DataFrame, column: str, name: str, schema: str, load: Calla
     return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{name}` {schema}"]))
 
 
+def infer(
+    rows: DataFrame, columns: Sequence[str], name: str, schema: str, arrow: pa.DataType, load: Callable[[object], Callable], weights=None, batch: int = 32,
+    size: str | None = None, padded: int = 1 << 24, profile=None,
+) -> DataFrame:
+    """Add ``name``, what a model makes of ``columns``, and ``<name>_error``; the model gets batches.
+
+    ``load(weights)`` runs once a task, ``weights`` being what a broadcast
+    variable holds, sent to each executor once. The model takes a dictionary of
+    columns with ``batch`` rows at most: lists of numbers as one array, filled
+    up with zeros to the longest, with their lengths under ``<column>_length``;
+    other columns as lists. ``size`` names a column of sizes: rows of like sizes
+    then go together, and no batch has more than ``padded`` numbers in a column.
+    It gives as many results as rows. Where it fails on a batch, its rows are
+    tried one by one, and those that fail again have ``error`` set. Rows with a
+    null in a column have no result. ``profile`` is a resource profile, for
+    stages that need GPUs.
+    """
+    def stacked(part: pa.RecordBatch) -> dict[str, object]:
+        out: dict[str, object] = {}
+        for c in columns:
+            values = part.column(c)
+            if pa.types.is_list(values.type):
+                lists = [np.asarray(v, np.float64) for v in values.to_pylist()]
+                lengths = np.array([len(v) for v in lists], np.int64)
+                whole = np.zeros((len(lists), lengths.max(initial=0)))
+                for k, v in enumerate(lists):
+                    whole[k, : len(v)] = v
+                out |= {c: whole, f"{c}_length": lengths}
+            else:
+                out[c] = values.to_pylist()
+        return out
+
+    def groups(whole: pa.RecordBatch) -> Iterator[np.ndarray]:
+        good = np.flatnonzero(np.logical_and.reduce([whole.column(c).is_valid().to_numpy(zero_copy_only=False) for c in columns]))
+        if size is None:
+            yield from (good[k : k + batch] for k in range(0, len(good), batch))
+            return
+        sizes = whole.column(size).fill_null(0).to_numpy()
+        order, at = good[np.argsort(sizes[good], kind="stable")], 0
+        while at < len(order):
+            end = at + 1
+            while end < min(at + batch, len(order)) and int(sizes[order[end]]) * (end - at + 1) <= padded:
+                end += 1
+            yield order[at:end]
+            at = end
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(weights.value if weights is not None else None)
+        for whole in batches:
+            results, errors = [None] * whole.num_rows, [None] * whole.num_rows
+
+            def put(own: np.ndarray) -> None:
+                found = model(stacked(whole.take(pa.array(own))))
+                if len(found) != len(own):
+                    raise ValueError(f"{len(found)} results for {len(own)} rows")
+                for k, v in zip(own.tolist(), found):
+                    results[k] = v
+
+            for own in groups(whole):
+                try:
+                    put(own)
+                except Exception:  # noqa: BLE001  one of its rows, or more
+                    for k in own:
+                        try:
+                            put(np.array([k]))
+                        except Exception as e:  # noqa: BLE001  the row says so
+                            errors[k] = f"{type(e).__name__}: {e}"
+            yield whole.append_column(name, pa.array(results, arrow)).append_column(f"{name}_error", pa.array(errors, pa.string()))
+
+    out = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{name}` {schema}", f"`{name}_error` string"]
+    return rows.mapInArrow(run, ", ".join(out), profile=profile)
+
+
 def pictures(files: DataFrame) -> DataFrame:
     """Rows (path, file) of PNG and sequential JPEG files with height, width, grey (an array in [0, 1], row by row) and error."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +412,7 @@ def pictures(files: DataFrame) -> DataFrame:
     return files.select("path", "file").mapInArrow(read, "path string, height int, width int, grey array<double>, error string")
 
 
-#: Extensions of image files, in any case of letters.
+#: Extensions of image files, in any case of letters.
 IMAGES = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".tif")
 
 
@@ -319,7 +432,7 @@ def missing_folders(spark: SparkSession, root: str, wanted: tuple[str, ...]) ->
     return [w for w in wanted if w not in found]
 
 
-#: Folders that may hold a recording's point files, where it has none itself, the first ones first.
+#: Folders that may hold a recording's point files, where it has none itself, the first ones first.
 FOLDERS = ("", "pointclouds", "velodyne", "upper_velodyne", "lower_velodyne")
 
 

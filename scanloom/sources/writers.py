@@ -119,12 +119,35 @@ def summary_rows(annotations: DataFrame, reduced: bool = False) -> DataFrame:
     return annotations.withColumn("detections_2d", F.transform("detections_2d", lambda d: d.dropFields("mask"))) if "mask" in kind.names else annotations
 
 
-def kitti_plan(labels: DataFrame, sequence: str = "00") -> DataFrame:
-    """(source, target) of label files: numbered in name order below ``sequences``."""
-    numbered = names.indexed(labels.withColumn("all", F.lit(0)), ["all"], "path")
+#: Names that are sampled to part a folder, and files in a part.
+SAMPLE, PART = 20_000, 1 << 17
+
+
+def parts_by_name(files: DataFrame, column: str, each: int = PART) -> Column | None:
+    """A column that rises with the names, for about ``each`` files a value; None where one part will do.
+
+    Bounds are names of a sample, 256 at most.
+    """
+    n = files.count()
+    if n <= each:
+        return None
+    sample = sorted(r[0] for r in files.sample(min(1.0, SAMPLE / n), seed=1).select(column).limit(2 * SAMPLE).collect())
+    parts = min(256, -(-n // each))
+    bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)}) if sample else []
+    return F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= F.col(column))) if bounds else None
+
+
+def kitti_plan(labels: DataFrame, sequence: str = "00", each: int = PART) -> DataFrame:
+    """(source, target) of label files: numbered in name order below ``sequences``, a part of the names at a time."""
+    numbered = names.indexed(labels.select("path").withColumn("all", F.lit(0)), ["all"], "path", parts_by_name(labels, "path", each))
     return numbered.select(F.col("path").alias("source"), F.concat(F.lit(f"sequences/{sequence}/labels/"), F.col("kitti_name"), F.lit(".label")).alias("target"))
 
 
+def relaid(files: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows (path, bytes) of the files (path, content) of a plan, under their new names; ``write_files`` commits them."""
+    return files.select(F.col("path").alias("source"), F.col("content").alias("bytes")).join(plan, "source").select(F.col("target").alias("path"), "bytes")
+
+
 def cloud_colours(points: DataFrame) -> DataFrame:
     """Red for moving points, grey for others, in [0, 1]."""
     red, grey = F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0)), F.array(F.lit(0.5), F.lit(0.5), F.lit(0.5))
