@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanloom.llm import mixing, ngram_join, packing, pii, toxicity
-from scanloom.llm.common import settled, small_batches
+from scanloom.llm.common import WORD, settled, small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,13 +27,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, similarity 0.8) the document of the least id.
 
-    Rows without an id or without words stay. All rows of the kept id stay but
-    for repeated texts, so that no text goes that isn't near to a kept one.
+    Rows without an id or without words stay, and decide on no other row of their
+    id. All texts of the kept id stay but for repeated ones, so that no text goes
+    that isn't near to a kept one.
     """
     small_batches(spark)
     found = ngram_join.near_duplicates(docs, ngram_join.Similarity(n=5, num=80, den=100))
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    out = docs.select(*COLUMNS).join(kept, "doc_id")
+    # The texts of an id hang together, so one decision holds for all that have words, and another one for those without.
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id", (F.col("n_shingles") == 0).alias("none")).agg(F.count("*").alias("rows"))
+    none = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    out = docs.select(*COLUMNS, none.alias("none")).join(kept, ["doc_id", "none"])
     # Only where an id repeats do its rows have to meet.
     once = out.filter(F.col("rows") == 1).unionByName(out.filter(F.col("rows") > 1).withColumn("h", F.sha2("text", 256)).dropDuplicates(["doc_id", "h"]).drop("h"))
     return once.select(*COLUMNS).unionByName(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS))
