@@ -17,8 +17,8 @@ row possible until the bound is less than what sets the best apart, which is lat
 
 Defined cases. A vector that is null, or has a null or non-finite component,
 takes no part. Shorter vectors count as filled up with zeros. Ties go to the
-smaller id. A repeated id is a row of its own, but no row is a candidate for a
-query of its own id. Scores beyond a long stop at its ends, and tie there. An empty table gives
+smaller id. A repeated id is a row of its own, and a query of its own where its
+vector differs, but no row is a candidate for a query of its own id. Scores beyond a long stop at its ends, and tie there. An empty table gives
 no rows. Extra columns are not read.
 """
 
@@ -131,12 +131,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     deal = lambda of, count: F.pmod(F.xxhash64("vec_id", "v"), F.lit(count)).alias(of)
     everywhere = lambda of, count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))).alias(of)
     rows = vectors.select(deal("shard", shards), everywhere("block", blocks), "vec_id", "v")
-    asked = queries.select(everywhere("shard", shards), deal("block", blocks), "vec_id", "v")
+    asked = queries.select(everywhere("shard", shards), deal("block", blocks), "vec_id", "v", F.xxhash64("v").alias("key"))
 
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"query_id": [], "key": [], "vec_id": [], "score": []}
         if a.num_rows and b.num_rows:
-            ids, own = (t.column("vec_id").to_numpy() for t in (a, b))
+            ids, own, keys = a.column("vec_id").to_numpy(), b.column("vec_id").to_numpy(), b.column("key").to_numpy()
             base, query = (_matrix(t.column("v").combine_chunks(), wide) for t in (a, b))
             far = 2 * np.abs(base).max(initial=0) * np.abs(query).max(initial=0) * wide
             index = Shard(ids, base) if far < EXACT else None
@@ -144,12 +144,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 part = own[at : at + TOGETHER], query[at : at + TOGETHER]
                 for m, found, score in index.search(*part, k) if index else _plain_search(ids, base, *part, k):
                     out["query_id"].append(np.full(len(found), part[0][m]))
+                    out["key"].append(np.full(len(found), keys[at + m]))
                     out["vec_id"].append(np.asarray(found, np.int64))
                     out["score"].append(np.asarray(score, np.int64))
         return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64()) for c, v in out.items()})
 
-    best = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(cell, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(cell, "query_id long, key long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -102,6 +102,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
     """
     rows = settled(docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
+        # Rows without an id draw by their text, each by its own.
+        F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit(""))))).alias("draws_by"),
         (F.lit(1.0) if weight is None else weight.cast("double")).alias("share"),
     ), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(F.try_divide(F.sum(F.col("size") * F.col("share")), F.sum("size")), F.lit(1.0)).alias("mean"))
@@ -110,7 +112,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: floa
     rows = _beside(_beside(rows, targets(sizes.drop("mean"), weights, cap), few), sizes.select("source", "mean"), few)
     due = F.when(F.col("source_size") > 0, F.least(F.lit(cap), F.try_divide(F.col("target") / F.col("source_size") * F.col("share"), F.col("mean")))).otherwise(0.0)
     rows = rows.withColumn("due", due).withColumn("whole", F.floor(F.col("due") + 1e-12)).withColumn("f", F.greatest(F.col("due") - F.col("whole"), F.lit(0.0)))
-    u = uniform(F.col("doc_id"), seed)
+    u = uniform(F.col("draws_by"), seed)
     odds = (u / (1 - u)) / (F.col("f") / (1 - F.col("f")))
     # q / (1 + q) has the order of q and lies in (0, 1), so that bins of equal width can count it.
     rows = rows.withColumn("open", (F.col("f") > 1e-12) & (F.col("size") > 0)).withColumn("q", F.when(F.col("open"), odds / (1 + odds)).otherwise(1.0))

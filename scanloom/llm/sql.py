@@ -40,10 +40,10 @@ def mixing(fills: int, seed: int = 7) -> str:
         lack = "greatest(lack,0)" if k == 0 else "lack"
         rounds += f""",
 l{k} AS (SELECT * REPLACE ({lack} AS lack) FROM (SELECT *, target-sum(size*(whole+drawn::int)) OVER (PARTITION BY source) AS lack FROM r{k})),
-h{k} AS (SELECT doc_id, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id)<=lack AS more FROM l{k} WHERE {fits}),
-r{k + 1} AS (SELECT l.* EXCLUDE (lack, drawn), drawn OR coalesce(more,false) AS drawn FROM l{k} l LEFT JOIN h{k} USING (doc_id))"""
+h{k} AS (SELECT r, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size, r ROWS UNBOUNDED PRECEDING)<=lack AS more FROM l{k} WHERE {fits}),
+r{k + 1} AS (SELECT l.* EXCLUDE (lack, drawn), drawn OR coalesce(more,false) AS drawn FROM l{k} l LEFT JOIN h{k} USING (r))"""
     return rf"""
-WITH d AS (SELECT doc_id, source, len({WORDS})::bigint AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len({WORDS})::bigint AS size, coalesce(doc_id::varchar, 'text:'||md5(coalesce(text,''))) AS draws_by FROM documents),
 s AS (SELECT source, sum(size)::bigint AS source_size FROM d GROUP BY 1),
 t AS (SELECT *, ([5.0,2.0,1.0]::double[])[(row_number() OVER (ORDER BY source NULLS LAST)-1)%3+1] AS w, source_size*3.0::double AS most FROM s),
 v AS (SELECT *, (sum(source_size) OVER ()-coalesce(sum(most) OVER (ORDER BY most/w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0))/
@@ -51,7 +51,7 @@ v AS (SELECT *, (sum(source_size) OVER ()-coalesce(sum(most) OVER (ORDER BY most
 c AS (SELECT min({{'a': most/w, 'b': level}}) FILTER (most>=level*w) AS c FROM v),
 g AS (SELECT source, source_size, least(most, c.c.b*w) AS target FROM v, c),
 b AS (SELECT d.*, source_size, target, CASE WHEN source_size>0 THEN least(3.0::double, target/source_size) ELSE 0 END AS due,
- (('0x'||substr(md5('{seed}:'||doc_id),1,13))::bigint::double+0.5)/4503599627370496::double AS u FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+ (('0x'||substr(md5('{seed}:'||draws_by),1,13))::bigint::double+0.5)/4503599627370496::double AS u FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
 f AS (SELECT *, floor(due+1e-12)::bigint AS whole, greatest(due-floor(due+1e-12),0) AS f FROM b),
 r0 AS (SELECT * EXCLUDE (o), CASE WHEN open THEN o/(1+o) ELSE 1 END AS q, false AS drawn FROM (SELECT *, f>1e-12 AND size>0 AS open, (u/(1-u))/(f/(1-f)) AS o FROM f)){rounds}
 SELECT doc_id, size, source_size, target, (size*least(whole+drawn::int,3))::bigint AS taken, least(whole+drawn::int,3)::bigint AS copies FROM r{fills + 1}"""

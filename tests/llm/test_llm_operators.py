@@ -537,6 +537,29 @@ def test_mixing(docs, odd, none):
     assert sum(r.copies for r in heavy if r.doc_id % 2 == 0) > 1.2 * sum(r.copies for r in heavy if r.doc_id % 2)
 
 
+def test_mixing_without_ids(spark, tmp_path):
+    """A third of all rows has no id: they are drawn by chance, not by size, as by SQL."""
+    import duckdb
+
+    from scanloom.llm import sql
+
+    random.seed(66)
+    rows = [(None if k % 3 == 0 else k, " ".join(f"w{k}" for _ in range(random.randint(1, 30))), "abc"[k // 3 % 3]) for k in range(1800)]
+    rows += [(None, "the same text", "a")] * 5 + [(5, "one id", "b"), (5, "with two texts", "b"), (None, None, "c")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.mix_sources(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = c.execute(sql.mixing(mixing.FILLS))
+    names = [d[0] for d in found.description]
+    assert sorted(repr(tuple(r[n] for n in names)) for r in got) == sorted(map(repr, found.fetchall()))
+    for s in "abc":
+        own = [r for r in got if r.source == s and r.doc_id is None and r.size]
+        due = own[0].target / own[0].source_size
+        short, long = ([r.copies for r in own if keep(r.size)] for keep in (lambda n: n <= 12, lambda n: n >= 18))
+        assert all(abs(sum(x) / len(x) - due) < 0.2 for x in (short, long)), (s, due)
+
+
 # --- 7: search ----------------------------------------------------------------------------
 
 
@@ -567,6 +590,12 @@ def test_search(spark, case):
     assert embedding_search.search(df.limit(0)).count() == 0
 
 
+def test_queries_of_one_id(spark):
+    rows = [(20, [1.0, 0.0]), (20, [-1.0, 0.0]), (20, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [-3.0, 1.0]), (3, [0.5, 0.0])]
+    got = embedding_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2)
+    assert sorted(map(tuple, got.collect())) == sorted([(20, 1, 1, 8192), (20, 2, 3, 2048), (20, 1, 2, 12288), (20, 2, 3, -2048)])
+
+
 # --- 9: repeated windows -------------------------------------------------------------------
 
 

@@ -99,5 +99,14 @@ def test_stages_on_odd_rows(spark):
         assert empty.count() == 0
 
 
+def test_a_row_without_words_saves_no_near_duplicate(spark):
+    t = " ".join(f"w{k}" for k in range(60))
+    n = t.replace("w59", "other")
+    rows = [(5, t), (9, n), (9, ""), (9, None), (7, " "), (11, "else " * 9), (11, ""), (11, "")]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(5, t), (9, ""), (9, None), (7, " "), (11, "else " * 9), (11, "")], key=repr)
+
+
 def test_join_default():
     assert ngram_join.Similarity() == ngram_join.Similarity(5, 80, 100)
