@@ -192,7 +192,9 @@ class Shard:
         self.at = lists["last"].offsets.to_numpy()
         self.flat = {c: x.values.to_numpy(zero_copy_only=False).astype(np.int64) for c, x in lists.items()}
         self.body = rows.column("body")
+        self.postings_of = rows.column("postings").to_numpy()
         self.ready: dict[int, tuple] = {}
+        self.open: dict[int, tuple] = {}  # what has been decompressed; 16 bytes a posting at most
         self.read = self.blocks = 0
 
     def postings(self, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,14 +209,28 @@ class Shard:
             self.ready[row] = last, np.append(starts, len(body)), body, bound
         return self.ready[row]
 
-    def decoded(self, row: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Documents and counts of some of a term's blocks, in order."""
-        _, starts, body, _ = self.ready[row]
-        self.read += len(blocks)
-        numbers = unpacked_numbers(body[gathered(starts[blocks], starts[blocks + 1] - starts[blocks])])
-        gaps, begins = numbers[::2], np.arange(len(blocks)) * BLOCK  # all blocks but a term's last one are full
-        run = np.cumsum(gaps)
-        return run - np.repeat(run[begins] - gaps[begins], np.diff(np.append(begins, len(gaps)))), numbers[1::2]
+    def scored(self, row: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and impacts of some of a term's blocks, in order; a block is decompressed when it is first asked for."""
+        n = int(self.postings_of[row])
+        if row not in self.open:
+            self.open[row] = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(-(-n // BLOCK), bool)
+        docs, impact, have = self.open[row]
+        places = lambda b: gathered(b * BLOCK, np.minimum(BLOCK, n - b * BLOCK))  # noqa: E731  all blocks but the last one are full
+        new = blocks[~have[blocks]]
+        if len(new):
+            _, starts, body, _ = self.ready[row]
+            self.read += len(new)
+            numbers = unpacked_numbers(body[gathered(starts[new], starts[new + 1] - starts[new])])
+            gaps, begins, at = numbers[::2], np.arange(len(new)) * BLOCK, places(new)
+            run = np.cumsum(gaps)
+            docs[at] = run - np.repeat(run[begins] - gaps[begins], np.diff(np.append(begins, len(gaps))))
+            impact[at] = impacts(numbers[1::2], self.m[docs[at]])
+            have[new] = True
+        if blocks[-1] - blocks[0] + 1 == len(blocks):
+            one = slice(blocks[0] * BLOCK, min((blocks[-1] + 1) * BLOCK, n))
+            return docs[one], impact[one]
+        at = places(blocks)
+        return docs[at], impact[at]
 
     def search(self, query: list[tuple[bytes, int]], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents, by place, and scores of the ``k`` best for (term, weight), ties to smaller ids."""
@@ -244,10 +260,9 @@ class Shard:
                     blocks = np.unique(np.searchsorted(last, alive))
                     blocks = blocks[blocks < len(last)]
                 if len(blocks) and bounds[t, w]:
-                    docs, counts = self.decoded(row, blocks)
-                    here = (docs >= low) & (docs < high)
-                    docs, counts = docs[here], counts[here]
-                    acc[docs - low] += weight * impacts(counts, self.m[docs])
+                    docs, impact = self.scored(row, blocks)
+                    a, b = np.searchsorted(docs, (low, high))
+                    acc[docs[a:b] - low] += weight * impact[a:b]
                 to_come -= int(bounds[t, w])
             found = np.flatnonzero(acc >= least) + low
             if len(found):
