@@ -64,12 +64,20 @@ CHUNK, LEAF = 512, 16
 
 @dataclass(frozen=True)
 class Similarity:
-    """Links at ``den * |A & B| >= num * |A | B|``, sets of ``n``-word shingles."""
+    """Links at ``den * |A & B| >= num * |A | B|``, sets of ``n``-word shingles.
+
+    Not below 2/3: sets that differ more in size lie further apart than in
+    neighbouring bands, where they wouldn't meet.
+    """
 
     n: int = 5
     num: int = 80
     den: int = 100
 
+    def __post_init__(self):
+        if self.num * BAND < self.den or self.num > self.den or self.n < 1:
+            raise ValueError(f"a similarity from {1 / BAND:.3f} to 1, of shingles of one word at least")
+
     def most(self, total):
         """The most shingles in which two sets of ``total`` shingles together may differ."""
         return total * (self.den - self.num) // (self.den + self.num)

@@ -110,3 +110,7 @@ def test_a_row_without_words_saves_no_near_duplicate(spark):
 
 def test_join_default():
     assert ngram_join.Similarity() == ngram_join.Similarity(5, 80, 100)
+    assert ngram_join.Similarity(1, 2, 3).num == 2
+    for wrong in ((1, 50, 100), (3, 66, 100), (3, 101, 100), (0, 90, 100)):
+        with pytest.raises(ValueError):
+            ngram_join.Similarity(*wrong)
