@@ -29,14 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named or LOCAL_SHARED
 
 
-#: Rows of an Arrow batch; Spark's own 10,000 whole texts are too much for small workers.
-BATCH_ROWS = 2000
+#: Rows of an Arrow batch, as Spark's own 10,000 whole texts are too much for small workers; and its bytes, but for one row.
+BATCH_ROWS, BATCH_BYTES = 2000, 64 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let batches of this session hold ``BATCH_ROWS`` rows at most."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+    """Let batches of this session hold ``BATCH_ROWS`` rows and, as Spark does by itself, ``BATCH_BYTES`` bytes at most."""
+    most = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < most <= BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").strip() in ("-1", "-1b"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def settled(df: DataFrame, name: str, *done: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Operators of documents, pages and vectors: brute force, round trips, and odd rows."""
 
 import hashlib
+import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -725,6 +727,44 @@ def test_media(odd, none):
         assert hashlib.sha256(bytes(r.media)).hexdigest() == r.media_sha256 and r.media_bytes == len(r.media)
         assert back[: r.n_bytes].decode() in {t or "" for _, t, _ in ODD}
     assert len({r.feature for r in got if r.doc_id == 4}) == 1 and jpeg.media(none).count() == 0
+    plain = {(r.doc_id, r.media_sha256): r.feature for r in jpeg.media(odd).collect()}
+    assert all(plain[r.doc_id, r.media_sha256] == r.feature == jpeg.features(iter([np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3)])) for r in got)
+    assert jpeg.media(none, tensors=True).count() == 0
+
+
+def test_long_payload_in_little_memory():
+    """Encoding, decoding and features hold a few bytes a byte of payload at a time; strips are the whole picture's rows."""
+    payload = random.Random(10).randbytes(16 << 20)
+    tracemalloc.start()
+    try:
+        image = jpeg.read_coefficients(jpeg.encode_payload(payload))
+        assert b"".join(jpeg.payload_pieces(image)) == payload
+        text = jpeg.features(jpeg.strips(image))
+        assert tracemalloc.get_traced_memory()[1] < 8 * len(payload)
+    finally:
+        tracemalloc.stop()
+    rgb, image = jpeg.decode(jpeg.encode_payload(payload[: 1 << 20]))
+    assert np.array_equal(np.concatenate(list(jpeg.strips(image))), rgb) and len(list(jpeg.strips(image))) > 1
+    assert re.fullmatch(r"(\d+:\d+,?){3}", text) and jpeg.features(iter([rgb])) == jpeg.features(jpeg.strips(image))
+
+
+def test_features_of_a_picture():
+    """Means and deviations in hundredths against plain arithmetic."""
+    rgb = np.random.default_rng(4).integers(0, 256, (24, 40, 3), np.uint8)
+    want = [f"{100 * int(c.sum()) // c.size}:{int(100 * math.sqrt(c.size * int((c.astype(int) ** 2).sum()) - int(c.sum()) ** 2) / c.size)}" for c in (rgb[:, :, k] for k in range(3))]
+    assert jpeg.features(iter(np.split(rgb, 3))) == ",".join(want)
+
+
+def test_batches_of_wide_texts(spark):
+    """Whole texts come to the workers in batches of bounded bytes, not of rows alone."""
+    common.small_batches(spark)
+    wide = spark.range(0, 200, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1_000_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    assert wide.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] <= common.BATCH_BYTES + 2_000_000
 
 
 def test_layout():
