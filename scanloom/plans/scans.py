@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.functions import names
-from scanloom.operators import geometry, labeling, windows
+from scanloom.operators import geometry, labeling, painting, windows
 from scanloom.plans import flows
 from scanloom.plans.catalog import BOUNDS, POINTS, query
 from scanloom.plans.files import STORED, _doubles, _labels, _path, _recording_rows
@@ -230,3 +230,77 @@ def kitti_layout(spark, d):
     folder = _folder(spark, "kitti")
     flows.kitti_layout(spark, store.round_trip(writers.label_files(rows, name), "labels"), folder)
     return readers.labels(spark, folder).filter("error IS NULL").select(names.frame_number(names.base_name(F.col("path"))).alias("file"), "point_idx", "label")
+
+
+# --- drawn frames --------------------------------------------------------------------
+
+#: Rows and columns of the pictures, and the classes of their detections.
+DRAWN, DRAWN_CLASSES = (24, 32), ("person", "bicycle", "car", "motorcycle", "bus", "truck", "dog", "tree")
+
+
+def _detected(spark, d) -> DataFrame:
+    """Three detections of each vector but one in seven, of which the first and the last have a mask."""
+    e = table(spark, d, "embeddings").filter("vec_id % 7 <> 3").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("det_idx"))
+    place = lambda k, n: F.floor(F.abs(F.col("embedding")[F.col("det_idx") + k].cast("double")) * 1000) % n
+    e = e.withColumn("x", place(0, 20)).withColumn("y", place(8, 12)).withColumn("s", F.col("det_idx") + 6)
+    name = F.array(*(F.lit(c) for c in DRAWN_CLASSES))[((F.col("vec_id") + F.col("det_idx")) % 8).cast("int")]
+    runs = F.transform(F.sequence("y", F.col("y") + F.col("s")), lambda r: F.struct(r.alias("r"), F.col("x").alias("first"), (F.col("x") + F.col("s") + 1).alias("end")))
+    box = F.array(*(c.cast("double") for c in (F.col("x"), F.col("y"), F.col("x") + F.col("s"), F.col("y") + F.col("s"))))
+    return e.select(F.col("vec_id").alias("frame_id"), F.lit("camera1").alias("camera"), "det_idx", name.alias("class_name"), F.lit(0.5).alias("confidence"), box.alias("bbox"), F.lit(None).cast("string").alias("label"), F.when(F.col("det_idx") != 1, runs).alias("runs"))
+
+
+def _plain_pictures(spark, d) -> DataFrame:
+    """A picture of one colour for each vector."""
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from scanloom.sources import decode
+
+        for batch in batches:
+            files = [decode.png(np.broadcast_to((np.array([31, 17, 7]) * i % 256).astype(np.uint8), (*DRAWN, 3))) for i in batch.column("frame_id").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("frame_id"), batch.column("camera"), pa.array(files, pa.binary())], names=["frame_id", "camera", "file"])
+
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("frame_id"), F.lit("camera1").alias("camera"))
+    return rows.mapInArrow(encoded, "frame_id long, camera string, file binary")
+
+
+_DRAWN_COLOURS = ", ".join(str(list(painting.CAMERA_COLOURS.get(c, painting.OTHER_COLOUR)[::-1])) for c in DRAWN_CLASSES)
+_DETECTED = f"""d AS (SELECT vec_id, k, floor(abs(embedding[k+1]::double)*1000)::bigint%20 AS x1, floor(abs(embedding[k+9]::double)*1000)::bigint%12 AS y1, 6+k AS s,
+ ([{_DRAWN_COLOURS}])[(vec_id+k)%8+1] AS c FROM embeddings, (SELECT unnest(range(3)) AS k) WHERE vec_id%7<>3)"""
+
+_MASK_SUMS = ", ".join(f"sum((4*c[{i}]+5)//10) FILTER (WHERE k<>1 AND x BETWEEN x1 AND x1+s AND y BETWEEN y1 AND y1+s)" for i in (1, 2, 3))
+
+
+@query(f"""WITH {_DETECTED},
+ p AS (SELECT vec_id, x, y, [vec_id*31%256, vec_id*17%256, vec_id*7%256] AS bg FROM embeddings, (SELECT unnest(range({DRAWN[1]})) AS x), (SELECT unnest(range({DRAWN[0]})) AS y)),
+ h AS (SELECT p.vec_id, x, y, arg_max(c, k) FILTER (WHERE NOT (x BETWEEN x1+2 AND x1+s-2 AND y BETWEEN y1+2 AND y1+s-2)) AS edge,
+  [{_MASK_SUMS}] AS o
+  FROM p JOIN d ON p.vec_id=d.vec_id AND x BETWEEN x1-1 AND x1+s+1 AND y BETWEEN y1-1 AND y1+s+1 GROUP BY 1, 2, 3),
+ m AS (SELECT p.vec_id, p.x, p.y, coalesce(edge, bg) AS v, o FROM p LEFT JOIN h ON p.vec_id=h.vec_id AND p.x=h.x AND p.y=h.y),
+ f AS (SELECT vec_id, CASE WHEN vec_id%7<>3 AND (x<3 OR y<3 OR x>={DRAWN[1] - 3} OR y>={DRAWN[0] - 3}) THEN [255,255,0] ELSE [(7*v[i]+3*least(coalesce(o[i],0),255)+5)//10 FOR i IN [1,2,3]] END AS c FROM m)
+ SELECT vec_id, c[1]::bigint AS red, c[2]::bigint AS green, c[3]::bigint AS blue, count(*) AS pixels FROM f GROUP BY ALL""")
+def drawn_frames(spark, d):
+    """Pixels of each colour in pictures with boxes, masks and borders, read back from their files."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from scanloom.sources import decode
+
+        for batch in batches:
+            out = []
+            for path, file in zip(*(batch.column(c).to_pylist() for c in ("path", "content"))):
+                colours, n = np.unique(decode.picture(file).reshape(-1, 3), axis=0, return_counts=True)
+                out += [(path, *c, k) for c, k in zip(colours.tolist(), n.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), [pa.string()] + 4 * [pa.int64()])], names=["path", "red", "green", "blue", "pixels"])
+
+    drawn = painting.annotated_pictures(_plain_pictures(spark, d), _detected(spark, d), texts=False).filter("error IS NULL")
+    kept = store.round_trip(drawn.select(_path("visualization_camera1/%019d.png", "frame_id").alias("path"), F.col("content").alias("bytes")), "drawn")
+    got = readers.image_paths(kept).mapInArrow(counted, "path string, red long, green long, blue long, pixels long")
+    return got.select(names.frame_number(names.base_name(F.col("path"))).alias("vec_id"), "red", "green", "blue", "pixels")
+
+
+@query(f"""WITH {_DETECTED}, r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY k)-1 AS i FROM d WHERE k<>1)
+ SELECT vec_id, i::bigint AS instance, ((least(x1+s+1,{DRAWN[1]})-x1)*(least(y1+s+1,{DRAWN[0]})-y1)*255)::bigint AS total FROM r""")
+def mask_files(spark, d):
+    """Masks as files of their own, read back: the sum of their pixels."""
+    masks = writers.numbered_masks(_detected(spark, d).withColumn("mask", F.col("runs")))
+    kept = store.round_trip(painting.mask_pictures(masks, *DRAWN), "mask-files")
+    got = readers.pictures(readers.image_paths(kept).withColumnRenamed("content", "file")).filter("error IS NULL")
+    part = F.split(names.base_name(F.col("path")), "_")
+    return got.select(part[0].cast("long").alias("vec_id"), part[1].cast("long").alias("instance"), F.aggregate(F.transform("grey", lambda v: F.round(v * 255).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
