@@ -55,10 +55,11 @@ def candidates(points: DataFrame, shapes: DataFrame, keys: Sequence[str]) -> Dat
     """Rows of ``points`` (x, y) with those of ``shapes`` (_bounds) of the same ``keys`` whose bounds share a cell with them.
 
     A pair comes once. The levels in use are at most ``LEVELS`` rows, and known
-    before points are repeated for them.
+    before points are repeated for them. Cells are shuffled, however few rows Spark
+    takes them for before they are exploded.
     """
     filed = shapes.select("*", F.explode(tiles(F.col("_bounds"))).alias("_cell")).select(*shapes.columns, "_cell.*").drop("_bounds")
     level = F.explode(F.array(*(F.lit(k).cast("long") for k in range(LEVELS)))).alias("level")
     x, y = F.col("x").cast("double"), F.col("y").cast("double")
     at = points.filter(~F.isnan(x) & ~F.isnan(y)).select("*", level).join(F.broadcast(shapes.select(level_of(F.col("_bounds")).alias("level")).distinct()), "level")
-    return at.select("*", _cell(x, F.col("level")).alias("i"), _cell(y, F.col("level")).alias("j")).join(filed, [*keys, "level", "i", "j"]).drop("level", "i", "j")
+    return at.select("*", _cell(x, F.col("level")).alias("i"), _cell(y, F.col("level")).alias("j")).join(filed.hint("merge"), [*keys, "level", "i", "j"]).drop("level", "i", "j")

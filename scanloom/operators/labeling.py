@@ -67,19 +67,32 @@ def mask_runs(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
     return runs.groupBy(*by, "r", "_run").agg(F.min("c").alias("first"), (F.max("c") + 1).alias("end")).drop("_run")
 
 
+def _rows_in_use(masks: DataFrame, seen: DataFrame) -> DataFrame:
+    """Runs (frame_id, r, first, end) of masks (frame_id, runs) in the rows of the image that points of the frame fall on."""
+    used = seen.groupBy("frame_id").agg(F.collect_set("r").alias("_used"))
+    met = used.join(masks.select("frame_id", "runs").hint("merge"), "frame_id")
+    return met.select("frame_id", F.inline(F.filter("runs", lambda x: F.array_contains("_used", x["r"].cast("long")))))
+
+
 def label_by_masks(points: DataFrame, runs: DataFrame, camera: dict[str, float], width: int, height: int, unmasked: DataFrame | None = None, near: float = 0.5, far: float = 50.0) -> DataFrame:
     """Add ``is_moving``: whether a point (frame_id, point_idx, x, y, z) falls on a masked pixel of its frame.
 
     Points are projected to pixels and looked up in the mask's runs
     (frame_id, r, first, end) of that row, which are filed by tiles of
-    ``RUN_TILE`` pixels. Detections without a mask, ``unmasked`` (frame_id, bbox),
-    label the points in the hulls of their frustums instead.
+    ``RUN_TILE`` pixels. Whole masks (frame_id, runs as an array of r, first and
+    end) may be given instead; only their rows that points fall on become rows of
+    a table. Both sides are shuffled: Spark's estimate of exploded rows is that
+    of the rows before, and would let it send them all through the driver.
+    Detections without a mask, ``unmasked`` (frame_id, bbox), label the points in
+    the hulls of their frustums instead.
     """
     tile = lambda c: F.floor(c / RUN_TILE).cast("long")
     at = points.select("frame_id", "point_idx", geometry.pixel(**camera, width=width, height=height).alias("_p")).filter("_p IS NOT NULL")
     seen = at.select("frame_id", "point_idx", F.col("_p.v").alias("r"), F.col("_p.u").alias("u"), tile(F.col("_p.u")).alias("_tile"))
+    if "runs" in runs.columns:
+        runs = _rows_in_use(runs, seen)
     filed = runs.filter("first < end").select("frame_id", F.col("r").cast("long").alias("r"), "first", "end", F.explode(F.sequence(tile(F.col("first")), tile(F.col("end") - 1))).alias("_tile"))
-    hits = seen.join(filed, ["frame_id", "r", "_tile"]).filter("u >= first AND u < end").select("frame_id", "point_idx")
+    hits = seen.join(filed.hint("merge"), ["frame_id", "r", "_tile"]).filter("u >= first AND u < end").select("frame_id", "point_idx")
     if unmasked is not None:
         hits = hits.unionByName(label_by_detections(points.select("frame_id", "point_idx", "x", "y", "z"), unmasked, camera, near, far).filter("is_moving").select("frame_id", "point_idx"))
     return points.join(hits.distinct().withColumn("is_moving", F.lit(True)), ["frame_id", "point_idx"], "left").withColumn("is_moving", F.coalesce("is_moving", F.lit(False)))

@@ -123,10 +123,12 @@ _MASKED = "z>0 AND floor(x*500/z+320) BETWEEN 0 AND 639 AND floor(y*500/z+240) B
 )
 def mask_projection(spark, d):
     frames = table(spark, d, "embeddings").select(F.col("vec_id").alias("frame_id"))
-    first = (F.col("frame_id") * 13 + F.col("r")) % 440
-    runs = frames.filter("frame_id % 3 <> 0").select("frame_id", F.explode(F.sequence(F.lit(0), F.lit(479))).alias("r")).select("frame_id", "r", first.alias("first"), (first + 200).alias("end"))
+    # Masks are made where their frames are shuffled and ordered to, as they are a hundred times as wide.
+    dealt = frames.filter("frame_id % 3 <> 0").repartition("frame_id").sortWithinPartitions("frame_id")
+    first = lambda r: (F.col("frame_id") * 13 + r) % 440
+    runs = F.transform(F.sequence(F.lit(0), F.lit(479)), lambda r: F.struct(r.alias("r"), first(r).alias("first"), (first(r) + 200).alias("end")))
     boxes = frames.filter("frame_id % 3 = 0").select("frame_id", F.array(*(F.lit(v) for v in BBOX)).alias("bbox"))
-    return labeling.label_by_masks(points(spark, d), runs, CAMERA, 640, 480, boxes).select("frame_id", "point_idx", "is_moving")
+    return labeling.label_by_masks(points(spark, d), dealt.select("frame_id", runs.alias("runs")), CAMERA, 640, 480, boxes).select("frame_id", "point_idx", "is_moving")
 
 
 @query(
