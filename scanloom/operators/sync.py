@@ -20,6 +20,28 @@ def before_plateau(right: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataF
     return joined.filter(F.col("_stop").isNull() | (F.col(ts) <= F.col("_stop"))).drop("_stop")
 
 
+#: Buckets that are ordered together.
+SPAN = 1024
+
+
+def carried_over(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each bucket (keys, _b) with the ``last`` of an earlier and the ``first`` of a later one, as (_before, _after).
+
+    Buckets are ordered within spans of ``SPAN``, and spans among themselves.
+    Rows that follow are read in falling order: a frame that ends at the last
+    row is made anew for each row, one that begins at the first only grows.
+    """
+    def around(rows: DataFrame, by: Sequence[str], at: str) -> DataFrame:
+        seen = lambda c, order: F.last(c, ignorenulls=True).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+        return rows.select(*keys, "_s", *([at] if at != "_s" else []), seen("last", F.col(at)).alias("_before"), seen("first", F.col(at).desc()).alias("_after"))
+
+    marks = marks.withColumn("_s", F.floor(F.col("_b") / F.lit(SPAN)))
+    spans = marks.groupBy(*keys, "_s").agg(F.max("last").alias("last"), F.min("first").alias("first"))
+    outer = around(spans, keys, "_s").select(*keys, "_s", F.col("_before").alias("_earlier"), F.col("_after").alias("_later"))
+    own = around(marks, [*keys, "_s"], "_b").join(outer, [*keys, "_s"])
+    return own.select(*keys, "_b", F.coalesce("_before", "_earlier").alias("_before"), F.coalesce("_after", "_later").alias("_after"))
+
+
 def nearest(
     left: DataFrame, right: DataFrame, ts: str, value: str, bucket: int, keys: Sequence[str] = (),
     tolerance: int | None = None, strict_pointer: bool = False,
@@ -45,17 +67,12 @@ def nearest(
 
     summary = right.groupBy(*keys, "_b").agg(F.max("_e").alias("last"), F.min("_e").alias("first"))
     marks = summary.unionByName(left.select(*keys, "_b").distinct(), allowMissingColumns=True).groupBy(*keys, "_b").agg(F.max("last").alias("last"), F.max("first").alias("first"))
-    order = Window.partitionBy(*keys).orderBy("_b")
-    carried = marks.select(
-        *keys, "_b",
-        F.last("last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
-    )
+    carried = carried_over(marks, keys)
 
     both = left.withColumn("_left", F.lit(1)).unionByName(right.select(*keys, ts, "_b", "_e").withColumn("_left", F.lit(0)), allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, "_b").orderBy(ts, "_left")
-    back = F.last("_e", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_e", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing))
+    inside = Window.partitionBy(*keys, "_b")
+    back = F.last("_e", ignorenulls=True).over(inside.orderBy(ts, "_left").rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.last("_e", ignorenulls=True).over(inside.orderBy(F.col(ts).desc(), F.col("_left").desc()).rowsBetween(Window.unboundedPreceding, -1))
     rows = both.withColumn("_back", back).withColumn("_ahead", ahead).filter("_left = 1").drop("_e", "_left")
     rows = rows.join(carried, [*keys, "_b"])
     back, ahead = F.coalesce("_back", "_before"), F.coalesce("_ahead", "_after")
