@@ -38,6 +38,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,12 @@ EACH = 2
 #: Levels of a block's frequency: occurrences from which on, bits of the sketch, weight.
 LEVELS = ((2, 1 << 27, 1), (8, 1 << 25, 8), (64, 1 << 23, 64))
 
+#: Parts in which blocks are counted, one after the other, so that a part's rows alone are on disk.
+PARTS = 4
+
+#: Repeated blocks that one sketch is for; where there are more, slabs are dealt to up to so many sketches. Where a key has its slab's number modulo that.
+SKETCHED, SKETCHES, SLAB_BIT = 1 << 24, 8, 28
+
 #: Members of a cell that one task compares with as many others, and those of a leaf.
 CHUNK, LEAF = 512, 16
 
@@ -140,6 +147,7 @@ def _cells(like: Similarity, offsets: np.ndarray, sets: np.ndarray, docs: np.nda
     owner = np.repeat(np.arange(len(docs)), blocks)
     number = np.arange(total) - first[owner]
     key = mix(vector + mix(np.uint64(1 << 50) * band.astype(np.uint64)[owner] + number.astype(np.uint64)) + counts.astype(np.uint64))
+    key = key & ~np.uint64(SKETCHES - 1 << SLAB_BIT) | (band % SKETCHES).astype(np.uint64)[owner] << np.uint64(SLAB_BIT)
     return blocks, key.view(np.int64)
 
 
@@ -181,15 +189,34 @@ def points(docs: DataFrame, like: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n long, node long, own array<bigint>, up array<bigint>")
 
 
-def filed(every: DataFrame, counted: DataFrame, like: Similarity) -> DataFrame:
+def slab_of(key):
+    """The number of a key's slab modulo ``SKETCHES``; of a column."""
+    return F.shiftright(key, SLAB_BIT).bitwiseAND(F.lit(SKETCHES - 1))
+
+
+def frequencies(every: DataFrame) -> list[DataFrame]:
+    """(key, c) of the blocks that occur again, settled part by part."""
+    key = every.select(F.explode(F.concat("own", "up")).alias("key"))
+    found = []
+    for k in range(PARTS):
+        part = key.filter(F.pmod(F.shiftright("key", 48), F.lit(PARTS)) == k)
+        found.append(settled(part.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1), "frequencies"))
+    return found
+
+
+def filed(every: DataFrame, counted: DataFrame, like: Similarity, group: int = 0, groups: int = 1) -> DataFrame:
     """(key, node, weight) of the blocks that each set files: of its rarest ones those that occur again.
 
     How often blocks occur, ``counted`` (key, c), goes to the tasks as maps of bits of bounded size, one
     for each level. Where they fill up, blocks only pass as more frequent ones;
-    any order that is alike for all documents finds every link.
+    any order that is alike for all documents finds every link. Only slabs of ``group``
+    are filed, one of ``groups`` (a divisor of ``SKETCHES``), and the maps are theirs.
     """
     ends = like.bands()
-    known = every.filter((F.size("own") > 0) | (F.size("up") > 0))
+    mine = lambda key: slab_of(key) % groups == group
+    counted = counted.filter(mine(F.col("key")))
+    # A list is of one slab, as its first key says.
+    known = every.select("n", "node", *(F.when(mine(F.get(c, F.lit(0))), F.col(c)).alias(c) for c in ("own", "up"))).filter(F.col("own").isNotNull() | F.col("up").isNotNull())
     sketch = every.sparkSession.sparkContext.broadcast([bitmap(counted.filter(F.col("c") >= least), "key", bits) for least, bits, _ in LEVELS])
     weights = np.cumsum([0, *(w for _, _, w in LEVELS)])
 
@@ -221,7 +248,7 @@ def filed(every: DataFrame, counted: DataFrame, like: Similarity) -> DataFrame:
             key, row = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), pa.array(weight[row])], names=["key", "node", "weight"])
 
-    return known.select("n", "node", "own", "up").mapInArrow(passing, "key long, node long, weight long").distinct()
+    return known.mapInArrow(passing, "key long, node long, weight long").distinct()
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
@@ -362,13 +389,26 @@ def compared(rows: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     return rows.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
-    """(a, b): links between different sets, enough of them to join all that hang together."""
-    counted = every.select(F.explode(F.concat("own", "up")).alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
-    counted = settled(counted, "frequencies")
-    own = settled(filed(every, counted, like), "filed", counted)
-    shared = own.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1).select("key")
-    members = settled(own.join(shared, "key"), "cells", own)
+def cells(every: DataFrame, like: Similarity) -> DataFrame:
+    """(key, node, weight) of the members of each cell that has several; settled.
+
+    No more is on disk at once than ``every``, the repeated blocks, and a part's rows.
+    """
+    parts = frequencies(every)
+    counted = reduce(DataFrame.unionByName, parts)
+    groups, number = 1, counted.count()
+    while groups < SKETCHES and number > groups * SKETCHED:
+        groups *= 2
+    found = []
+    for k in range(groups):
+        own = settled(filed(every, counted, like, k, groups), "filed", *(parts if k == groups - 1 else ()))
+        shared = own.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1).select("key")
+        found.append(settled(own.join(shared, "key"), "cells", own))
+    return found[0] if groups == 1 else settled(reduce(DataFrame.unionByName, found), "cells", *found)
+
+
+def links(docs: DataFrame, every: DataFrame, members: DataFrame, like: Similarity) -> DataFrame:
+    """(a, b): links between different sets, enough of them to join all that hang together, by the ``members`` of cells."""
     nodes = members.select("node").distinct()
     ids = every.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     ids = settled(ids, "ids")
@@ -399,8 +439,11 @@ def links(docs: DataFrame, every: DataFrame, like: Similarity) -> DataFrame:
 def near_duplicates(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     every = settled(points(docs, like), "points")
+    members = cells(every, like)
+    # The keys of all blocks are most of what is on disk, and nothing needs them any more.
+    every = settled(every.select("doc_id", "n", "node"), "digests", every)
     known = every.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "node")
-    found = links(docs, every, like)
+    found = links(docs, every, members, like)
     # Where an id has several texts, they hang together through it.
     several = known.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("high")).filter(F.col("b") < F.col("high"))
     found = components(found.unionByName(known.join(several.select("doc_id", "b"), "doc_id").select(F.col("node").alias("a"), "b")))

@@ -194,6 +194,69 @@ def test_ngram_join_of_large_groups(spark, monkeypatch):
     assert got == linked(rows, like)
 
 
+def near_rows(sizes, seed):
+    """Rows of a random text of each size, and of two that are nearer and nearer to it."""
+    rng, texts = random.Random(seed), []
+    for n in sizes:
+        w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [w, w[:-1] + ["other"], w[: n - n // 20]]
+    return [(k, " ".join(w)) for k, w in enumerate(texts)]
+
+
+def test_ngram_join_in_groups_of_slabs(spark, monkeypatch):
+    """More repeated blocks than a sketch is for: slabs are dealt to several, and nothing is lost."""
+    like, rows = ngram_join.Similarity(), near_rows([*range(5, 60, 4), 90, 135, 200, 310, 450, 700, 1000], 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    every = common.settled(ngram_join.points(df, like), "points")
+    parts = ngram_join.frequencies(every)
+    counted = every.select(F.explode(F.concat("own", "up")).alias("key")).groupBy("key").count().filter("count > 1")
+    assert sum(p.count() for p in parts) == counted.count() and all(p.exceptAll(counted).count() == 0 for p in parts)
+    counted = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    whole = {(r.key, r.node) for r in ngram_join.filed(every, counted, like).collect()}
+    groups = [{(r.key, r.node) for r in ngram_join.filed(every, counted, like, k, 8).collect()} for k in range(8)]
+    assert set().union(*groups) == whole and sum(map(len, groups)) == len(whole) and sum(map(bool, groups)) > 4
+    used, filed = [], ngram_join.filed
+    monkeypatch.setattr(ngram_join, "SKETCHED", 10)
+    monkeypatch.setattr(ngram_join, "filed", lambda *a: used.append(a[3:]) or filed(*a))
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, like).collect()}
+    assert got == linked(rows, like) and used == [(k, 8) for k in range(8)]
+
+
+def test_ngram_join_drops_the_blocks(spark, monkeypatch):
+    """The keys of all blocks, most of what is settled, are gone when sets are, and their counts are made in parts."""
+    steps, made, settled = [], {}, ngram_join.settled
+
+    def watched(df, name, *done, **how):
+        out = settled(df, name, *done, **how)
+        made[out.settled_path.removeprefix("file://")] = name
+        steps.append((name, sorted(n for p, n in made.items() if os.path.isdir(p))))
+        return out
+
+    monkeypatch.setattr(ngram_join, "settled", watched)
+    rows = near_rows((30, 60, 90), 5)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == linked(rows, ngram_join.Similarity())
+    there = dict(steps)
+    assert "points" in there["frequencies"] and not {"points", "frequencies", "filed"} & set(there["sets"])
+    assert [n for n, _ in steps].count("frequencies") == ngram_join.PARTS
+
+
+def test_shuffles_end_with_their_write(spark, monkeypatch):
+    """Shuffle files of a settled table go at once, though nothing collects the driver's garbage."""
+    import time
+
+    monkeypatch.setattr(common, "drop_finished_shuffles", lambda spark: None)
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, rows = files(), spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    out = common.settled(rows, "counts")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and out.count() == rows.count() == 7
+    assert spark.conf.get(common.CLEANUP, "false") == "false"
+
+
 def test_boxes():
     like, rng = ngram_join.Similarity(), np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, 120).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
