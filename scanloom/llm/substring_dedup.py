op9_substring_dedup: copies have no anchors, windows meet once

Symptom: over 0.51 GB the query took 592 CPU seconds a GB in tasks, 363 of them in the JVM, and shuffled 4.6 times its input.
Evidence: anchors of exact copies and of lines repeated inside one row counted as shared, so that two in five windows had no second document; all windows were shuffled twice and sorted for a join with their own minima.
Fix: only rows that aren't copies have anchors, counted by rows; inside a batch all but the least id of a window are repeats at once, and the rest are ranked by id in one shuffle, without the join.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 1118 -> 912 s, shuffle 2.53 -> 1.50 GB, spill 0.00 -> 0.00 GB, read 4.74 -> 4.32 GB, longest task 15 -> 15 s, most memory of a task 503 -> 505 MB; at 6 GB of input CPU 12677 -> 6832 s, shuffle 60.69 -> 24.10 GB, spill 39.77 -> 4.89 GB, read 69.24 -> 51.81 GB, longest task 55 -> 40 s, most memory of a task 948 -> 1107 MB; with hot keys, at 0.6 GB of input CPU 679 -> 720 s, shuffle 0.83 -> 0.55 GB, spill 0.00 -> 0.00 GB, read 1.45 -> 1.36 GB, longest task 9 -> 10 s, most memory of a task 189 -> 172 MB.

@@ -7,15 +7,16 @@ there is a shift below the period that takes both into the cover. So two equal
 windows share an anchor at the same place inside both, with ``window - period + 1``
 words; a window none of whose anchors occurs elsewhere repeats nowhere.
 
-Anchors that occur once are dropped; the others extend to the
+Anchors that only one row holds are dropped; the others extend to the
 windows that hold them, and those windows' hashes and the least id that has each
 tell which repeat. A window is told from all others by two polynomials of its
 words' 64-bit hashes, of 64 bits each, so that no two of a large corpus meet by chance.
 
 Exact copies of an earlier document are settled by a digest of their words
-beforehand. Counts and minima of hashes are summed where rows are before they
-meet, and the joins back can be split, so that no passage or group of copies,
-however common, is one task's work.
+beforehand, and have neither anchors nor windows. Anchors are counted where rows
+are before they meet. Of the ids that share a window inside a batch only the least
+meets those of other batches, as the others repeat it in any case; so no passage or
+group of copies, however common, is one task's work.
 
 Defined cases. A null or empty text has no words. Texts of fewer words than a
 window lose none. A row without an id loses nothing and is no source. Rows of one
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scanloom.llm.common import bitmap, drop_finished_shuffles, gathered, hashed_words, in_bitmap, likely, mix, settled, slices
 
@@ -78,12 +80,27 @@ def _starts(offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return at[ok], doc[ok]
 
 
-def _distinct(doc: np.ndarray, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((h, doc))
-    doc, h, g = doc[order], h[order], g[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], h[new], g[new]
+def _rows_with(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, and how many rows have each; ``doc`` never falls."""
+    order = np.argsort(h, kind="stable")
+    doc, h = doc[order], h[order]
+    other = np.ones(len(h), bool)
+    other[1:] = h[1:] != h[:-1]
+    own = other.copy()
+    own[1:] |= doc[1:] != doc[:-1]
+    ends = np.append(np.flatnonzero(other), len(h))
+    return h[other], np.diff(np.concatenate(([0], np.cumsum(own)))[ends])
+
+
+def _by_id(h: np.ndarray, g: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct windows of each id, and whether a smaller id among ``ids`` has the same."""
+    order = np.lexsort((ids, g, h))
+    h, g, ids = h[order], g[order], ids[order]
+    later = np.zeros(len(h), bool)
+    later[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
+    new = ~later
+    new[1:] |= ids[1:] != ids[:-1]
+    return h[new], g[new], ids[new], later[new]
 
 
 def _marked(offsets: np.ndarray, at: np.ndarray, doc: np.ndarray, h: np.ndarray, wanted: list) -> np.ndarray:
@@ -123,7 +140,8 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             words = hashed_words(batch.column("text"))
             offsets, word = words.offsets, words.hashes
             at, doc = _anchor_places(offsets)
-            yield pa.RecordBatch.from_arrays([pa.array(mix(window_hashes(word, width)[at]).view(np.int64))], names=["h"])
+            h, rows = _rows_with(doc, mix(window_hashes(word, width)[at]))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rows)], names=["h", "rows"])
 
     def _anchor_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, doc = _starts(offsets, width)
@@ -144,8 +162,9 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
             near = np.cumsum(near)[:-1] > 0
             start, doc = _starts(offsets, window)
             ok = near[start]
-            doc, h, g = _distinct(doc[ok], mix(window_hashes(word, window)[start[ok]]), window_hashes(word, window, SECOND_BASE)[start[ok]])
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), batch.column("doc_id").take(pa.array(doc))], names=["h", "g", "doc_id"])
+            start, ids = start[ok], batch.column("doc_id").to_numpy()[doc[ok]]
+            h, g, ids, later = _by_id(mix(window_hashes(word, window)[start]), window_hashes(word, window, SECOND_BASE)[start], ids)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(ids), pa.array(later)], names=["h", "g", "doc_id", "later"])
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
@@ -181,19 +200,21 @@ def deduplicate(docs: DataFrame, window: int = 13, keep_text: bool = False) -> D
     # An id whose rows are all copies is done.
     done = settled(known.groupBy("doc_id").agg(F.min("copy").alias("copy")), "done")
 
-    # Which anchors occur again goes to the tasks as bits of bounded size; the few others
+    # Copies need neither anchors nor windows. Rows that may be copies, by hashes, are looked up.
+    copied = done.filter("copy").select("doc_id")
+    rest = settled(likely(named, copied, "doc_id").join(copied, "doc_id", "left_anti").select("doc_id", "text"), "rest")
+    sources = likely(named, copied, "doc_id", "left_anti").select("doc_id", "text").unionByName(rest)
+
+    # Which anchors other rows have goes to the tasks as bits of bounded size; the few others
     # that pass only make windows that turn out to have no second document.
-    pieces = named.select("text").mapInArrow(anchors, "h long")
-    twice = pieces.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(twice, "h"))
+    pieces = sources.select("text").mapInArrow(anchors, "h long, rows long")
+    several = pieces.groupBy("h").agg(F.sum("rows").alias("rows")).filter(F.col("rows") > 1)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(several, "h"))
     drop_finished_shuffles(docs.sparkSession)
-    # Copies need no windows. Rows that may be copies, by hashes, are looked up.
-    copied = done.filter("copy").select("doc_id")
-    rest = likely(named, copied, "doc_id").join(copied, "doc_id", "left_anti")
-    sources = likely(named, copied, "doc_id", "left_anti").unionByName(rest)
-    found = settled(sources.select("doc_id", "text").mapInArrow(windows, "h long, g long, doc_id long"), "windows")
-    owner = found.groupBy("h", "g").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter(F.col("owner") < F.col("last")).select("h", "g", "owner")
-    repeats = found.join(owner, ["h", "g"]).filter(F.col("doc_id") > F.col("owner")).groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
+    found = settled(sources.mapInArrow(windows, "h long, g long, doc_id long, later boolean"), "windows", rest)
+    least = Window.partitionBy("h", "g").orderBy("doc_id")
+    met = found.filter(~F.col("later")).withColumn("place", F.rank().over(least)).filter(F.col("place") > 1)
+    repeats = met.select("doc_id", "h").unionByName(found.filter("later").select("doc_id", "h")).groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
     repeats = settled(repeats, "repeats")
 
     copies = done.filter("copy").select("doc_id", F.lit(True).alias("copy"))

@@ -698,6 +698,35 @@ def test_dedup(spark, docs, odd, none):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == removed(rows)
 
 
+def test_dedup_of_few_windows(spark, monkeypatch):
+    """Copies and lines that repeat inside one row make no windows, and a common passage few that meet those of others."""
+    kept, settled = {}, substring_dedup.settled
+
+    def seen(df, name, *done):
+        kept[name] = settled(df, name, *done)
+        return kept[name]
+
+    monkeypatch.setattr(substring_dedup, "settled", seen)
+    got = lambda rows: sorted(map(tuple, substring_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()), key=repr)
+    own = lambda i, n: " ".join(f"u{i}x{k}" for k in range(n))
+    rows = [(1, own(1, 40)), (2, own(1, 40)), (2, own(1, 40)), (3, f"{own(3, 20)} and {own(3, 20)}"), (4, None), (None, own(1, 40)), (5, ""), (2, "short")]
+    assert got(rows) == removed(rows)
+    assert kept["windows"].count() == 0
+    line = own("p", 14)
+    rows = [(i // 2, f"{own(i, 9)} {line} {own(i, 5)}") for i in range(200)] + [(None, line), (150, line), (150, line), (151, None)]
+    assert got(rows) == removed(rows)
+    met = kept["windows"].filter("not later").groupBy("h", "g").count()
+    assert met.agg(F.max("count")).first()[0] == 1
+
+
+def test_dedup_of_a_batch():
+    h, rows = substring_dedup._rows_with(np.array([0, 0, 0, 1, 1, 2]), np.array([5, 3, 5, 3, 4, 3], np.uint64))
+    assert (h.tolist(), rows.tolist()) == ([3, 4, 5], [3, 1, 1])
+    assert [len(x) for x in substring_dedup._rows_with(np.array([], int), np.array([], np.uint64))] == [0, 0]
+    h, g, ids = (np.array(x) for x in zip((1, 1, 8), (1, 2, 7), (1, 1, 8), (1, 1, 9), (2, 1, 5)))
+    assert [x.tolist() for x in substring_dedup._by_id(h, g, ids)] == [[1, 1, 1, 2], [1, 1, 2, 1], [8, 9, 7, 5], [False, True, False, False]]
+
+
 @pytest.mark.parametrize("period", range(1, 14))
 def test_cover(period):
     cover = substring_dedup.difference_cover(period)
