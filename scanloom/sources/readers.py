@@ -20,8 +20,8 @@ from scanloom import schemas
 from scanloom.functions import names
 from scanloom.sources import decode
 
-#: Rows of one Arrow batch made from a file.
-ROWS = 1 << 16
+#: Rows of one Arrow batch made from files or messages; small ones share a batch of so many rows and bytes at most.
+ROWS, BYTES = 1 << 16, 8 << 20
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "float": pa.float32(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
 
@@ -41,6 +41,48 @@ def contents(spark: SparkSession, path: str | DataFrame, pattern: str) -> DataFr
     return files.select("path", "content")
 
 
+def decoded(batch: pa.RecordBatch, column: str, kept: Sequence[str], arrow: pa.Schema, read: Callable[[bytes], Iterator[dict]]) -> Iterator[pa.RecordBatch]:
+    """Rows that ``read`` makes of each value of ``column`` as dictionaries of columns, with ``kept`` of its row, and error.
+
+    What is made of small values shares batches, in the order of the rows.
+    """
+    made = [f for f in arrow if f.name not in (*kept, "error")]
+    kinds = [np.dtype(f.type.to_pandas_dtype()) if pa.types.is_primitive(f.type) else None for f in made]
+
+    def rows(k: Sequence[int], columns: list[pa.Array], error: str | None = None) -> pa.RecordBatch:
+        whole = {c: batch.column(c).take(pa.array(k, pa.int64())).cast(arrow.field(c).type) for c in kept}
+        whole |= dict(zip((f.name for f in made), columns)) | {"error": pa.array([error] * len(k), pa.string())}
+        return pa.RecordBatch.from_arrays([whole[f.name] for f in arrow], schema=arrow)
+
+    def together(parts: list[tuple[int, list]]) -> pa.RecordBatch:
+        whole = lambda f, c: pa.array(np.concatenate(c)) if all(isinstance(v, np.ndarray) for v in c) else pa.concat_arrays([pa.array(v, f.type) if isinstance(v, np.ndarray) else v for v in c])
+        joined = [whole(f, c) for f, c in zip(made, zip(*(p for _, p in parts)))]
+        return rows(np.repeat([k for k, _ in parts], [len(p[0]) for _, p in parts]), joined)
+
+    parts: list[tuple[int, list]] = []
+    n = size = 0
+    for k, data in enumerate(batch.column(column)):
+        try:
+            for columns in read(data.as_py()):
+                # Numbers stay in numpy until their batch is full, as an Arrow array costs more than a small file's decoding.
+                part = [v if isinstance(v, np.ndarray) and v.dtype == t else pa.array(v, f.type) for f, t, v in zip(made, kinds, (columns[f.name] for f in made))]
+                if len({len(c) for c in part}) > 1:
+                    raise ValueError("columns of different lengths")
+                bytes_ = sum(c.nbytes for c in part)
+                if parts and (n + len(part[0]) > ROWS or size + bytes_ > BYTES):
+                    yield together(parts)
+                    parts, n, size = [], 0, 0
+                parts.append((k, part))
+                n, size = n + len(part[0]), size + bytes_
+        except Exception as e:  # noqa: BLE001  the row says so
+            if parts:
+                yield together(parts)
+                parts, n, size = [], 0, 0
+            yield rows([k], [pa.nulls(1, f.type) for f in made], f"{type(e).__name__}: {e}")
+    if parts:
+        yield together(parts)
+
+
 def each_file(spark: SparkSession, path: str | DataFrame, pattern: str, schema: str, read: Callable[[bytes], Iterator[dict]]) -> DataFrame:
     """Rows that ``read`` makes of each file's bytes as dictionaries of columns, with path and error."""
     fields = [x.strip().split(" ") for x in ("path string, " + schema + ", error string").split(", ")]
@@ -48,14 +90,7 @@ def each_file(spark: SparkSession, path: str | DataFrame, pattern: str, schema:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-                try:
-                    for columns in read(data.as_py()):
-                        n = len(next(iter(columns.values())))
-                        whole = {"path": [name] * n, "error": [None] * n} | columns
-                        yield pa.RecordBatch.from_arrays([pa.array(whole[f.name], f.type) for f in arrow], schema=arrow)
-                except Exception as e:  # noqa: BLE001  the row says so
-                    yield pa.RecordBatch.from_pylist([{"path": name, "error": f"{type(e).__name__}: {e}"}], schema=arrow)
+            yield from decoded(batch, "content", ["path"], arrow, read)
 
     return contents(spark, path, pattern).mapInArrow(rows, ", ".join(f"`{n}` {t}" for n, t in fields))
 
@@ -265,19 +300,11 @@ def _each_message(rows: DataFrame, schema: str, read: Callable[[bytes], Iterator
     fields = [x.split(" ") for x in f"path string, topic string, ts_ns bigint, {schema}, error string".split(", ")]
     arrow = pa.schema([(n, _ARROW[t]) for n, t in fields])
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                own = {c: batch.column(c)[k].as_py() for c in ("path", "topic", "ts_ns")}
-                try:
-                    for columns in read(batch.column("data")[k].as_py()):
-                        n = len(next(iter(columns.values())))
-                        whole = {c: [v] * n for c, v in (own | {"error": None}).items()} | columns
-                        yield pa.RecordBatch.from_arrays([pa.array(whole[f.name], f.type) for f in arrow], schema=arrow)
-                except Exception as e:  # noqa: BLE001  the row says so
-                    yield pa.RecordBatch.from_pylist([own | {"error": f"{type(e).__name__}: {e}"}], schema=arrow)
+            yield from decoded(batch, "data", ["path", "topic", "ts_ns"], arrow, read)
 
-    return rows.select("path", "topic", "ts_ns", "data").mapInArrow(decoded, ", ".join(f"`{n}` {t}" for n, t in fields))
+    return rows.select("path", "topic", "ts_ns", "data").mapInArrow(made, ", ".join(f"`{n}` {t}" for n, t in fields))
 
 
 def message_points(rows: DataFrame, version: int = 2) -> DataFrame:

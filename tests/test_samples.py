@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,19 @@ def test_kept_files(spark, tmp_path):
     assert [r.path for r in got.filter("error is not null").collect()] == ["a/2.bin"]
 
 
+def test_small_files_share_batches():
+    arrow = pa.schema([("path", pa.string()), ("k", pa.int64()), ("error", pa.string())])
+    read = lambda data: iter([{"k": np.arange(len(data))}] if data != b"no" else [{"k": np.arange(1)}, {"k": ["x"]}])
+    made = lambda paths, data: list(readers.decoded(pa.RecordBatch.from_pydict({"path": paths, "content": pa.array(data, pa.binary())}), "content", ["path"], arrow, read))
+    many = made([f"{k}" for k in range(500)], [b"abc"] * 500)
+    assert len(many) == 1 and many[0].to_pydict() == {"path": [f"{k // 3}" for k in range(1500)], "k": [0, 1, 2] * 500, "error": [None] * 1500}
+    odd = made(["a", None, "a", "b", "c", None], [b"xy", b"z", None, b"no", b"", b"u"])
+    assert [(r["path"], r["k"], (r["error"] or "")[:5]) for b in odd for r in b.to_pylist()] == [("a", 0, ""), ("a", 1, ""), (None, 0, ""), ("a", None, "TypeE"), ("b", 0, ""), ("b", None, "Arrow"), (None, 0, "")]
+    assert made([], []) == [] and sum(map(len, made(["a"], [b""]))) == 0
+    assert [len(b) for b in made(list("abc"), [bytes(readers.ROWS - 1), b"x", b"y"])] == [readers.ROWS, 1]
+    assert len(made(["a"] * 3, [bytes(readers.BYTES // 8)] * 3)) == 3
+
+
 @pytest.mark.parametrize("kind", ["db3", "bag"])
 def test_recordings(spark, kind):
     sent = [("a", "/p", "T", 5, bytearray(b"x")), ("a", "/q", "U", 3, bytearray(b"")), ("b", "/p", "T", 2_000_000_001, bytearray(b"yz"))]
