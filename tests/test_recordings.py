@@ -45,6 +45,31 @@ def test_bag_pieces(spark, tmp_path, packing):
     assert sorted((t, k, ts) for t, k, ts, _ in decode.bag_messages(data)) == [w[:3] for w in want]
 
 
+def test_only_wanted_pieces_are_tasks(spark, tmp_path):
+    data = encode.indexed_bag(sent(), 4_096)
+    (tmp_path / "a.bag").write_bytes(data)
+    (tmp_path / "plain.bag").write_bytes(encode.bag_recording(sent(20)))
+    (tmp_path / "bad.bag").write_bytes(b"#ROSBAG V1.2\n" * 20)
+    read = lambda at: recordings.messages(spark, str(tmp_path / at), split=100)
+    late = read("").filter("topic = '/late'")
+    assert late.rdd.getNumPartitions() < read("").rdd.getNumPartitions() - len(data) // 200
+    assert sorted((os.path.basename(r.path), r.ts_ns) for r in late.filter("error IS NULL").collect()) == [("a.bag", 400 * SECOND), ("plain.bag", 20 * SECOND)]
+    none = read("a.bag").filter("topic = '/none'")
+    assert none.rdd.getNumPartitions() == 1 and none.collect() == []
+    assert read("bad.bag").filter("error IS NOT NULL").count() == read("bad.bag").count() == 3
+
+
+def test_pieces_of_chunks(tmp_path):
+    data = encode.indexed_bag(sent(), 1_024)
+    (tmp_path / "a.bag").write_bytes(data)
+    for split in (50, 333, 1_000, 4_096, len(data) - 1, len(data)):
+        r = recordings.RecordingReader({"path": str(tmp_path), "split": split})
+        every = r.partitions()
+        r.wanted = recordings.Wanted({"/points"}, 90 * SECOND, 300 * SECOND)
+        some = [p for p in every if list(r.messages(p))]
+        assert some == [p for p in r.partitions() if list(r.messages(p))] and len(some) <= len(r.partitions()) <= len(some) + 2
+
+
 def test_only_wanted_chunks_are_read():
     data = encode.indexed_bag(sent(), 4_096)
     chunks, links = recordings.bag_index(io.BytesIO(data))
