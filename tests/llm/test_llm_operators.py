@@ -727,6 +727,29 @@ def test_dedup_of_a_batch():
     assert [x.tolist() for x in substring_dedup._by_id(h, g, ids)] == [[1, 1, 1, 2], [1, 1, 2, 1], [8, 9, 7, 5], [False, True, False, False]]
 
 
+def test_words_by_single_spaces():
+    texts = ["a b  c", "", None, "\td e\nf ", "g", " ", "h i j k", "l\x0bm", "n"]
+    w = common.hashed_words(pa.array(texts))
+    assert substring_dedup._spaced(w.data, w.starts, w.ends, w.offsets) == [" ".join(words(t)).encode() for t in texts]
+    kept = np.arange(len(w.starts)) % 3 > 0
+    offsets = np.concatenate(([0], np.cumsum(kept)))[w.offsets]
+    flat = [bytes(w.data[a:b]) for a, b in zip(w.starts, w.ends)]
+    want = [b" ".join(flat[k] for k in range(a, b) if kept[k]) for a, b in zip(w.offsets[:-1], w.offsets[1:])]
+    assert substring_dedup._spaced(w.data, w.starts[kept], w.ends[kept], offsets) == want
+    none = common.hashed_words(pa.array([None, ""], pa.string()))
+    assert substring_dedup._spaced(none.data, none.starts, none.ends, none.offsets) == [b"", b""]
+    assert substring_dedup._spaced(w.data, w.starts[:0], w.ends[:0], 0 * w.offsets) == [b""] * len(texts)
+
+
+def test_dedup_takes_little_text_at_a_time(spark, monkeypatch):
+    """Batches in which all is removed or nothing has words, and texts in slices of a quarter of a MB at most."""
+    assert substring_dedup.BATCH_BYTES <= 1 << 18
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 1)
+    rows = [(i, t) for i in (1, 2, 3, None) for t in (" ".join(f"w{k}" for k in range(30)), "", None, " \t ")]
+    got = substring_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == removed(rows)
+
+
 @pytest.mark.parametrize("period", range(1, 14))
 def test_cover(period):
     cover = substring_dedup.difference_cover(period)
